@@ -35,7 +35,24 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontamination import find_leaks
+
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality, train_quality
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = train_quality(docs, _table(spark, sf_dir, "labels").where(~kept_out))
+    return score_quality(docs, model, 0.7).select("doc_id", kept_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op10_quality_classifier": op10_quality_classifier,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_output": op7_token_output,
     "op8_url_filter": op8_url_filter,
