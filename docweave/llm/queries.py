@@ -16,6 +16,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import remove_repeats
+
+    out = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), 20)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -53,6 +60,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_output": op7_token_output,
     "op8_url_filter": op8_url_filter,
