@@ -42,6 +42,12 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import score_documents
+
+    return score_documents(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontamination import find_leaks
 
@@ -58,6 +64,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
     "op4_substring_dedup": op4_substring_dedup,
