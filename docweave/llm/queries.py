@@ -16,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import jaccard_components
+
+    return jaccard_components(_table(spark, sf_dir, "documents"), 4, 85, 100)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
 
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_output": op7_token_output,
