@@ -60,6 +60,13 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    out = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score_quality, train_quality
 
@@ -72,6 +79,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op9_line_dedup": op9_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
