@@ -29,6 +29,13 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_k, whole_vectors
+
+    vectors = whole_vectors(_table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -83,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_top_k_search": op5_top_k_search,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_output": op7_token_output,
     "op8_url_filter": op8_url_filter,
