@@ -112,6 +112,16 @@ class EliasFano:
         return np.where(inside, start, self.n)
 
 
+def _groups(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, index of each element), without sorting where ``a`` ascends."""
+    step = a[1:] != a[:-1]
+    if (a[1:] < a[:-1]).any():
+        return np.unique(a, return_inverse=True)
+    index = np.zeros(len(a), np.int64)
+    np.cumsum(step, out=index[1:])
+    return a[np.concatenate([[True], step])] if len(a) else a, index
+
+
 class Level:
     """Sorted ids grouped by parent: one Elias-Fano sequence over all groups (each raised by the last value of the one
     before, so that it stays monotone) and one over the groups' first places."""
@@ -134,7 +144,7 @@ class Level:
         at = np.flatnonzero((parent >= 0) & (ids >= 0))
         if len(at):
             p = parent[at]
-            group, index = np.unique(p, return_inverse=True)
+            group, index = _groups(p)
             first = self.pointers.get(group).astype(np.int64)
             last = self.pointers.get(group + 1).astype(np.int64)
             base = np.zeros(len(group), np.uint64)
@@ -177,24 +187,22 @@ class NgramTrie:
     @classmethod
     def build(cls, v: np.ndarray, u: np.ndarray, w: np.ndarray, count: np.ndarray) -> NgramTrie:
         """From distinct (v, u, w) in ascending order with counts above 0."""
-        roots, vi = np.unique(v, return_inverse=True)
+        roots, vi = _groups(v)
         size = int(max(w.max(), u.max())) + 1 if len(w) else 1
-        bi, at2 = np.unique(vi.astype(np.uint64) * np.uint64(size) + w.astype(np.uint64), return_inverse=True)
+        bi, at2 = np.unique(vi * size + w, return_inverse=True)
         c2 = np.bincount(at2, count)
-        bv = (bi // np.uint64(size)).astype(np.int64)
-        cx, atc = np.unique(vi.astype(np.uint64) * np.uint64(size) + u.astype(np.uint64), return_inverse=True)
-        cv = (cx // np.uint64(size)).astype(np.int64)
-        first = np.searchsorted(bv, np.arange(len(roots)))
-        rank = at2 - first[vi]
-        order = np.lexsort((rank, atc))
+        bv = bi // size
+        cx, atc = _groups(vi * size + u)
+        cv = cx // size
+        rank = at2 - np.searchsorted(bv, np.arange(len(roots)))[vi]  # in ascending order below each context, as w is
         levels = {
             "roots": Level.of(np.zeros(len(roots), np.int64), roots, 1),
-            "bigrams": Level.of(bv, (bi % np.uint64(size)).astype(np.int64), len(roots)),
-            "contexts": Level.of(cv, (cx % np.uint64(size)).astype(np.int64), len(roots)),
-            "trigrams": Level.of(atc[order], rank[order], len(cx)),
+            "bigrams": Level.of(bv, bi % size, len(roots)),
+            "contexts": Level.of(cv, cx % size, len(roots)),
+            "trigrams": Level.of(atc, rank, len(cx)),
         }
         tables = {}
-        for name, parent, c, n in (("2", bv, c2, len(roots)), ("3", atc[order], count[order], len(cx))):
+        for name, parent, c, n in (("2", bv, c2, len(roots)), ("3", atc, count, len(cx))):
             once, twice = (c == 1).sum(), (c == 2).sum()
             d = once / (once + 2 * twice) if once else 0.5
             d = min(max(d, 0.1), 0.98)
@@ -204,12 +212,13 @@ class NgramTrie:
         return cls(levels, tables)
 
     def query(self, v: np.ndarray, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(a, b) for each: the probability of w after u v is a + b * (its probability without context). -1: unknown id."""
+        """(a, b) for each, quickest if they ascend: the probability of w after u v is a + b * (its probability without context). -1: unknown id."""
         t = self.tables
-        one, index = np.unique(v, return_inverse=True)
+        one, index = _groups(v)
         root = self.levels["roots"].find(np.where(one >= 0, 0, -1), one)[0][index]
-        bigram, rank = self._pairs("bigrams", root, w)
-        context, _ = self._pairs("contexts", root, u)
+        bigram, rank = self.levels["bigrams"].find(root, w)
+        first = np.concatenate([[True], (v[1:] != v[:-1]) | (u[1:] != u[:-1])]) if len(v) else np.empty(0, bool)
+        context = self.levels["contexts"].find(root[first], u[first])[0][np.cumsum(first) - 1]
         trigram, _ = self.levels["trigrams"].find(np.where(rank >= 0, context, -1), rank)
         a, b = np.zeros(len(v)), np.ones(len(v))
         at = root >= 0
@@ -224,13 +233,6 @@ class NgramTrie:
         a[at] += t["share_book3"][t["share3"][trigram[at]]]
         return a, b
 
-    def _pairs(self, level: str, root: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Find distinct (root, id) pairs once each."""
-        key = (root + 1).astype(np.uint64) << np.uint64(32) | (ids + 1).astype(np.uint64)
-        one, index = np.unique(key, return_inverse=True)
-        place, rank = self.levels[level].find((one >> np.uint64(32)).astype(np.int64) - 1, (one & np.uint64(0xFFFFFFFF)).astype(np.int64) - 1)
-        return place[index], rank[index]
-
     def arrays(self) -> dict[str, np.ndarray]:
         out = {f"t/{k}": a for k, a in self.tables.items()}
         for k, level in self.levels.items():

@@ -1,9 +1,9 @@
 """Language-model scores of documents by a trigram model that is spread over the cluster.
 
-Words are routed to shards twice. By word: shards add up the training counts and answer how often each word occurs. By the
-word before (v): a shard then holds every training trigram u v w of its v, builds an Elias-Fano trie of them, maps it into
-memory, and answers, for the distinct trigrams of each batch, the two numbers from which the batch gets the probability of w
-after u v. Both are counted over all training documents, whatever their number.
+Words are routed to shards twice. By word: shards add up the training counts, answer how often each word occurs and give it
+a number, small for frequent words. By the word before (v): a shard then holds every training trigram u v w of its v, as
+numbers, builds an Elias-Fano trie of them, maps it into memory, and answers, for the distinct trigrams of each batch, the
+two figures from which the batch gets the probability of w after u v. All training documents are counted, however many.
 """
 
 from __future__ import annotations
@@ -16,14 +16,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._route import BATCH_BYTES, answer, ask, batches, ddl, deltas, finish, narrow, pack, runs, undelta, unpack
+from ._route import BATCH_BYTES, answer, ask, batches, ddl, finish, narrow, pack, runs, unpack
 from ._spark import pieces, text_bytes
 from ._text import Words
 from .elias_fano import NgramTrie, mapped
 
 BEGIN, END = np.uint64(0x1F3D5B79A2C4E687), np.uint64(0x2B4D6F81A3C5E709)
-_STEPS = 4000.0  # codes for each power of ten of a share; 500 for a weight
-_BY_WORD, _BY_CONTEXT = 0, 1
+_SHARE, _WEIGHT = 2000.0, 100.0  # codes for each power of ten
+_AT_ONCE = 1 << 18  # trigrams looked up together
+
+
+def _distinct(*keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct tuples of up to three arrays of numbers, ascending, and the place of each element's tuple."""
+    bits = [max(1, int(k.max()).bit_length()) if len(k) else 1 for k in keys]
+    if sum(bits) <= 63:
+        packed = keys[0]
+        for k, n in zip(keys[1:], bits[1:]):
+            packed = packed << n | k
+        one, index = np.unique(packed, return_inverse=True)
+        out = []
+        for n in reversed(bits[1:]):
+            out.append(one & ((1 << n) - 1))
+            one = one >> n
+        return [one, *reversed(out)], index
+    pairs, at = np.unique(keys[0] << 32 | keys[1], return_inverse=True)
+    one, index = np.unique(at << 32 | keys[2], return_inverse=True)
+    return [pairs[one >> 32] >> 32, pairs[one >> 32] & 0xFFFFFFFF, one & 0xFFFFFFFF], index
 
 
 class _Tokens:
@@ -54,48 +72,65 @@ class _Tokens:
         self.training = ~self.held_out[self.doc]
 
     def trigrams(self):
-        """(v, u, w, training count) of the distinct trigrams, ordered, and the place of each token's."""
-        n = max(1, int(len(self.known)).bit_length())
-        if 3 * n <= 63:
-            key = (self.v << 2 * n) | (self.u << n) | self.w
-            one, index = np.unique(key, return_inverse=True)
-            v, u, w = one >> 2 * n, one >> n & (1 << n) - 1, one & (1 << n) - 1
-        else:
-            pair, at = np.unique((self.v << 32) | self.u, return_inverse=True)
-            one, index = np.unique((at << 32) | self.w, return_inverse=True)
-            v, u, w = pair[one >> 32] >> 32, pair[one >> 32] & 0xFFFFFFFF, one & 0xFFFFFFFF
-        return v, u, w, np.bincount(index, self.training, len(one)).astype(np.int64), index
-
-
-def _ask(folds: int, held_out: int, shards: int):
+        """[v, u, w] of the distinct trigrams in ascending order, and the place of each token's."""
+        return _distinct(self.v, self.u, self.w)
+
+
+def _ask_words(folds: int, held_out: int, shards: int):
     def fn(batch, rows, _):
         t = _Tokens(rows, folds, held_out, shards)
         count = np.bincount(t.w, t.training, len(t.known)).astype(np.int64)
         at = {s: (a, b) for s, a, b in runs(t.shard)}
         for shard in range(shards):  # all shards, so that each batch hears all their totals
             a, b = at.get(shard, (0, 0))
-            yield 2 * shard + _BY_WORD, pack(t.known[a:b], narrow(count[a:b]))
-        v, u, w, n, _ = t.trigrams()
-        for shard, a, b in runs(t.shard[v]):
-            used = np.unique(np.concatenate([v[a:b], u[a:b], w[a:b]]))
-            yield 2 * shard + _BY_CONTEXT, pack(t.known[used], deltas(np.searchsorted(used, v[a:b])), narrow(np.searchsorted(used, u[a:b])), narrow(np.searchsorted(used, w[a:b])), narrow(n[a:b]))
+            yield shard, pack(t.known[a:b], narrow(count[a:b]))
 
     return fn
 
 
-def _answer(shard, asked):
-    return _word_counts(asked) if shard % 2 == _BY_WORD else _continuations(asked)
+def _word_counts(shards: int):
+    def fn(shard, asked):
+        got = [(b, unpack(p)) for b, p in asked]
+        known, index = np.unique(np.concatenate([g[0] for _, g in got]), return_inverse=True)
+        total = np.bincount(index, np.concatenate([g[1] for _, g in got]), len(known)).astype(np.int64)
+        rank = np.empty(len(known), np.int64)
+        rank[np.argsort(-total, kind="stable")] = np.arange(len(known))
+        sums = np.array([total.sum(), (total > 0).sum()], np.int64)
+        at = 0
+        for b, g in got:
+            mine = index[at : at + len(g[0])]
+            yield b, pack(sums, narrow(total[mine]), narrow(rank[mine] * shards + shard))
+            at += len(g[0])
+
+    return fn
 
 
-def _word_counts(asked):
-    got = [(b, unpack(p)) for b, p in asked]
-    known, index = np.unique(np.concatenate([g[0] for _, g in got]), return_inverse=True)
-    total = np.bincount(index, np.concatenate([g[1] for _, g in got]), len(known)).astype(np.int64)
-    sums = np.array([total.sum(), (total > 0).sum()], np.int64)
-    at = 0
-    for b, g in got:
-        yield b, pack(sums, narrow(total[index[at : at + len(g[0])]]))
-        at += len(g[0])
+def _told(t: _Tokens, got) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(count, number) of the batch's words, and the sums over all shards."""
+    own = {s: (a, b) for s, a, b in runs(t.shard)}
+    count, number, sums = np.zeros(len(t.known), np.int64), np.zeros(len(t.known), np.int64), np.zeros(2, np.int64)
+    for shard, payload in got:
+        x = unpack(payload)
+        sums += x[0]
+        if shard in own:
+            a, b = own[shard]
+            count[a:b], number[a:b] = x[1], x[2]
+    return count, number, sums
+
+
+def _ask_trigrams(folds: int, held_out: int, shards: int):
+    def fn(batch, rows, got):
+        t = _Tokens(rows, folds, held_out, shards)
+        _, number, _ = _told(t, got)
+        (v, u, w), index = t.trigrams()
+        n = np.bincount(index, t.training, len(v)).astype(np.int64)
+        for shard, a, b in runs(t.shard[v]):
+            at = v[a:b]
+            new = np.concatenate([[True], at[1:] != at[:-1]])
+            times = np.diff(np.append(np.flatnonzero(new), b - a))
+            yield shard, pack(narrow(number[at[new]] // shards), narrow(times), narrow(number[u[a:b]]), narrow(number[w[a:b]]), narrow(n[a:b]))
+
+    return fn
 
 
 def _code(x: np.ndarray, steps: float, kind) -> np.ndarray:
@@ -108,67 +143,49 @@ def _value(code: np.ndarray, steps: float) -> np.ndarray:
     return np.where(code == np.iinfo(code.dtype).max, 0.0, 10.0 ** (code / -steps))
 
 
-def _continuations(asked):
+def _continuations(shard, asked):
     got = [(b, unpack(p)) for b, p in asked]
-    known = np.unique(np.concatenate([g[0] for _, g in got]))
-    v, u, w = ([] for _ in range(3))
-    for _, g in got:
-        own = np.searchsorted(known, g[0])
-        v.append(own[undelta(g[1]).astype(np.int64)])
-        u.append(own[g[2]])
-        w.append(own[g[3]])
-    v, u, w = np.concatenate(v), np.concatenate(u), np.concatenate(w)
-    count = np.concatenate([g[4] for _, g in got]).astype(np.int64)
     sizes = [len(g[4]) for _, g in got]
-    bits = max(1, int(len(known)).bit_length())
-    if 3 * bits <= 63:
-        one, index = np.unique((v << 2 * bits) | (u << bits) | w, return_inverse=True)
-        v, u, w = one >> 2 * bits, one >> bits & (1 << bits) - 1, one & (1 << bits) - 1
-    else:
-        pair, at = np.unique((v << 32) | u, return_inverse=True)
-        one, index = np.unique((at << 32) | w, return_inverse=True)
-        v, u, w = pair[one >> 32] >> 32, pair[one >> 32] & 0xFFFFFFFF, one & 0xFFFFFFFF
-    total = np.bincount(index, count, len(one)).astype(np.int64)
+    v, u, w, count = (np.concatenate(x) for x in ([np.repeat(g[0].astype(np.int64), g[1]) for _, g in got], *([g[k].astype(np.int64) for _, g in got] for k in (2, 3, 4))))
+    names = [b for b, _ in got]
+    del got
+    (v, u, w), index = _distinct(v, u, w)
+    total = np.bincount(index, count, len(v)).astype(np.int64)
     seen = total > 0
     if seen.any():
         trie, path = mapped(NgramTrie.build(v[seen], u[seen], w[seen], total[seen]))
         try:
-            a, b = trie.query(v, u, w)
+            a, b = (np.concatenate(x) for x in zip(*(trie.query(v[i : i + _AT_ONCE], u[i : i + _AT_ONCE], w[i : i + _AT_ONCE]) for i in range(0, len(v), _AT_ONCE))))
         finally:
+            del trie
             os.unlink(path)
     else:
-        a, b = np.zeros(len(one)), np.ones(len(one))
-    a, b = _code(a, _STEPS, np.uint16), _code(b, 500.0, np.uint16)
+        a, b = np.zeros(len(v)), np.ones(len(v))
+    a, b = _code(a, _SHARE, np.uint16), _code(b, _WEIGHT, np.uint16)
     at = 0
-    for (batch, _), n in zip(got, sizes):
+    for batch, n in zip(names, sizes):
         mine = index[at : at + n]
-        yield batch, pack(a[mine], b[mine])
+        yield batch, pack(a[mine], narrow(b[mine]))
         at += n
 
 
 def _scores(folds: int, held_out: int, shards: int):
     def fn(batch, rows, got):
         t = _Tokens(rows, folds, held_out, shards)
-        count, totals = np.zeros(len(t.known), np.int64), np.zeros(2, np.int64)
-        own = {s: (a, b) for s, a, b in runs(t.shard)}
-        v, _, w, _, index = t.trigrams()
+        count, _, sums = _told(t, [g for g in got if g[0] < shards])
+        (v, _, w), index = t.trigrams()
         share, rest = np.zeros(len(v)), np.ones(len(v))
         spans = {s: (a, b) for s, a, b in runs(t.shard[v])}
         for shard, payload in got:
-            x = unpack(payload)
-            if shard % 2 == _BY_WORD:
-                totals += x[0]
-                if shard // 2 in own:
-                    a, b = own[shard // 2]
-                    count[a:b] = x[1]
-            else:
-                a, b = spans[shard // 2]
-                share[a:b], rest[a:b] = _value(x[0], _STEPS), _value(x[1], 500.0)
-        plain = (count + 0.1) / (totals[0] + 0.1 * (totals[1] + 1))
+            if shard >= shards:
+                x = unpack(payload)
+                a, b = spans[shard - shards]
+                share[a:b], rest[a:b] = _value(x[0], _SHARE), _value(x[1].astype(np.uint16), _WEIGHT)
+        plain = (count + 0.1) / (sums[0] + 0.1 * (sums[1] + 1))
         log = np.log10(share + rest * plain[w])[index]
         base = np.log10(plain)[t.w]
         n = len(t.held_out)
-        out = [t.held_out, np.diff(t.first), np.bincount(t.doc, count[t.w] > 0, n).astype(np.int64), np.full(n, totals[0]), np.bincount(t.doc, base, n), np.bincount(t.doc, log, n)]
+        out = [t.held_out, np.diff(t.first), np.bincount(t.doc, count[t.w] > 0, n).astype(np.int64), np.full(n, sums[0]), np.bincount(t.doc, base, n), np.bincount(t.doc, log, n)]
         for name, x, kind in zip(("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"), out, (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())):
             rows = rows.append_column(pa.field(name, kind), pa.array(x, kind))
         return rows
@@ -186,7 +203,9 @@ def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, batch_b
     """
     added = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     docs = docs.drop(*added).withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    shards = pieces(text_bytes(docs), batch_bytes)
+    shards = pieces(text_bytes(docs), batch_bytes // 2)
     held = batches(docs, batch_bytes=batch_bytes)
-    told = answer(ask(held, _ask(folds, held_out, shards)), _answer)
+    words = answer(ask(held, _ask_words(folds, held_out, shards)), _word_counts(shards))
+    ahead = answer(ask(held, _ask_trigrams(folds, held_out, shards), words), _continuations)
+    told = words.unionByName(ahead.withColumn("shard", F.col("shard") + shards))
     return finish(held, told, _scores(folds, held_out, shards), ddl(docs, *(f"{n} {k}" for n, k in zip(added, ("boolean", "long", "long", "long", "double", "double")))))
