@@ -67,11 +67,11 @@ def blocks(items: DataFrame) -> DataFrame:
     return components(edges.where("a <> b")).toDF("item", "block")
 
 
-def links(items: DataFrame, verify: Callable[[pa.Table, np.ndarray], list[tuple[int, int]]], most: int = MOST) -> DataFrame:
-    """(a, b): links between items that ``verify`` confirms, enough of them to connect all that are linked.
+def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]], num: int, den: int, most: int = MOST) -> DataFrame:
+    """(a, b): links between items of Jaccard similarity num / den or more, enough to connect all that are linked.
 
-    ``items``: item, keys and whatever ``verify(rows, side)`` needs. It gets the rows of a task sorted by item and each
-    row's side: 0 and 1 if only pairs across the two sides are wanted, all 0 if all pairs are; it returns pairs of row places.
+    ``items``: item, keys and whatever ``sets(rows)`` needs to give (values, bounds, sizes): item i has the distinct uint64
+    values[bounds[i]:bounds[i + 1]] in common with others at most, and ``sizes[i]`` elements in all.
     """
     in_block = stored(blocks(items), "blocks")
     sizes = in_block.groupBy("block").agg(F.count("*").alias("n")).select(F.col("block").alias("of"), F.ceil(F.col("n") / most).cast("int").alias("chunks"))
@@ -84,32 +84,105 @@ def links(items: DataFrame, verify: Callable[[pa.Table, np.ndarray], list[tuple[
 
     def work(parts):
         held: list[pa.RecordBatch] = []
-        at = None
+        size, last = 0, None
         for part in parts:
-            keys = np.stack([part.column(names.index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("block", "i", "j")], 1)
-            cut = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)] if len(keys) else []
-            for x, y in zip(cut, cut[1:]):
-                if at is not None and at != tuple(keys[x]):
+            keys = _task_keys(part, names)
+            if not len(keys):
+                continue
+            cut = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            at = 0
+            if held and size > _AT_ONCE:  # whole tasks only
+                end = 0 if (keys[0] != last).any() else int(cut[0]) if len(cut) else len(keys)
+                held.append(part.slice(0, end))
+                if end < len(keys):
                     yield found(held)
-                    held = []
-                at = tuple(keys[x])
-                held.append(part.slice(x, y - x))
+                    held, size = [], 0
+                at = end
+            if at < len(keys):
+                held.append(part.slice(at))
+            size += part.nbytes
+            last = keys[-1]
         if held:
             yield found(held)
 
     def found(held):
-        table = pa.Table.from_batches(held)
-        item, side = table.column("item").to_numpy(), table.column("side").to_numpy()
-        one = np.ones(len(item), bool)
-        one[1:] = item[1:] != item[:-1]  # repeated items stand for themselves once
-        if not one.all():
-            table, item, side = table.filter(pa.array(one)), item[one], side[one]
-        pairs = np.array(verify(table, side), np.int64).reshape(-1, 2)
+        table = pa.Table.from_batches(held).combine_chunks()
+        keys, item = _task_keys(table, names), table.column("item").to_numpy()
+        new = np.ones(len(item), bool)
+        new[1:] = (keys[1:] != keys[:-1]).any(1)
+        one = new.copy()
+        one[1:] |= item[1:] != item[:-1]  # repeated items stand for themselves once
+        table, item, group = table.filter(pa.array(one)), item[one], (np.cumsum(new) - 1)[one]
+        side = table.column("side").to_numpy()
+        pairs = link_groups(*sets(table), group, side, num, den)
         return edge_batch(item[pairs[:, 0]], item[pairs[:, 1]])
 
     return spread.mapInArrow(work, "a long, b long")
 
 
+_AT_ONCE, _SMALL, _PRINT = 4 << 20, 48, np.uint64(16)
+
+
+def _task_keys(part, names: list[str]) -> np.ndarray:
+    columns = [part.column(names.index(c)) for c in ("block", "i", "j")]
+    return np.stack([c.to_numpy().astype(np.int64) if isinstance(c, pa.ChunkedArray) else c.to_numpy(zero_copy_only=False).astype(np.int64) for c in columns], 1)
+
+
+def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group: np.ndarray, side: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Links (pairs of places) within each group of items, enough to connect all that are linked; ``group`` ascends, and a
+    group with sides wants only pairs across them. Small groups are compared together, in rounds; large ones by DivideSkip."""
+    first = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
+    out = [np.empty((0, 2), np.int64)]
+    n = np.diff(first)
+    split = np.maximum.reduceat(side, first[:-1]) if len(group) else side
+    large = (n > _SMALL) | (split > 0)
+    for g in np.flatnonzero(large).tolist():
+        a, b = int(first[g]), int(first[g + 1])
+        own = [np.sort(values[bounds[i] : bounds[i + 1]]) for i in range(a, b)]
+        found = divide_skip(own, sizes[a:b], side[a:b], num, den)
+        out.append(np.array(found, np.int64).reshape(-1, 2) + a)
+    small = np.repeat(~large & (n > 1), n)
+    label, pivot_done = np.arange(len(group)), ~small
+    while True:
+        # in each group, an item that hasn't been compared becomes the pivot for those not yet connected with it
+        waiting = np.flatnonzero(~pivot_done)
+        if not len(waiting):
+            return np.concatenate(out)
+        lead = np.ones(len(waiting), bool)
+        lead[1:] = group[waiting[1:]] != group[waiting[:-1]]
+        pivots = waiting[lead]
+        pivot_done[pivots] = True
+        of = np.full(int(group[-1]) + 1, -1)
+        of[group[pivots]] = pivots
+        x = waiting[~lead]
+        p = of[group[x]]
+        near = (label[x] != label[p]) & (np.minimum(sizes[x], sizes[p]) * den >= num * np.maximum(sizes[x], sizes[p]))
+        x, p = x[near], p[near]
+        for lo in range(0, len(x), 1 << 14):
+            xs, ps = x[lo : lo + (1 << 14)], p[lo : lo + (1 << 14)]
+            both = _overlaps(values, bounds, ps, xs)
+            yes = (den + num) * both >= num * (sizes[xs] + sizes[ps])
+            out.append(np.stack([xs[yes], ps[yes]], 1))
+            for a, b in zip(xs[yes].tolist(), ps[yes].tolist()):
+                if (old := label[a]) != label[b]:
+                    g0, g1 = first[np.searchsorted(first, a, side="right") - 1], first[np.searchsorted(first, a, side="right")]
+                    part = label[g0:g1]
+                    part[part == old] = label[b]
+
+
+def _overlaps(values: np.ndarray, bounds: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Common values of items a[i] and b[i], by one sort of (pair, 48 bits of the value) for all pairs."""
+    items = np.concatenate([a, b])
+    pair = np.tile(np.arange(len(a), dtype=np.uint64), 2)
+    size = (bounds[items + 1] - bounds[items]).astype(np.int64)
+    start = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(start - bounds[items], size)
+    key = np.repeat(pair << np.uint64(48), size) | values[place] >> _PRINT
+    key.sort()
+    same = key[1:][key[1:] == key[:-1]] >> np.uint64(48)
+    return np.bincount(same.astype(np.int64), minlength=len(a))
+
+
 class Union:
     """Disjoint sets as an array of labels, so that members can be compared all at once."""
 
@@ -127,3 +200,58 @@ class Union:
         self.label[more] = x
         own += more
         self.members[x] = own
+
+
+def needed(size: int, num: int, den: int) -> int:
+    """The least overlap of a set of ``size`` with any set it links with."""
+    return -(-num * size // den)
+
+
+def divide_skip(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Links that connect all similar sets: ``sets`` are sorted arrays, ``sizes`` the sizes that count for the similarity."""
+    if len(sets) == 2:
+        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+        return [(1, 0)] if (den + num) * both >= num * int(sizes[0] + sizes[1]) else []
+    across = bool(side.any())
+    every = np.concatenate(sets)
+    known, index = np.unique(every, return_inverse=True)
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    owner = np.repeat(np.arange(len(sets)), np.diff(bounds))
+    order = np.lexsort((owner, index))
+    posting, start = owner[order], np.searchsorted(index[order], np.arange(len(known) + 1))
+    own = [index[bounds[i] : bounds[i + 1]] for i in range(len(sets))]
+    groups, out = Union(len(sets)), []
+    for d in range(len(sets)):
+        if across and side[d] == 0:
+            continue
+        size, terms = int(sizes[d]), own[d]
+        least = needed(size, num, den)
+        length = start[terms + 1] - start[terms]
+        terms = terms[np.argsort(length, kind="stable")]
+        if len(terms) < least:
+            continue
+        # the more lists are long, the fewer are merged and the lower is the count that makes a candidate
+        n_long = min(len(terms) - 1, least - 1)
+        short, long = terms[: len(terms) - n_long], terms[len(terms) - n_long :]
+        merged = np.concatenate([posting[start[t] : start[t + 1]] for t in short])
+        count = np.bincount(merged, minlength=len(sets))
+        other = (side == 0) if across else np.arange(len(sets)) < d
+        want = -(-num * (size + sizes) // (den + num))  # the overlap that links d with each
+        near = (count >= np.maximum(1, least - n_long)) & other & (groups.label != groups.label[d]) & (count + n_long >= want)
+        near &= (np.minimum(size, sizes) * den >= num * np.maximum(size, sizes))
+        candidates = np.flatnonzero(near)
+        candidates = candidates[np.argsort(-count[candidates], kind="stable")]
+        long = np.sort(long)
+        while len(candidates):
+            c = int(candidates[0])
+            place = np.searchsorted(own[c], long)
+            place[place == len(own[c])] = 0
+            total = int(count[c]) + int((own[c][place] == long).sum())
+            if total >= want[c]:
+                out.append((d, c))
+                groups.join(d, c)
+                candidates = candidates[1:]
+                candidates = candidates[groups.label[candidates] != groups.label[d]]
+            else:
+                candidates = candidates[1:]
+    return out

@@ -21,8 +21,7 @@ from ._blocks import MOST, links
 from ._components import components
 from ._route import BATCH_BYTES, answer, ask, batches, ddl, deltas, finish, narrow, pack, runs, to_shards, undelta, unpack
 from ._spark import pieces, stored, text_bytes
-from ._text import _BYTE, _CHUNK, RADIX, SPACE, mix, powers, string_buffer
-from .ngram_join import divide_skip
+from ._text import _BYTE, _CHUNK, RADIX, SPACE, distinct_pairs, mix, powers, string_buffer
 
 _NO_ID = 2**63 - 1
 _NEWLINE = 0x0A
@@ -45,25 +44,22 @@ class Lines:
         self.end = np.where(last, self.offsets[1:][self.doc], np.append(self.start[1:], 0) - 1)
         first = np.searchsorted(self.doc, np.arange(len(self.offsets)))
         self.first, self.number = first, np.arange(len(self.doc)) - first[self.doc]
-        solid = np.concatenate([[0], np.cumsum(~SPACE[self.data])])
-        self.blank = solid[self.end] == solid[self.start]
-
-    def hashes(self, which: int, at: np.ndarray) -> np.ndarray:
-        """Hashes of the lines ``at`` (ascending, none of them empty)."""
-        start, end = self.start[at], self.end[at]
-        table = _BYTE[which].copy()
-        table[_NEWLINE] = 0
-        out = np.empty(len(at), np.uint64)
-        i = 0
-        while i < len(at):
-            j = max(i + 1, int(np.searchsorted(start, start[i] + _CHUNK)))
-            size = end[i:j] - start[i:j]
-            first = np.cumsum(size) - size
-            place = np.arange(int(size.sum())) - np.repeat(first, size)
-            value = table[self.data[place + np.repeat(start[i:j], size)]]
-            value *= powers(int(RADIX[which]), int(size.max()) + 1)[place]
-            out[i:j] = mix(np.add.reduceat(value, first) ^ size.astype(np.uint64) * RADIX[1 - which], which + 5)
-            i = j
+        self.blank = self.end == self.start
+        for i in np.flatnonzero(~self.blank & SPACE[self.data[np.minimum(self.start, len(self.data) - 1)]]).tolist() if len(self.data) else []:
+            self.blank[i] = SPACE[self.data[self.start[i] : self.end[i]]].all()
+
+    def hashes(self, at: np.ndarray) -> list[np.ndarray]:
+        """Two independent hashes of the lines ``at`` (ascending, none of them empty)."""
+        start, size = self.start[at], self.end[at] - self.start[at]
+        out = [np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)]
+        for _, i, j in runs(np.cumsum(size) // _CHUNK):
+            first = np.cumsum(size[i:j]) - size[i:j]
+            place = np.arange(int(size[i:j].sum())) - np.repeat(first, size[i:j])
+            byte = self.data[place + np.repeat(start[i:j], size[i:j])]
+            for k in range(2):
+                value = _BYTE[k][byte]
+                value *= powers(int(RADIX[k]), int(size[i:j].max()) + 1)[place]
+                out[k][i:j] = mix(np.add.reduceat(value, first) ^ size[i:j].astype(np.uint64) * RADIX[1 - k], k + 5)
         return out
 
     def shingles(self, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +94,7 @@ def _distinct(rows: pa.Table):
     lines = Lines(rows.column("text"))
     ids = np.array([_NO_ID if i is None else i for i in rows.column("doc_id").to_pylist()], np.int64)
     solid = np.flatnonzero(~lines.blank)
-    one, two = lines.hashes(0, solid), lines.hashes(1, solid)
+    one, two = lines.hashes(solid)
     order = np.lexsort((lines.number[solid], lines.doc[solid], ids[lines.doc[solid]], two, one))
     new = np.ones(len(order), bool)
     new[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
@@ -144,8 +140,12 @@ def _owned(one: np.ndarray, shards: int, got) -> np.ndarray:
 
 def _ask_bands(size: int, bands: int, rows_: int, shards: int):
     def fn(batch, rows, got):
-        lines, _, at, one, _, _ = _distinct(rows)
+        lines, _, at, one, _, solid = _distinct(rows)
         at = np.sort(at[_owned(one, shards, got)])
+        repeat = np.zeros(len(lines.doc), bool)
+        repeat[solid] = True
+        repeat[at] = False
+        yield -2 - batch, pack(np.packbits(repeat))  # comes back to this batch as it is
         if not len(at):
             return
         keys = np.concatenate([signature_bands(*lines.shingles(part, size), bands, rows_) for part in _parts(lines, at)]).ravel()
@@ -165,6 +165,9 @@ def _parts(lines: Lines, at: np.ndarray, most: int = 2 << 20):
 
 
 def _shared_bands(shard, asked):
+    if shard < 0:
+        yield from asked
+        return
     got = [(b, unpack(p)) for b, p in asked]
     keys = np.concatenate([g[1] for _, g in got])
     _, index, count = np.unique(keys, return_inverse=True, return_counts=True)
@@ -177,13 +180,13 @@ def _shared_bands(shard, asked):
             yield b, pack(deltas(undelta(g[0])[mine]), g[1][mine])
 
 
-def _candidates(size: int):
-    kinds = [("item", pa.int64()), ("batch", pa.int64()), ("id", pa.int64()), ("doc", pa.int64()), ("line", pa.int64()), ("n_shingles", pa.int64()), ("keys", pa.binary()), ("shared", pa.binary())]
+def _candidates():
+    kinds = [("item", pa.int64()), ("batch", pa.int64()), ("id", pa.int64()), ("line", pa.int64()), ("keys", pa.binary()), ("content", pa.binary())]
 
     def fn(batch, rows, got):
         out: list[tuple] = []
-        if got:
-            x = [unpack(p) for _, p in got]
+        x = [unpack(p) for s, p in got if s >= 0]
+        if x:
             line, keys = np.concatenate([undelta(g[0]).astype(np.int64) for g in x]), np.concatenate([g[1] for g in x])
             order = np.argsort(line, kind="stable")
             line, keys = line[order], keys[order]
@@ -191,63 +194,63 @@ def _candidates(size: int):
             ids = rows.column("doc_id").to_pylist()
             places = runs(line)
             at = np.array([p for p, _, _ in places])
-            names = lines.hashes(0, at).view(np.int64).tolist()
+            names = lines.hashes(at)[0].view(np.int64).tolist()
             for k, (p, a, b) in enumerate(places):
-                own = np.unique(mix(lines.shingles(at[k : k + 1], size)[0]))
-                d = int(lines.doc[p])
-                out.append((names[k], batch, _NO_ID if ids[d] is None else ids[d], d, int(lines.number[p]), len(own), keys[a:b].tobytes(), own.tobytes()))
+                i = ids[int(lines.doc[p])]
+                out.append((names[k], batch, _NO_ID if i is None else i, p, keys[a:b].tobytes(), lines.data[lines.start[p] : lines.end[p]].tobytes()))
+        out += [(None, batch, None, None, None, p) for s, p in got if s < 0]  # the repeats, for the last pass
         cols = list(zip(*out)) if out else [[]] * len(kinds)
         return pa.Table.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, kinds)], schema=pa.schema(kinds))
 
     return fn
 
 
-def _verify(num: int, den: int):
-    def fn(rows: pa.Table, side: np.ndarray):
-        return divide_skip([np.frombuffer(s, "<u8") for s in rows.column("shared").to_pylist()], rows.column("n_shingles").to_numpy(), side, num, den)
-
-    return fn
-
-
-def _kept(shards: int):
-    def fn(batch, rows, got):
-        lines, _, at, one, _, solid = _distinct(rows)
-        mine = _owned(one, shards, [g for g in got if g[0] >= 0])
-        lost = {struct.unpack("<q", p)[0] for s, p in got if s < 0}
-        if lost:
-            mine &= ~np.isin(one.view(np.int64), np.fromiter(lost, np.int64, len(lost)))
-        removed = np.zeros(len(lines.doc), bool)
-        removed[solid] = True
-        removed[at[mine]] = False
-        n = len(lines.offsets) - 1
-        count = np.bincount(lines.doc[removed], minlength=n)
-        keep = ~removed
-        doc, length = lines.doc[keep], (lines.end - lines.start)[keep]
-        edge = np.zeros(len(lines.data) + 1, np.int32)
-        np.add.at(edge, lines.start[keep], 1)
-        np.add.at(edge, lines.end[keep], -1)
-        body = lines.data[np.cumsum(edge[:-1]) > 0]
-        follows = np.zeros(len(doc), bool)
-        follows[1:] = doc[1:] == doc[:-1]
-        body = np.insert(body, (np.cumsum(length) - length)[follows], _NEWLINE)
-        sizes = np.bincount(doc, length + follows, minlength=n).astype(np.int64)
-        text = pa.LargeStringArray.from_buffers(n, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)])), pa.py_buffer(body.tobytes())).cast(pa.string())
-        whole = rows.column("text").is_valid().combine_chunks() if isinstance(rows.column("text"), pa.ChunkedArray) else rows.column("text").is_valid()
-        if isinstance(whole, pa.ChunkedArray):
-            whole = pa.concat_arrays(whole.chunks)
-        text = pc.if_else(whole, text, pa.nulls(n, pa.string()))
-        rows = rows.set_column(rows.schema.get_field_index("text"), pa.field("text", pa.string()), text)
-        return rows.append_column("n_lines", pa.array(np.diff(lines.first), pa.int64())).append_column("n_removed", pa.array(count, pa.int64()))
+def _line_sets(size: int):
+    def fn(rows: pa.Table):
+        lines = Lines(rows.column("content").cast(pa.string()))
+        value, first = lines.shingles(np.arange(len(lines.doc)), size)
+        count = np.diff(np.append(first, len(value)))
+        doc, value = distinct_pairs(np.repeat(np.arange(len(count)), count), mix(value))
+        bounds = np.searchsorted(doc, np.arange(len(count) + 1))
+        return value, bounds, np.diff(bounds)
 
     return fn
 
 
-def dedup_lines(docs: DataFrame, size: int = 8, bands: int = 12, rows: int = 5, num: int = 80, den: int = 100, most: int = MOST, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def _kept(batch, rows, got):
+    """Each text without its removed lines and a new-line for each."""
+    lines = Lines(rows.column("text"))
+    removed = np.zeros(len(lines.doc), bool)
+    for shard, p in got:
+        if shard < -1:
+            removed = np.unpackbits(unpack(p)[0])[: len(removed)].astype(bool)
+    removed[[struct.unpack("<q", p)[0] for shard, p in got if shard == -1]] = True
+    n = len(lines.offsets) - 1
+    count = np.bincount(lines.doc[removed], minlength=n)
+    keep = np.ones(len(lines.data), bool)
+    last = np.append(lines.doc[1:] != lines.doc[:-1], True) if len(lines.doc) else removed
+    for a, b in zip(lines.start[removed].tolist(), (lines.end + ~last)[removed].tolist()):
+        keep[a:b] = False
+    tail = np.full(n, -1)  # the last line that a text keeps; if others came after it, its new-line goes
+    np.maximum.at(tail, lines.doc[~removed], np.flatnonzero(~removed))
+    tail = tail[tail >= 0]
+    tail = tail[~last[tail]]
+    tail = tail[removed[np.minimum(tail + 1, len(removed) - 1)]]
+    keep[lines.end[tail]] = False
+    size = np.concatenate([[0], np.cumsum(keep)])[lines.offsets]
+    text = pa.LargeStringArray.from_buffers(n, pa.py_buffer(size), pa.py_buffer(lines.data[keep].tobytes())).cast(pa.string())
+    column = rows.column("text")
+    whole = pa.concat_arrays(column.is_valid().chunks) if column.num_chunks else pa.array([], pa.bool_())
+    rows = rows.set_column(rows.schema.get_field_index("text"), pa.field("text", pa.string()), pc.if_else(whole, text, pa.nulls(n, pa.string())))
+    return rows.append_column("n_lines", pa.array(np.diff(lines.first), pa.int64())).append_column("n_removed", pa.array(count, pa.int64()))
+
+
+def dedup_lines(docs: DataFrame, size: int = 8, bands: int = 10, rows: int = 4, num: int = 80, den: int = 100, most: int = MOST, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``docs`` (doc_id, text, any more) without repeated lines; adds n_lines (before) and n_removed.
 
     Lines are similar if the Jaccard similarity of their sets of ``size``-byte shingles (of the UTF-8 text) is at least
     num / den; equal and similar lines form components, of which the line of the smallest (doc_id, row, line) stays. At that
-    similarity a pair shares a band with probability 1 - (1 - (num / den) ** rows) ** bands (0.991), above it with more.
+    similarity a pair shares a band with probability 1 - (1 - (num / den) ** rows) ** bands (0.995), above it with more.
     Blank lines stay and join nothing; a line shorter than a shingle is similar to equal ones only. Null texts stay null;
     rows with a null id come last. Columns named n_lines or n_removed are replaced, others kept.
     """
@@ -256,16 +259,16 @@ def dedup_lines(docs: DataFrame, size: int = 8, bands: int = 12, rows: int = 5,
     held = batches(docs, batch_bytes=batch_bytes)
     equal = answer(ask(held, _ask_equal(shards)), _first_of_all)
     near = answer(ask(held, _ask_bands(size, bands, rows, shards), equal), _shared_bands)
-    schema = "item long, batch long, id long, doc long, line long, n_shingles long, keys binary, shared binary"
-    found = stored(finish(held, near, _candidates(size), schema), "lines")
-    groups = components(links(found.select("item", "keys", "n_shingles", "shared"), _verify(num, den), most))
-    place = F.struct("id", "batch", "doc", "line")
-    placed = found.select("item", "batch", place.alias("place")).join(groups, found["item"] == groups["node"]).select("item", "batch", "place", "component")
+    found = stored(finish(held, near, _candidates(), "item long, batch long, id long, line long, keys binary, content binary"), "lines")
+    near_lines = found.where("item is not null")
+    groups = components(links(near_lines.select("item", "keys", "content"), _line_sets(size), num, den, most))
+    place = F.struct("id", "batch", "line")
+    placed = near_lines.select("item", "batch", "line", place.alias("place")).join(groups, F.col("item") == F.col("node")).select("batch", "line", "place", "component")
     least = placed.groupBy("component").agg(F.min("place").alias("least"))
     lost = placed.join(least, "component").where(F.col("place") != F.col("least"))
-    # as a row's bytes, least significant first: the answer that a batch gets for each of its lines that go
-    told = lost.select(F.lit(-1).cast("long").alias("shard"), "batch", _little_endian(F.col("item")).alias("payload"))
-    return finish(held, equal.unionByName(told), _kept(shards), ddl(docs, "n_lines long", "n_removed long"))
+    told = lost.select(F.lit(-1).cast("long").alias("shard"), "batch", _little_endian(F.col("line")).alias("payload"))
+    back = found.where("item is null").select(F.lit(-2).cast("long").alias("shard"), "batch", F.col("content").alias("payload")).unionByName(told)
+    return finish(held, back, _kept, ddl(docs, "n_lines long", "n_removed long"))
 
 
 def _little_endian(value):

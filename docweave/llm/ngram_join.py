@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._blocks import MOST, Union, links
+from ._blocks import MOST, links, needed
 from ._components import components
-from ._route import BATCH_BYTES, answer, ask, batches, finish, deltas, pack, runs, undelta, unpack
+from ._route import BATCH_BYTES, answer, ask, batches, deltas, finish, pack, runs, undelta, unpack
 from ._spark import pieces, stored, text_bytes
 from ._text import Words, distinct_pairs, shingles
 
@@ -51,11 +51,6 @@ def _frequencies(shard, asked):
         at += len(p)
 
 
-def needed(size: int, num: int, den: int) -> int:
-    """The least overlap of a set of ``size`` with any set it links with."""
-    return -(-num * size // den)
-
-
 def _judged(n: int, num: int, den: int, shards: int):
     """Per row: doc_id, n_shingles, and for a document with enough shared shingles its fingerprint, shingles and prefix."""
 
@@ -82,62 +77,9 @@ def _judged(n: int, num: int, den: int, shards: int):
     return fn
 
 
-def divide_skip(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Links that connect all similar sets: ``sets`` are sorted arrays, ``sizes`` the sizes that count for the similarity."""
-    if len(sets) == 2:
-        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return [(1, 0)] if (den + num) * both >= num * int(sizes[0] + sizes[1]) else []
-    across = bool(side.any())
-    every = np.concatenate(sets)
-    known, index = np.unique(every, return_inverse=True)
-    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    owner = np.repeat(np.arange(len(sets)), np.diff(bounds))
-    order = np.lexsort((owner, index))
-    posting, start = owner[order], np.searchsorted(index[order], np.arange(len(known) + 1))
-    own = [index[bounds[i] : bounds[i + 1]] for i in range(len(sets))]
-    groups, out = Union(len(sets)), []
-    for d in range(len(sets)):
-        if across and side[d] == 0:
-            continue
-        size, terms = int(sizes[d]), own[d]
-        least = needed(size, num, den)
-        length = start[terms + 1] - start[terms]
-        terms = terms[np.argsort(length, kind="stable")]
-        if len(terms) < least:
-            continue
-        # the more lists are long, the fewer are merged and the lower is the count that makes a candidate
-        n_long = min(len(terms) - 1, least - 1)
-        short, long = terms[: len(terms) - n_long], terms[len(terms) - n_long :]
-        merged = np.concatenate([posting[start[t] : start[t + 1]] for t in short])
-        count = np.bincount(merged, minlength=len(sets))
-        other = (side == 0) if across else np.arange(len(sets)) < d
-        want = -(-num * (size + sizes) // (den + num))  # the overlap that links d with each
-        near = (count >= np.maximum(1, least - n_long)) & other & (groups.label != groups.label[d]) & (count + n_long >= want)
-        near &= (np.minimum(size, sizes) * den >= num * np.maximum(size, sizes))
-        candidates = np.flatnonzero(near)
-        candidates = candidates[np.argsort(-count[candidates], kind="stable")]
-        long = np.sort(long)
-        while len(candidates):
-            c = int(candidates[0])
-            place = np.searchsorted(own[c], long)
-            place[place == len(own[c])] = 0
-            total = int(count[c]) + int((own[c][place] == long).sum())
-            if total >= want[c]:
-                out.append((d, c))
-                groups.join(d, c)
-                candidates = candidates[1:]
-                candidates = candidates[groups.label[candidates] != groups.label[d]]
-            else:
-                candidates = candidates[1:]
-    return out
-
-
-def _verify(num: int, den: int):
-    def fn(rows: pa.Table, side: np.ndarray):
-        sets = [np.sort(np.frombuffer(s, "<u8")) for s in rows.column("shared").to_pylist()]
-        return divide_skip(sets, rows.column("n_shingles").to_numpy(), side, num, den)
-
-    return fn
+def _shared(rows: pa.Table):
+    own = [np.frombuffer(s, "<u8") for s in rows.column("shared").to_pylist()]
+    return np.concatenate(own), np.cumsum([0] + [len(s) for s in own]), rows.column("n_shingles").to_numpy()
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, most: int = MOST, batch_bytes: int = BATCH_BYTES) -> DataFrame:
@@ -157,10 +99,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     live = every.where("shared is not null and doc_id is not null")
     classes = live.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("rep"))
     chosen = live.join(classes.select(F.col("rep").alias("doc_id"), "one", "two", "n_shingles"), ["doc_id", "one", "two", "n_shingles"], "left_semi")
-    found = links(chosen.select(F.xxhash64("one", "two", "n_shingles").alias("item"), "n_shingles", "shared", "keys"), _verify(num, den), most)
+    found = links(chosen.select(F.xxhash64("one", "two", "n_shingles").alias("item"), "n_shingles", "shared", "keys"), _shared, num, den, most)
     groups = components(found)
     named = stored(classes.withColumn("node", F.xxhash64("one", "two", "n_shingles")).join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component"), "classes")
-    # a document may stand in several classes if its id is repeated: classes of one id belong together
     smallest = named.groupBy("group").agg(F.min("rep").alias("component_id"))
     mine = named.join(smallest, "group").select("one", "two", "n_shingles", "component_id")
     out = every.select("doc_id", "n_shingles", "one", "two").join(mine, ["one", "two", "n_shingles"], "left")
