@@ -24,7 +24,7 @@ SLACK = 1e-6
 class MTree:
     """Pages of up to ``page`` entries over integer vectors with ids; built by recursive clustering around spread centres."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = 128):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = 256):
         self.ids, self.raw = ids.astype(np.int64), vectors.astype(np.float64)
         norm = (self.raw**2).sum(1)
         self.top = float(norm.max()) if len(norm) else 0.0
@@ -32,7 +32,8 @@ class MTree:
         self.page, self.nodes = page, []
         if len(ids):
             everything = np.arange(len(ids))
-            self.root = self._build(everything, self._centre(everything))
+            self.centre = self._centre(everything)
+            self.root = self._build(everything, self.centre)
 
     def _centre(self, rows: np.ndarray) -> int:
         """The row nearest to the mean."""
@@ -73,64 +74,71 @@ class MTree:
         self.nodes.append(("inner", np.array(children), c, radius, self._distance(c, centre), smallest))
         return len(self.nodes) - 1
 
-    def search(self, own: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """The k best (score, id) other than ``own``, scores falling, ties to the smaller id."""
+    def search(self, own: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query place, id, score) of each query's k best other than the id ``own``, ties to the smaller id.
+
+        The queries of a block walk together, best first by their least bound; at each entry those go on that the bounds
+        don't exclude: first the stored parent distance, then the covering radius, in a leaf each vector's stored distance.
+        """
         if not len(self.ids):
-            return []
-        q = query.astype(np.float64)
-        square = float(q @ q)
-        point = np.append(q, 0.0)
-        heap: list[tuple[int, int]] = []  # (score, -id): the worst first
-
-        def reach() -> float:
-            """Distance beyond which nothing can enter."""
-            return np.inf if len(heap) < k else np.sqrt(max(0.0, square + self.top - 2.0 * heap[0][0])) + SLACK
-
-        root_centre = self._root_centre()
-        queue = [(0.0, 0, self.root, float(np.sqrt(((self.points[root_centre] - point) ** 2).sum())))]
+            return (np.empty(0, np.int64),) * 3
+        q = queries.astype(np.float64)
+        square = (q**2).sum(1)
+        order = np.argsort(self.ids, kind="stable")
+        tie = np.empty(len(order), np.int64)  # larger for smaller ids
+        tie[order] = len(order) - 1 - np.arange(len(order))
+        width = 1 << max(1, int(len(order) - 1).bit_length())
+        none = -(2**62)
+        best = np.full((len(q), k), none, np.int64)  # score * width + tie
+        limit = np.full(len(q), np.inf)
+        nodes = [(0.0, 0, self.root, np.arange(len(q)), np.zeros(len(q)), self._to(q, square, np.array([self.centre]))[:, 0])]
         tick = 0
-        while queue:
-            bound, _, node, to_centre = heapq.heappop(queue)
-            limit = reach()
-            if bound > limit:
-                break
+        while nodes:
+            _, _, node, active, low, to_centre = heapq.heappop(nodes)
+            go = low <= limit[active]
+            active, to_centre = active[go], to_centre[go]
+            if not len(active):
+                continue
             entry = self.nodes[node]
             if entry[0] == "leaf":
                 _, rows, d, _ = entry
-                a, b = np.searchsorted(d, to_centre - limit), np.searchsorted(d, to_centre + limit, side="right")
-                rows = rows[a:b]
-                if not len(rows):
+                a = int(np.searchsorted(d, (to_centre - limit[active]).min()))
+                b = int(np.searchsorted(d, (to_centre + limit[active]).max(), side="right"))
+                if a == b:
                     continue
-                score = self.raw[rows] @ q
-                if len(heap) == k:
-                    hit = score >= heap[0][0]
-                    rows, score = rows[hit], score[hit]
-                if len(rows) > 4 * k:
-                    best = np.lexsort((self.ids[rows], -score))[: k + 1]
-                    rows, score = rows[best], score[best]
-                for i, s in zip(self.ids[rows].tolist(), score.tolist()):
-                    if i != own:
-                        item = (int(s), -i)
-                        if len(heap) < k:
-                            heapq.heappush(heap, item)
-                        elif item > heap[0]:
-                            heapq.heapreplace(heap, item)
+                rows = rows[a:b]
+                key = (q[active] @ self.raw[rows].T).astype(np.int64) * width + tie[rows]
+                key[self.ids[rows] == own[active][:, None]] = none
+                gain = key.max(1) > best[active, 0]
+                active = active[gain]
+                if len(active):
+                    merged = np.concatenate([best[active], key[gain]], 1)
+                    merged = np.partition(merged, merged.shape[1] - k, axis=1)[:, -k:]
+                    worst = merged.min(1)
+                    merged[np.arange(len(active)), merged.argmin(1)] = merged[:, 0]
+                    merged[:, 0] = worst  # the worst comes first
+                    best[active] = merged
+                    full = worst > none
+                    score = worst // width
+                    limit[active[full]] = np.sqrt(np.maximum(0.0, square[active[full]] + self.top - 2.0 * score[full])) + SLACK
             else:
-                _, children, centres, radius, parent, smallest = entry
-                open_ = np.flatnonzero(np.abs(to_centre - parent) - radius <= limit)  # no distance needed so far
-                if not len(open_):
-                    continue
-                d = np.sqrt(np.maximum(0.0, square + self.top - 2.0 * (self.raw[centres[open_]] @ q)))
-                low = np.maximum(0.0, d - radius[open_])
-                for j in np.flatnonzero(low <= limit).tolist():
-                    tick += 1
-                    heapq.heappush(queue, (float(low[j]), tick, int(children[open_[j]]), float(d[j])))
-        return [(s, -i) for s, i in sorted(heap, reverse=True)]
-
-    def _root_centre(self) -> int:
-        if not hasattr(self, "_rc"):
-            self._rc = self._centre(np.arange(len(self.ids)))
-        return self._rc
+                _, children, centres, radius, parent, _ = entry
+                near = np.abs(to_centre[:, None] - parent) - radius <= limit[active][:, None]  # no distance needed so far
+                open_ = np.flatnonzero(near.any(0))
+                d = self._to(q[active], square[active], centres[open_])
+                for at, j in enumerate(open_.tolist()):
+                    bound = np.maximum(0.0, d[:, at] - radius[j])
+                    on = near[:, j] & (bound <= limit[active])
+                    if on.any():
+                        tick += 1
+                        heapq.heappush(nodes, (float(bound[on].min()), tick, int(children[j]), active[on], bound[on], d[on, at]))
+        place, at = np.nonzero(best > none)
+        keys = best[place, at]
+        return place, self.ids[order[len(order) - 1 - keys % width]], keys // width
+
+    def _to(self, q: np.ndarray, square: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Distances of the queries to the candidates ``rows``."""
+        return np.sqrt(np.maximum(0.0, square[:, None] + self.top - 2.0 * (q @ self.raw[rows].T)))
 
 
 def _packed(df: DataFrame, parts: int, spread, name: str) -> DataFrame:
@@ -164,12 +172,12 @@ def whole_vectors(df: DataFrame, scale: int = 64) -> DataFrame:
     return out.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(vec, lambda x: F.floor(x * scale).cast("long")).alias("v"), F.size("embedding").alias("size"))
 
 
-def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int = 16_384, block_rows: int = 512, page: int = 128) -> DataFrame:
+def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int = 16_384, block_rows: int = 512, page: int = 256) -> DataFrame:
     """For each query its ``k`` candidates of the largest inner product: query_id, rank (from 1), vec_id, score.
 
     Both have (vec_id, v array<long>, size); a query meets candidates of its own length only, other than those of its own id;
     ties go to the smaller id; fewer candidates than k give all. Queries of one id count once (the smallest vector).
-    Products must stay below 2^53. Shards of candidates meet blocks of queries through a list of pairs of their numbers, so a
+    Products must stay below 2^62 / ``shard_rows`` (they are kept in one integer with the ties). Shards of candidates meet blocks of queries through a list of pairs of their numbers, so a
     task holds one shard and one block; each query then merges its shards' k best.
     """
     n, m = candidates.count(), queries.count()
@@ -188,11 +196,9 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, shard_rows: in
                 key = (part.column("size")[row].as_py(), part.column("shard")[row].as_py())
                 if key != last:
                     last, tree = key, MTree(*_open(part.column("shard_rows")[row].as_py()), page)
-                out = []
-                for own, vector in zip(*_open(part.column("block_rows")[row].as_py())):
-                    out += [(int(own), i, s) for s, i in tree.search(int(own), vector, k)]
-                cols = list(zip(*out)) if out else [[], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
+                own, vectors = _open(part.column("block_rows")[row].as_py())
+                place, found, score = tree.search(own, vectors, k)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (own[place], found, score)], names=["query_id", "vec_id", "score"])
 
     found = tasks.mapInArrow(search, "query_id long, vec_id long, score long")
     best = F.slice(F.sort_array(F.collect_list(F.struct("score", (-F.col("vec_id")).alias("minus"))), asc=False), 1, k)
