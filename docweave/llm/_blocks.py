@@ -2,7 +2,7 @@
 
 Items are linked in a candidate graph through their keys (a star for each key, reduced to forests on the map side, so a key
 that very many items share moves once for each task). Its components are blocks: no similar pair lies across two. A block
-of up to ``most`` items is one task; a larger one is cut into chunks and a task holds two chunks, so every pair still meets
+of up to ``most`` elements is one task; a larger one is cut into chunks and a task holds two chunks, so every pair still meets
 in one task and no task grows with the block.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ._components import components, edge_batch, local_components
 from ._spark import stored
 
-MOST = 3000
+MOST = 1_000_000
 
 
 def _key_stars(parts):
@@ -70,25 +70,23 @@ def blocks(items: DataFrame) -> DataFrame:
 def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]], num: int, den: int, most: int = MOST) -> DataFrame:
     """(a, b): links between items of Jaccard similarity num / den or more, enough to connect all that are linked.
 
-    ``items``: item, keys and whatever ``sets(rows)`` needs to give (values, bounds, sizes): item i has the distinct uint64
+    ``items``: item, keys, weight (elements, about) and whatever ``sets(rows)`` needs to give (values, bounds, sizes): item i has the distinct uint64
     values[bounds[i]:bounds[i + 1]] in common with others at most, and ``sizes[i]`` elements in all.
     """
-    in_block = stored(blocks(items), "blocks")
-    sizes = in_block.groupBy("block").agg(F.count("*").alias("n")).select(F.col("block").alias("of"), F.ceil(F.col("n") / most).cast("int").alias("chunks"))
+    in_block = stored(blocks(items).join(items.select("item", "weight"), "item"), "blocks")
+    sizes = in_block.groupBy("block").agg(F.sum("weight").alias("n")).select(F.col("block").alias("of"), F.ceil(F.greatest("n", F.lit(1)) / most).cast("int").alias("chunks"))
     dealt = in_block.join(sizes, in_block["block"] == sizes["of"]).drop("of").withColumn("chunk", F.pmod(F.xxhash64("item"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     tasks = dealt.withColumn("other", other).select("item", "block", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), (F.col("chunk") > F.col("other")).cast("int").alias("side"))
-    rows = items.drop("keys").join(tasks, "item")
+    rows = items.drop("keys", "weight").join(tasks, "item")
     spread = rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "item")
     names = spread.columns
 
     def work(parts):
         held: list[pa.RecordBatch] = []
         size, last = 0, None
-        for part in parts:
+        for part in (p.slice(i, 500) for p in parts for i in range(0, p.num_rows, 500)):
             keys = _task_keys(part, names)
-            if not len(keys):
-                continue
             cut = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
             at = 0
             if held and size > _AT_ONCE:  # whole tasks only
@@ -120,7 +118,7 @@ def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndar
     return spread.mapInArrow(work, "a long, b long")
 
 
-_AT_ONCE, _SMALL, _PRINT = 4 << 20, 48, np.uint64(16)
+_AT_ONCE, _SMALL, _PRINT = 1 << 20, 48, np.uint64(16)
 
 
 def _task_keys(part, names: list[str]) -> np.ndarray:
@@ -158,8 +156,9 @@ def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group
         p = of[group[x]]
         near = (label[x] != label[p]) & (np.minimum(sizes[x], sizes[p]) * den >= num * np.maximum(sizes[x], sizes[p]))
         x, p = x[near], p[near]
-        for lo in range(0, len(x), 1 << 14):
-            xs, ps = x[lo : lo + (1 << 14)], p[lo : lo + (1 << 14)]
+        held = np.diff(bounds)
+        for part in np.split(np.arange(len(x)), np.flatnonzero(np.diff(np.cumsum(held[x] + held[p]) >> 20)) + 1):
+            xs, ps = x[part], p[part]
             both = _overlaps(values, bounds, ps, xs)
             yes = (den + num) * both >= num * (sizes[xs] + sizes[ps])
             out.append(np.stack([xs[yes], ps[yes]], 1))

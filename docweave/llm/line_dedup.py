@@ -261,7 +261,7 @@ def dedup_lines(docs: DataFrame, size: int = 8, bands: int = 10, rows: int = 4,
     near = answer(ask(held, _ask_bands(size, bands, rows, shards), equal), _shared_bands)
     found = stored(finish(held, near, _candidates(), "item long, batch long, id long, line long, keys binary, content binary"), "lines")
     near_lines = found.where("item is not null")
-    groups = components(links(near_lines.select("item", "keys", "content"), _line_sets(size), num, den, most))
+    groups = components(links(near_lines.select("item", "keys", "content", F.length("content").alias("weight")), _line_sets(size), num, den, most))
     place = F.struct("id", "batch", "line")
     placed = near_lines.select("item", "batch", "line", place.alias("place")).join(groups, F.col("item") == F.col("node")).select("batch", "line", "place", "component")
     least = placed.groupBy("component").agg(F.min("place").alias("least"))
