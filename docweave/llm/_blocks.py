@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components, edge_batch, local_components
-from ._spark import stored
+from ._spark import release, stored
 
 MOST = 1_000_000
 
@@ -95,6 +95,7 @@ def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndar
                 if end < len(keys):
                     yield found(held)
                     held, size = [], 0
+                    release()
                 at = end
             if at < len(keys):
                 held.append(part.slice(at))
@@ -102,6 +103,8 @@ def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndar
             last = keys[-1]
         if held:
             yield found(held)
+        held = []
+        release()
 
     def found(held):
         table = pa.Table.from_batches(held).combine_chunks()

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import stored
+from ._spark import release, stored
 
 #: Edges that one task may join (32 bytes each at most); more go through star rounds over the cluster.
 ONE_TASK = 4_000_000
@@ -39,6 +39,7 @@ def _forest(parts):
         b.append(part.column(1).to_numpy(zero_copy_only=False))
     nodes, root = local_components(np.concatenate(a), np.concatenate(b))
     yield edge_batch(nodes, root)
+    release()
 
 
 def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ._spark import release
+
 BATCH_BYTES = 12 << 20
 Answers = list[tuple[int, bytes]]
 
@@ -84,6 +86,8 @@ def batches(docs: DataFrame, column: str = "text", batch_bytes: int = BATCH_BYTE
                     held, size, n = [], 0, n + 1
         if held:
             yield _bundle(base + n, held)
+        held = []
+        release()
 
     return docs.mapInArrow(bundle, "batch long, rows binary").repartition("batch")
 
@@ -128,8 +132,8 @@ def ask(held: DataFrame, fn: Callable[[int, pa.Table, Answers], Iterable[tuple[i
     def each(parts):
         for part in parts:
             for b, rows in zip(part.column(0).to_pylist(), part.column(1)):
-                for batch in _sent([(s, b, p) for s, p in fn(b, opened(rows.as_py()), [])]).to_batches():
-                    yield batch
+                yield from _sent([(s, b, p) for s, p in fn(b, opened(rows.as_py()), [])]).to_batches()
+                release()
 
     return held.mapInArrow(each, _SENT_DDL)
 
@@ -141,7 +145,10 @@ def answer(asked: DataFrame, fn: Callable[[int, Answers], Iterable[tuple[int, by
         shard = table.column("shard")[0].as_py()
         got = sorted(zip(table.column("batch").to_pylist(), table.column("payload").to_pylist()))
         out = fn(shard, got)
-        return out if schema else _sent([(shard, b, p) for b, p in out])
+        out = out if schema else _sent([(shard, b, p) for b, p in out])
+        del got
+        release()
+        return out
 
     return asked.groupBy("shard").applyInArrow(each, schema or _SENT_DDL)
 
@@ -152,7 +159,10 @@ def finish(held: DataFrame, answers: DataFrame, fn: Callable[[int, pa.Table, Ans
     def each(left: pa.Table, right: pa.Table) -> pa.Table:
         batch, rows = left.column("batch")[0].as_py(), left.column("rows")[0].as_py()
         got = sorted(zip(right.column("shard").to_pylist(), right.column("payload").to_pylist()))
-        return fn(batch, opened(rows), got)
+        out = fn(batch, opened(rows), got)
+        del got, rows
+        release()
+        return out
 
     return held.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(each, schema)
 

@@ -5,13 +5,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that tune persistence)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks, and several share an executor's memory."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
