@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import sql
 from .tokenise import public_path
 
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
@@ -95,4 +96,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_output": op7_token_output,
     "op8_url_filter": op8_url_filter,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_ngram_jaccard_join": sql.OP3, "op4_substring_dedup": sql.OP4, "op5_top_k_search": sql.OP5}
