@@ -103,8 +103,8 @@ def calibrated(scored: DataFrame) -> DataFrame:
     w = Window.orderBy("b")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     everything = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    below = F.coalesce(F.sum("r").over(before), F.lit(0.0)) / F.sum("r").over(everything)
-    above = 1.0 - F.coalesce(F.sum("a").over(before), F.lit(0.0)) / F.sum("a").over(everything)
+    share = lambda c: F.try_divide(F.coalesce(F.sum(c).over(before), F.lit(0.0)), F.sum(c).over(everything))
+    below, above = share("r"), 1.0 - share("a")
     cut = (F.col("b") + F.coalesce(F.lag("b").over(w) + 1, F.col("b"))) / (2.0 * BIN)
     rated = bins.select("b", cut.alias("cut"), (below + above).alias("j"))
     return rated.where("j is not null").agg(F.max_by("cut", F.struct("j", -F.col("b"))).alias("threshold"))
