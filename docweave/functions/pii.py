@@ -35,7 +35,7 @@ DEFAULT_THRESHOLD, WRAPPER_THRESHOLD = 0.0, 0.45
 
 
 def _luhn(match: Column) -> Column:
-    digits = F.transform(F.split(F.regexp_replace(match, "[^0-9]", ""), ""), lambda c: c.cast("int"))
+    digits = F.transform(F.split(F.regexp_replace(match, "[^0-9]", ""), ""), lambda c: c.try_cast("int"))
     digits = F.reverse(F.filter(digits, lambda d: d.isNotNull()))
 
     def worth(d: Column, i: Column) -> Column:
@@ -46,7 +46,7 @@ def _luhn(match: Column) -> Column:
 
 
 def _octets(match: Column) -> Column:
-    return F.forall(F.split(match, r"\."), lambda p: p.cast("int") <= 255)
+    return F.forall(F.split(match, r"\."), lambda p: p.try_cast("int") <= 255)
 
 
 CHECKS = {"luhn": _luhn, "octets": _octets}
