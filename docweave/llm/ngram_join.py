@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import MOST, links, needed
 from ._components import components
-from ._route import BATCH_BYTES, answer, ask, batches, deltas, finish, pack, runs, undelta, unpack
+from ._route import answer, ask, batches, deltas, finish, pack, runs, undelta, unpack
 from ._spark import pieces, stored, text_bytes
 from ._text import Words, distinct_pairs, shingles
 
@@ -82,7 +82,7 @@ def _shared(rows: pa.Table):
     return np.concatenate(own), np.cumsum([0] + [len(s) for s in own]), rows.column("n_shingles").to_numpy()
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, most: int = MOST, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, most: int = MOST, batch_bytes: int = 8 << 20) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     A document's set: its distinct ``n``-word shingles after lower-casing A-Z; of fewer words, the whole sequence as one;

@@ -37,7 +37,7 @@ class PieceEncoder:
     ``spaces_matter`` is False for vocabularies whose normaliser lower-cases and drops white space.
     """
 
-    def __init__(self, path: str, spaces_matter: bool, most: int = 400_000):
+    def __init__(self, path: str, spaces_matter: bool, most: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
