@@ -139,7 +139,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, directo
         files, base = _filesystem(directory)
         files.create_dir(base, recursive=True)
         name = f"part-{part:06d}-{uuid.uuid4().hex}.ids.zst"
-        code, end = encoder(tokenizer_path, spaces_matter), struct.pack("<I", end_id)
+        code, end = encoder(tokenizer_path, spaces_matter, 450_000), struct.pack("<I", end_id)
         n_docs = 0
         with files.open_output_stream(f"{base}/{name}", compression=None) as out:
             writer = FrameWriter(out, frame_bytes)

@@ -15,7 +15,7 @@ from collections.abc import Iterable
 
 _CUT = re.compile(r"(?<=\S)(?= )")
 _AMBIGUOUS = re.compile(r"\s\s")
-_PLAIN = re.compile(r"( ?)([^\W\d_]+)([.,;:!?|]*)")
+_PLAIN = re.compile(r"( ?)([^\W\d_]*)([!-&(-/:-@\[-`{-~]*)")
 
 
 def public_path(name: str) -> str:
@@ -64,8 +64,11 @@ class PieceEncoder:
 
     def _piece(self, piece: str) -> bytes:
         m = _PLAIN.fullmatch(piece)
-        if m and (piece.isascii() or m[2].isalpha()):
+        if m and "<|" not in piece and (piece.isascii() or m[2].isalpha() or not m[2]):
             space, word, marks = m.groups()
+            if not word:
+                word, marks = (space if self.spaces_matter else "") + marks, ""
+                return self._part(word) if word else b""
             if self.spaces_matter:
                 return self._part(space + word) + (self._part(marks) if marks else b"")
             if word.isascii() or ("Σ" not in word and "İ" not in word and unicodedata.is_normalized("NFC", word)):
@@ -89,14 +92,14 @@ class PieceEncoder:
 _ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
 
 
-def encoder(path: str, spaces_matter: bool) -> PieceEncoder:
-    """One encoder for each Python worker."""
+def encoder(path: str, spaces_matter: bool, most: int = 200_000) -> PieceEncoder:
+    """One encoder for each Python worker, with a cache of about ``most`` pieces."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     key = (path, spaces_matter)
     if key not in _ENCODERS:
-        _ENCODERS[key] = PieceEncoder(path, spaces_matter)
+        _ENCODERS[key] = PieceEncoder(path, spaces_matter, most)
     return _ENCODERS[key]
 
 
