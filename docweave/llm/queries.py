@@ -53,7 +53,7 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import filter_urls
 
-    return filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+    return filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,4 +96,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_output": op7_token_output,
     "op8_url_filter": op8_url_filter,
 }
-SQL: dict[str, str] = {"op3_ngram_jaccard_join": sql.OP3, "op4_substring_dedup": sql.OP4, "op5_top_k_search": sql.OP5}
+SQL: dict[str, str] = {"op3_ngram_jaccard_join": sql.OP3, "op4_substring_dedup": sql.OP4, "op5_top_k_search": sql.OP5, "op8_url_filter": sql.op8(RULES)}

@@ -1,5 +1,9 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from __future__ import annotations
+
+from .url_filter import SEEDS, SYMBOLS
+
 OP3 = r"""
 with w as (select doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
 s as (select distinct doc_id, sh from (
@@ -36,3 +40,39 @@ s as (select q.vec_id query_id, c.vec_id, list_sum(list_transform(list_zip(q.v,
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s
 qualify row_number() over (partition by query_id order by score desc, vec_id) <= 20
 """
+
+
+def op8(rules) -> str:
+    """The URL filter with ``rules`` of (verdict, host/path)."""
+    fits = []
+    for verb, text in sorted(rules, key=lambda r: -len(r[1])):
+        h, p = text.split("/", 1)
+        fits.append((f"((host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '/{p}'))", text, verb))
+    rule = "case " + " ".join(f"when {f} then '{t}'" for f, t, _ in fits) + " end"
+    verdict = "case " + " ".join(f"when {f} then '{v}'" for f, _, v in fits) + " end"
+    seeds = ", ".join(f"'{x}'" for x in SEEDS)
+    return rf"""
+with h as (select page_id, url, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+  regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) path from pages),
+a as (select *, [31, 31] || list_transform(string_split(translate(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '123456789', '000000000'), ''),
+  lambda ch: case when instr('{SYMBOLS}', ch) = 0 then 30 else instr('{SYMBOLS}', ch) - 1 end) codes from h where host || path <> ''),
+t as (select *, list_transform(range(1, len(codes) - 1), lambda i: (codes[i] * 32 + codes[i + 1]) * 32 + codes[i + 2]) cells,
+  list_has_any(regexp_split_to_array(host, '[.-]'), [{seeds}]) rejected, substr(md5(url), 1, 1) in ('0', '1', '2') kept_out from a),
+n as (select rejected::int * 32768 + c id, count(*) n from (select rejected, unnest(cells) c from t where not kept_out) group by 1),
+g as (select r.id, coalesce(n.n, 0)::double n, r.id // 32768 y, (r.id % 32768) // 32 ba, (r.id // 32) % 32 a, r.id % 32 c from (select unnest(range(65536)) id) r left join n on n.id = r.id),
+g1 as (select *, sum(n) over (partition by y, a, c) nac, sum(n) over (partition by y, ba) nba, sum((n > 0)::int) over (partition by y, ba) tba from g),
+g2 as (select *, sum(case when ba < 32 then nac else 0 end) over (partition by y, a) na, sum((ba < 32 and nac > 0)::int) over (partition by y, a) ta,
+  sum(case when ba < 32 then nac else 0 end) over (partition by y, c) nc, sum(n) over (partition by y) n0 from g1),
+g3 as (select *, (nc + 1.0) / (n0 + 32) p0 from g2),
+g4 as (select *, case when na > 0 then (nac + ta * p0) / (na + ta) else p0 end p1 from g3),
+g5 as (select *, case when nba > 0 then (n + tba * p1) / (nba + tba) else p1 end p2 from g4),
+m as (select id % 32768 k, case when min(n0) > 0 then sum(ln(p2) * case y when 0 then 1 else -1 end) else 0 end v from g5 group by 1),
+s as (select page_id, any_value(rejected) rejected, any_value(kept_out) kept_out, avg(v) score from (select page_id, rejected, kept_out, unnest(cells) k from t) join m using (k) group by 1),
+b as (select floor(score * 1000) b, sum(rejected::int)::double r, sum((not rejected)::int)::double a from s where kept_out group by 1),
+j as (select b, (b + coalesce(lag(b) over (order by b) + 1, b)) / 2000.0 cut,
+  coalesce(sum(r) over (order by b rows between unbounded preceding and 1 preceding), 0) / nullif(sum(r) over (), 0)
+  + 1 - coalesce(sum(a) over (order by b rows between unbounded preceding and 1 preceding), 0) / nullif(sum(a) over (), 0) j from b),
+cut as (select arg_max(cut, j * 1e6 - b * 1e-6) cut from j where j is not null)
+select page_id, host, path, {rule} as rule, coalesce({verdict}, case when s.score < (select cut from cut) then 'block' else 'allow' end) as verdict
+from h left join s using (page_id)
+"""

@@ -114,15 +114,15 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = (), seeds:
     """Judge every row's ``url``: host, path, rule (null: none fits), score and verdict (allow or block) are added.
 
     Training URLs come from ``labels`` (url, rejected boolean) if given; otherwise the pages themselves, rejected where a
-    part of the host between dots and hyphens is in ``seeds``. One in five labelled URLs (by crc32) calibrates, the others
-    train. Null urls and urls without ``://`` have empty host and path and no score. Without a score, or if the labels lack
+    part of the host between dots and hyphens is in ``seeds``. Three in sixteen labelled URLs (by md5) calibrate, the
+    others train. Null urls and urls without ``://`` have empty host and path and no score. Without a score, or if the labels lack
     a class, the method allows. Repeated rows are judged alike; columns named like the added ones are replaced, others kept.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     if labels is None:
         named = F.arrays_overlap(F.split(host, "[.-]"), F.array(*[F.lit(s) for s in seeds])) if seeds else F.lit(False)
         labels = pages.select("url", named.alias("rejected"))
-    labels = labels.where("url is not null").select(F.concat(host, path).alias("text"), "rejected", (F.crc32(F.col("url").cast("binary")) % 5 == 0).alias("kept_out"))
+    labels = labels.where("url is not null").select(F.concat(host, path).alias("text"), "rejected", F.substring(F.md5(F.col("url").cast("binary")), 1, 1).isin("0", "1", "2").alias("kept_out"))
     model = model_table(labels.where("not kept_out"))
     held = labels.where("kept_out").withColumn("_table", model.scalar())
     cut = calibrated(held.select(score(F.col("text"), F.col("_table")).alias("score"), "rejected"))
