@@ -4,6 +4,10 @@ Words are routed to shards twice. By word: shards add up the training counts, an
 a number, small for frequent words. By the word before (v): a shard then holds every training trigram u v w of its v, as
 numbers, builds an Elias-Fano trie of them, maps it into memory, and answers, for the distinct trigrams of each batch, the
 two figures from which the batch gets the probability of w after u v. All training documents are counted, however many.
+
+A frequent v goes to several shards by a hash of u. Each then holds its contexts u v whole, and the shorter context of a
+trigram is v with u's class instead of v alone: still a distribution, counted from ``per_shard`` occurrences or more. The
+first word of a text has no context.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ._route import BATCH_BYTES, answer, ask, batches, ddl, finish, narrow, pack, runs, unpack
 from ._spark import pieces, text_bytes
-from ._text import Words
+from ._text import Words, mix
 from .elias_fano import NgramTrie, mapped
 
 BEGIN, END = np.uint64(0x1F3D5B79A2C4E687), np.uint64(0x2B4D6F81A3C5E709)
@@ -62,6 +66,7 @@ class _Tokens:
         rank = np.empty(len(known), np.int64)
         rank[order] = np.arange(len(known))
         self.known, self.shard, ids = known[order], shard[order].astype(np.int64), rank[index]
+        self.begin = int(np.flatnonzero(self.known == BEGIN)[0]) if n else -1
         real = np.ones(len(seq), bool)
         real[first[:-1]] = real[first[:-1] + 1] = False
         w = np.flatnonzero(real)
@@ -118,17 +123,31 @@ def _told(t: _Tokens, got) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return count, number, sums
 
 
-def _ask_trigrams(folds: int, held_out: int, shards: int):
+def _placed(t: _Tokens, v: np.ndarray, u: np.ndarray, count: np.ndarray, number: np.ndarray, shards: int, per_shard: int):
+    """Order of the distinct trigrams by shard, and its runs; those after a begin mark come first, with shard -1."""
+    ways = count[v] // per_shard + 1
+    kind = mix(number[u].astype(np.uint64), 77) % ways.astype(np.uint64)
+    shard = (t.shard[v] + kind.astype(np.int64)) % shards
+    shard[v == t.begin] = -1
+    shard += 1
+    order = np.argsort(shard.astype(np.uint16) if shards < 65535 else shard, kind="stable")
+    return order, [(s - 1, a, b) for s, a, b in runs(shard[order])]
+
+
+def _ask_trigrams(folds: int, held_out: int, shards: int, per_shard: int):
     def fn(batch, rows, got):
         t = _Tokens(rows, folds, held_out, shards)
-        _, number, _ = _told(t, got)
+        count, number, _ = _told(t, got)
         (v, u, w), index = t.trigrams()
         n = np.bincount(index, t.training, len(v)).astype(np.int64)
-        for shard, a, b in runs(t.shard[v]):
-            at = v[a:b]
-            new = np.concatenate([[True], at[1:] != at[:-1]])
-            times = np.diff(np.append(np.flatnonzero(new), b - a))
-            yield shard, pack(narrow(number[at[new]] // shards), narrow(times), narrow(number[u[a:b]]), narrow(number[w[a:b]]), narrow(n[a:b]))
+        order, parts = _placed(t, v, u, count, number, shards, per_shard)
+        for shard, a, b in parts:
+            if shard >= 0:
+                own = order[a:b]
+                at = v[own]
+                new = np.concatenate([[True], at[1:] != at[:-1]])
+                times = np.diff(np.append(np.flatnonzero(new), b - a))
+                yield shard, pack(narrow(number[at[new]]), narrow(times), narrow(number[u[own]]), narrow(number[w[own]]), narrow(n[own]))
 
     return fn
 
@@ -146,7 +165,8 @@ def _value(code: np.ndarray, steps: float) -> np.ndarray:
 def _continuations(shard, asked):
     got = [(b, unpack(p)) for b, p in asked]
     sizes = [len(g[4]) for _, g in got]
-    v, u, w, count = (np.concatenate(x) for x in ([np.repeat(g[0].astype(np.int64), g[1]) for _, g in got], *([g[k].astype(np.int64) for _, g in got] for k in (2, 3, 4))))
+    known = np.unique(np.concatenate([g[0] for _, g in got]))
+    v, u, w, count = (np.concatenate(x) for x in ([np.repeat(np.searchsorted(known, g[0]), g[1]) for _, g in got], *([g[k].astype(np.int64) for _, g in got] for k in (2, 3, 4))))
     names = [b for b, _ in got]
     del got
     (v, u, w), index = _distinct(v, u, w)
@@ -169,18 +189,19 @@ def _continuations(shard, asked):
         at += n
 
 
-def _scores(folds: int, held_out: int, shards: int):
+def _scores(folds: int, held_out: int, shards: int, per_shard: int):
     def fn(batch, rows, got):
         t = _Tokens(rows, folds, held_out, shards)
-        count, _, sums = _told(t, [g for g in got if g[0] < shards])
-        (v, _, w), index = t.trigrams()
+        count, number, sums = _told(t, [g for g in got if g[0] < shards])
+        (v, u, w), index = t.trigrams()
         share, rest = np.zeros(len(v)), np.ones(len(v))
-        spans = {s: (a, b) for s, a, b in runs(t.shard[v])}
+        order, parts = _placed(t, v, u, count, number, shards, per_shard)
+        spans = {s: order[a:b] for s, a, b in parts}
         for shard, payload in got:
             if shard >= shards:
                 x = unpack(payload)
-                a, b = spans[shard - shards]
-                share[a:b], rest[a:b] = _value(x[0], _SHARE), _value(x[1].astype(np.uint16), _WEIGHT)
+                own = spans[shard - shards]
+                share[own], rest[own] = _value(x[0], _SHARE), _value(x[1].astype(np.uint16), _WEIGHT)
         plain = (count + 0.1) / (sums[0] + 0.1 * (sums[1] + 1))
         log = np.log10(share + rest * plain[w])[index]
         base = np.log10(plain)[t.w]
@@ -193,7 +214,7 @@ def _scores(folds: int, held_out: int, shards: int):
     return fn
 
 
-def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, batch_bytes: int = BATCH_BYTES, per_shard: int = 400_000) -> DataFrame:
     """``docs`` (doc_id, text, any more) with held_out, n_tokens, n_known, train_tokens, base_score and score added.
 
     Learns from the documents whose crc32(doc_id as text) modulo ``folds`` isn't ``held_out``; a null id counts as the empty
@@ -206,6 +227,6 @@ def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, batch_b
     shards = pieces(text_bytes(docs), batch_bytes // 2)
     held = batches(docs, batch_bytes=batch_bytes)
     words = answer(ask(held, _ask_words(folds, held_out, shards)), _word_counts(shards))
-    ahead = answer(ask(held, _ask_trigrams(folds, held_out, shards), words), _continuations)
+    ahead = answer(ask(held, _ask_trigrams(folds, held_out, shards, per_shard), words), _continuations)
     told = words.unionByName(ahead.withColumn("shard", F.col("shard") + shards))
-    return finish(held, told, _scores(folds, held_out, shards), ddl(docs, *(f"{n} {k}" for n, k in zip(added, ("boolean", "long", "long", "long", "double", "double")))))
+    return finish(held, told, _scores(folds, held_out, shards, per_shard), ddl(docs, *(f"{n} {k}" for n, k in zip(added, ("boolean", "long", "long", "long", "double", "double")))))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import MOST, links, needed
 from ._components import components
-from ._route import answer, ask, batches, deltas, finish, pack, runs, undelta, unpack
+from ._route import answer, ask, batches, deltas, finish, narrow, pack, runs, undelta, unpack
 from ._spark import pieces, stored, text_bytes
 from ._text import Words, distinct_pairs, shingles
 
@@ -35,20 +35,30 @@ def _sets(rows: pa.Table, n: int, shards: int):
 def _ask(n: int, shards: int):
     def fn(batch, rows, _):
         _, _, value, order, parts = _sets(rows, n, shards)
-        for shard, a, b in parts:
-            yield shard, pack(deltas(value[order[a:b]] >> np.uint64(32)))
+        for shard, a, b in parts:  # each shingle once with its count, however many of the batch's documents have it
+            prints, first = _once(value[order[a:b]] >> np.uint64(32))
+            yield shard, pack(deltas(prints), narrow(np.diff(np.append(np.flatnonzero(first), b - a))))
 
     return fn
 
 
+def _once(ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, which elements are the first of theirs)."""
+    first = np.ones(len(ascending), bool)
+    first[1:] = ascending[1:] != ascending[:-1]
+    return ascending[first], first
+
+
 def _frequencies(shard, asked):
-    got = [(b, undelta(unpack(p)[0]).astype(np.uint32)) for b, p in asked]
-    one, index, count = np.unique(np.concatenate([p for _, p in got]), return_inverse=True, return_counts=True)
+    got = [(b, *unpack(p)) for b, p in asked]
+    prints = np.concatenate([undelta(x).astype(np.uint32) for _, x, _ in got])
+    one, index = np.unique(prints, return_inverse=True)
+    count = np.bincount(index, np.concatenate([n for _, _, n in got]), len(one))
     code = np.minimum(count, 65535).astype(np.uint16)[index]
     at = 0
-    for b, p in got:
-        yield b, pack(code[at : at + len(p)])
-        at += len(p)
+    for b, x, _ in got:
+        yield b, pack(code[at : at + len(x)])
+        at += len(x)
 
 
 def _judged(n: int, num: int, den: int, shards: int):
@@ -59,7 +69,8 @@ def _judged(n: int, num: int, den: int, shards: int):
         df = np.ones(len(value), np.uint16)
         told = dict(got)
         for shard, a, b in parts:
-            df[order[a:b]] = unpack(told[shard])[0]
+            _, new = _once(value[order[a:b]] >> np.uint64(32))
+            df[order[a:b]] = unpack(told[shard])[0][np.cumsum(new) - 1]
         texts = rows.num_rows
         first = np.searchsorted(doc, np.arange(texts + 1))
         size = np.diff(first)

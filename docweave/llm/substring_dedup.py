@@ -2,8 +2,9 @@
 
 Pass 1: every batch of documents sends the sketch of its windows, in sparse form, to shards of the hash space; a shard
 merges them into one count-min sketch and answers which windows it estimates to occur twice or more. It may overestimate but
-never misses one. Pass 2: only those windows travel with their full hashes (64 bits and 32 independent ones) and places, are
-grouped exactly, and all but the earliest of each group are reported back. Pass 3: covered words go.
+never misses one. Pass 2: of those windows each batch's earliest travels with its full hashes (64 bits and 32 independent
+ones) and place; they are grouped exactly, and all but the earliest of each group are reported back. Pass 3: covered words
+go. A window that very many documents share so moves once for each batch.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ class Sketch:
     def _cell(self, prints: np.ndarray, row: int) -> np.ndarray:
         return (prints * _ODD[row] ^ (prints >> np.uint32(15)) * _ODD[row - 1]) >> np.uint32(32 - self.bits)
 
-    def merge(self, prints: np.ndarray) -> None:
-        """Add a partition's sketch, given as the fingerprints counted in it."""
+    def merge(self, prints: np.ndarray, times: np.ndarray) -> None:
+        """Add partitions' sketches, given as the fingerprints counted in them and how often."""
         for k, row in enumerate(self.rows):
-            counts = np.bincount(self._cell(prints, k), minlength=len(row))
+            counts = np.bincount(self._cell(prints, k), times, minlength=len(row))
             np.minimum(counts + row, 255, out=row, casting="unsafe")
 
     def estimate(self, prints: np.ndarray) -> np.ndarray:
@@ -58,40 +59,57 @@ def _windows(rows: pa.Table, size: int, shards: int):
 def _sketch(size: int, shards: int):
     def fn(batch, rows, _):
         _, _, _, prints, order, parts = _windows(rows, size, shards)
-        for shard, a, b in parts:
-            yield shard, pack(deltas(prints[order[a:b]]))
+        for shard, a, b in parts:  # a window that the batch repeats counts twice there, which is all that matters
+            one, count = np.unique(prints[order[a:b]], return_counts=True)
+            yield shard, pack(deltas(one), np.minimum(count, 2).astype(np.uint8))
 
     return fn
 
 
 def _estimate(shard, asked):
-    got = [(b, undelta(unpack(p)[0]).astype(np.uint32)) for b, p in asked]
-    sketch = Sketch(sum(len(p) for _, p in got))
-    sketch.merge(np.concatenate([p for _, p in got]))
-    for b, prints in got:
+    got = [(b, *unpack(p)) for b, p in asked]
+    got = [(b, undelta(x).astype(np.uint32), n) for b, x, n in got]
+    sketch = Sketch(sum(len(x) for _, x, _ in got))
+    sketch.merge(np.concatenate([x for _, x, _ in got]), np.concatenate([n for _, _, n in got]))
+    for b, prints, _ in got:
         yield b, pack(np.packbits(sketch.estimate(prints) >= 2))
 
 
 def _candidates(size: int, shards: int):
     def fn(batch, rows, got):
-        words, starts, h, _, order, parts = _windows(rows, size, shards)
+        words, starts, h, prints, order, parts = _windows(rows, size, shards)
         masks = dict(got)
-        ids = [_NO_ID if i is None else i for i in rows.column("doc_id").to_pylist()]
-        second = windows(words.hash[1], size, 1) if len(starts) else None
+        ids = np.array([_NO_ID if i is None else i for i in rows.column("doc_id").to_pylist()], np.int64)
+        second = windows(words.hash[1], size, 1)[starts] if len(starts) else h
+        doc = np.searchsorted(words.first, starts, side="right") - 1
+        rank = np.empty(len(ids), np.int64)
+        rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+        repeated = []
         for shard, a, b in parts:
-            mask = np.unpackbits(unpack(masks[shard])[0])[: b - a].astype(bool)
-            at = np.sort(order[a:b][mask])
-            if len(at):
-                doc = np.searchsorted(words.first, starts[at], side="right") - 1
-                own, index = np.unique(doc, return_inverse=True)
-                place = starts[at] - words.first[doc]
-                check = (second[starts[at]] >> np.uint64(32)).astype(np.uint32)
-                yield shard, pack(h[at], check, deltas(at), narrow(index), narrow(place), np.array([ids[d] for d in own], np.int64), narrow(own))
+            own = order[a:b]
+            new = np.ones(b - a, bool)
+            new[1:] = prints[own[1:]] != prints[own[:-1]]
+            mask = np.unpackbits(unpack(masks[shard])[0])[: int(new.sum())].astype(bool)[np.cumsum(new) - 1]
+            at = own[mask]
+            if not len(at):
+                continue
+            at = at[np.lexsort((starts[at], rank[doc[at]], second[at], h[at]))]
+            first = np.ones(len(at), bool)
+            first[1:] = (h[at[1:]] != h[at[:-1]]) | (second[at[1:]] != second[at[:-1]])
+            repeated.append(at[~first])  # only the batch's earliest goes on; the others have one before them here
+            at = np.sort(at[first])
+            docs, index = np.unique(doc[at], return_inverse=True)
+            yield shard, pack(h[at], (second[at] >> np.uint64(32)).astype(np.uint32), deltas(at), narrow(index), narrow(starts[at] - words.first[doc[at]]), ids[docs], narrow(docs))
+        if repeated and len(own := np.sort(np.concatenate(repeated))):
+            yield -1 - batch, pack(deltas(own))  # comes back to this batch as it is
 
     return fn
 
 
 def _earliest(shard, asked):
+    if shard < 0:
+        yield from asked
+        return
     got = [(b, unpack(p)) for b, p in asked]
     docs = np.concatenate([np.stack([g[5], np.full(len(g[5]), k), g[6]], 1).astype(np.int64) for k, (_, g) in enumerate(got)])
     rank = np.empty(len(docs), np.uint64)
