@@ -63,10 +63,14 @@ def main(arguments: Sequence[str] | None = None, spark=None) -> int:
     elif a.command == "transcribe":
         stages.transcribe(catalog, a.output_to, a.document_type, a.chunk_size, a.offset)
     elif a.command == "replace":
-        log.info("replaced %d", stages.replace(catalog, a.data_file, a.key_column, a.replacement, a.output_dir, a.document_type, a.chunk_size, a.offset))
+        done, failed = stages.replace(catalog, a.data_file, a.key_column, a.replacement, a.output_dir, a.document_type, a.chunk_size, a.offset)
+        log.info("replaced %d, failed %d", done, failed)
+        return int(failed > 0)
     elif a.command == "scrub":
         threshold = WRAPPER_THRESHOLD if a.strict_profile else a.threshold
-        log.info("scrubbed %d", stages.scrub(catalog, a.output_to, a.document_type, a.chunk_size, a.offset, threshold))
+        done, failed = stages.scrub(catalog, a.output_to, a.document_type, a.chunk_size, a.offset, threshold)
+        log.info("scrubbed %d, failed %d", done, failed)
+        return int(failed > 0)
     else:
         stages.mine(catalog, a.visit_dates, a.profiles, a.as_of or datetime.now(), a.search_texts, a.days, a.chunk_size, a.offset)
     return 0

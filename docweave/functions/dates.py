@@ -82,6 +82,15 @@ def lines(texts: DataFrame, column: str = "text") -> DataFrame:
     return texts.select(*rest, F.posexplode(cut).alias("line", column))
 
 
+def file_dates(files: DataFrame, as_of: datetime) -> DataFrame:
+    """(…, pos, date) of files (path, text, any more): a .json's strings depth first, a .txt line by line, none of others.
+    Rows without path or text have none."""
+    rest = [c for c in files.columns if c != "text"]
+    trees = json_dates(files.where(F.col("path").endswith(".json")), as_of).select(*rest, F.posexplode("dates").alias("pos", "date"))
+    each = line_dates(files.where(F.col("path").endswith(".txt")), as_of).select(*rest, F.col("line").alias("pos"), "date")
+    return trees.unionByName(each)
+
+
 def within(date: Column, earliest: Column | None, latest: Column | None, as_of: datetime) -> Column:
     """Both bounds inclusive, time of day counted; missing ones are 2010-01-01 and ``as_of``."""
     low = F.lit(EARLIEST).cast("timestamp_ntz") if earliest is None else F.coalesce(earliest, F.lit(EARLIEST).cast("timestamp_ntz"))

@@ -3,8 +3,10 @@ operators, writes its texts, and then the new version of its table."""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +19,19 @@ from ..functions.replace import replace_strings
 from ..operators import match, ocr, queues
 from ..operators.upsert import numbered, upsert_pairs
 from ..schemas import check_document_type
-from ..sources.files import list_files, read_texts, write_texts
+from ..sources.files import list_files, read_each, write_texts
 from ..sources.lists import keyed_values, read_list, read_targets
 from ..sources.store import materialised
 
 
+log = logging.getLogger("docweave")
+
+
+class Outcome(NamedTuple):
+    done: int
+    failed: int
+
+
 def registrations(files: DataFrame, document_type: str, created: datetime) -> DataFrame:
     """(input_file, document_type, created, subject_id) of files (path, directory) whose directory names a subject."""
     subject = P.subject_id(F.col("directory"))
@@ -71,26 +81,22 @@ def _update_outputs(catalog: Catalog, changes: DataFrame) -> None:
     catalog.write("transcription_output", updated.unionByName(numbered(new, outputs).select(*outputs.columns)))
 
 
-def replace(catalog: Catalog, data_file: str, key_column: str, replacement: str, output_dir: str, document_type: str = "document", chunk_size: int | None = 1000, offset: int = 0) -> int:
-    """Replace the listed strings in the queue's texts (the last replaced text if there is one). Returns how many."""
+def replace(catalog: Catalog, data_file: str, key_column: str, replacement: str, output_dir: str, document_type: str = "document", chunk_size: int | None = 1000, offset: int = 0) -> Outcome:
+    """Replace the listed strings in the queue's texts (the last replaced text if there is one). Returns how many, and how many failed."""
     targets = read_targets(catalog.spark, data_file, key_column)
     queue = queues.page(queues.replace_queue(catalog.read("transcription_input"), catalog.read("transcription_output"), document_type), chunk_size, offset)
     return _rewrite(catalog, queue, output_dir, "list_replacement_output_file", document_type, lambda t: replace_strings(t, targets, replacement), None)
 
 
-def scrub(catalog: Catalog, output_to: str, document_type: str = "document", chunk_size: int | None = 1000, offset: int = 0, threshold: float = pii.DEFAULT_THRESHOLD) -> int:
-    """Redact the queue's texts and write their confidence records. Returns how many."""
+def scrub(catalog: Catalog, output_to: str, document_type: str = "document", chunk_size: int | None = 1000, offset: int = 0, threshold: float = pii.DEFAULT_THRESHOLD) -> Outcome:
+    """Redact the queue's texts and write their confidence records. Returns how many, and how many failed."""
     queue = queues.page(queues.scrub_queue(catalog.read("transcription_input"), catalog.read("transcription_output"), document_type), chunk_size, offset)
     return _rewrite(catalog, queue, output_to, "pii_scrubber_output_file", document_type, lambda t: pii.scrub(t, threshold)[0], lambda t: pii.scrub(t, threshold)[1])
 
 
-def _rewrite(catalog: Catalog, queue: DataFrame, root: str, column: str, document_type: str, change: Callable, record: Callable | None) -> int:
-    queue = materialised(queue)
-    paths = [r[0] for r in queue.select("text_file").distinct().collect()]  # one page of the queue
-    if not paths:
-        return 0
-    texts = read_texts(catalog.spark, paths)
-    joined = queue.join(texts, queue["text_file"] == texts["path"]).drop("path")
+def _rewrite(catalog: Catalog, queue: DataFrame, root: str, column: str, document_type: str, change: Callable, record: Callable | None) -> Outcome:
+    read = materialised(read_each(queue, "text_file"))
+    joined = read.where("error is null").drop("error")
     subject = F.coalesce(P.subject_id(P.dirname(F.col("input_file"))), F.lit("none"))
     name = F.concat(subject, F.lit("/"), P.stem(F.col("ocr_output_file")), F.lit(".txt"))
     rows = joined.withColumns({"path": P.output_path(root, column, document_type, name), "new": change(F.col("text"))})
@@ -104,7 +110,10 @@ def _rewrite(catalog: Catalog, queue: DataFrame, root: str, column: str, documen
     if record is not None:
         write_texts(rows, "record_path", "record")
     _set_columns(catalog, rows, changes)
-    return rows.count()
+    failed = read.where("error is not null").select("text_file", "error")
+    for r in failed.limit(20).collect():
+        log.error("%s: %s", r.text_file, r.error)
+    return Outcome(rows.count(), failed.count())
 
 
 def _set_columns(catalog: Catalog, rows: DataFrame, changes: dict) -> None:
@@ -133,18 +142,12 @@ def mine(catalog: Catalog, visit_tsv: str, profile_tsv: str, as_of: datetime, se
     birth = cells(profile, "birth_date").groupBy("id").agg(F.min_by("date", "pos").alias("birth"))
     death = cells(profile, "death_date").groupBy("id").agg(F.min_by("date", "pos").alias("death"))
     bounds = subjects.join(birth, "id", "left").join(death, "id", "left").withColumnRenamed("id", "subject_id")
-    records = [r[0] for r in queue.where("pii_scrubber_confidence_file is not null").select("pii_scrubber_confidence_file").distinct().collect()]
-    texts = [r[0] for r in queue.where("ocr_output_file is not null").select("ocr_output_file").distinct().collect()] if search_text else []
-    found = []
-    if records:
-        parsed = D.json_dates(read_texts(spark, records), as_of)
-        found.append(parsed.select("path", F.lit(0).alias("rank"), F.posexplode("dates").alias("pos", "date")))
-    if texts:
-        found.append(D.line_dates(read_texts(spark, texts), as_of).select("path", F.lit(1).alias("rank"), F.col("line").alias("pos"), "date"))
-    if not found:
-        return spark.createDataFrame([], "subject_id string, input_id long, visit_date timestamp_ntz, extracted_date timestamp_ntz")
-    dates = found[0] if len(found) == 1 else found[0].unionByName(found[1])
-    keyed = queue.select("subject_id", "input_id", F.explode(F.array("pii_scrubber_confidence_file", "ocr_output_file")).alias("path")).join(dates, "path")
+    files = [F.struct(F.col("pii_scrubber_confidence_file").alias("path"), F.lit(0).alias("rank"))]
+    if search_text:
+        files.append(F.struct(F.col("ocr_output_file").alias("path"), F.lit(1).alias("rank")))
+    wanted_files = queue.select("subject_id", "input_id", F.explode(F.array(*files)).alias("f")).select("subject_id", "input_id", "f.*").where("path is not null")
+    texts = materialised(read_each(wanted_files.select("path").distinct()))
+    keyed = wanted_files.join(D.file_dates(texts.where("error is null").drop("error"), as_of), "path")
     bounded = keyed.join(bounds, "subject_id", "left").where(D.within(F.col("date"), F.col("birth"), F.col("death"), as_of))
     wanted = queue.select("subject_id", "input_id").distinct().join(visits, "subject_id")
     pairs = match.first_match(bounded, wanted, threshold, ["rank", "pos"], ["subject_id", "input_id"], "visit", "date")

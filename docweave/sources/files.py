@@ -21,6 +21,36 @@ def read_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return texts.select(F.regexp_replace("_metadata.file_path", "^file:/+", "/").alias("path"), F.col("value").alias("text"))
 
 
+def read_each(rows: DataFrame, path: str = "path") -> DataFrame:
+    """``rows`` with the text of the file that ``path`` names, and an error where it can't be read: one bad file doesn't
+    stop the others, and no list of paths goes through the driver."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+    def read(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                found = [_content(p) for p in part.column(rows_path).to_pylist()]
+                texts, errors = (pa.array([f[k] for f in found], pa.string()) for k in range(2))
+                yield pa.RecordBatch.from_arrays([*part.columns, texts, errors], names=[*part.schema.names, "text", "error"])
+
+    rows_path = rows.columns.index(path)
+    return rows.mapInArrow(read, f"{fields}, text string, error string")
+
+
+def _content(path: str | None) -> tuple[str | None, str | None]:
+    from pyarrow import fs
+
+    try:
+        files, place = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        with files.open_input_file(place) as f:
+            return f.read().decode(), None
+    except Exception as e:  # noqa: BLE001  a missing, unreadable or badly encoded file is that file's error
+        return None, str(e) or type(e).__name__
+
+
 def write_texts(rows: DataFrame, path: str = "path", text: str = "text") -> None:
     """Write each non-empty text to the path of its row (last level of the edge: one file a row, by the executors).
 

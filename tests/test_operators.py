@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docweave.operators import match, ocr, queues
+from docweave.operators import match, ner, ocr, queues
 from docweave.operators.upsert import upsert_pairs
 from docweave.sources.lists import keyed_values, read_list, read_targets
 
@@ -146,3 +147,37 @@ def test_ocr(spark):
 def test_metrics(spark):
     rows = spark.createDataFrame([(5.0,), (15.0,), (19.0,)], "confidence double")
     assert {(r.bin, r.n, r.n_low) for r in ocr.confidence_metrics(rows, 16).collect()} == {(0, 1, 1), (1, 2, 1)}
+
+
+class Names(ner.TokenClassifier):
+    def classify(self, texts):
+        found = []
+        for t in texts:
+            own = [("PATIENT", m.start(), m.end() - 1, 0.9) for m in re.finditer("Smith", t)] + [("ID", m.start(), m.end(), 0.5) for m in re.finditer("[0-9]+", t)]
+            found.append([*own, ("O", 0, 1, 1.0)] if t else [])
+        return found
+
+
+def test_classifier(spark):
+    text = " ".join(["word"] * 10 + ["Smith"] + ["word"] * 10 + ["é", "77"])
+    rows = spark.createDataFrame([(1, text), (2, None), (3, "")], "id long, text string")
+    out = {r.id: r.model_spans for r in ner.classify(rows, Names, ner.NerSettings(window=8, stride=4)).collect()}
+    assert [(s.entity, text[s.start : s.end], s.score) for s in out[1]] == [("PERSON", "Smith", 0.9), ("ID", "77", 0.2)]
+    assert out[2] == out[3] == []
+
+
+def test_windows():
+    text = " ".join(map(str, range(25)))
+    parts = ner.windows(text, 10, 4)
+    assert all(text[a : a + len(p)] == p for a, p in parts) and [p.split()[0] for _, p in parts] == ["0", "6", "12", "18"] and parts[-1][1].endswith("24")
+    assert ner.windows("", 10, 4) == [] and len(ner.windows("a b", 10, 4)) == 1
+
+
+def test_ner_settings(tmp_path):
+    path = tmp_path / "ner.json"
+    path.write_text('{"window": 50, "stride": 5}')
+    assert ner.NerSettings.load(str(path)).window == 50
+    with pytest.raises(ValueError):
+        ner.NerSettings.load(str(tmp_path / "x.txt")) if (tmp_path / "x.txt").write_text("") or True else None
+    with pytest.raises(ValueError):
+        ner.NerSettings(window=4, stride=4)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -46,7 +47,10 @@ def test_whole_process(spark, tmp_path):
     assert texts == {"\nSeen <DATE_TIME> by <NAME>, mail <EMAIL_ADDRESS>\n", "\nSeen <DATE_TIME> by <NAME>\n"}
     records = [json.load(open(r.pii_scrubber_confidence_file)) for r in rows]
     assert all(x["Type"] in ("DATE_TIME", "EMAIL_ADDRESS") and x["Score"] >= 0.45 for r in records for x in r)
-    assert stages.scrub(catalog, out) == 0
+    assert stages.scrub(catalog, out) == (0, 0)
+    os.unlink(rows[0].list_replacement_output_file)
+    lost = sum(r.list_replacement_output_file == rows[0].list_replacement_output_file for r in rows)
+    assert stages.replace(catalog, str(tmp_path / "names.csv"), "name", "-", str(tmp_path / "again")) == (4 - lost, lost)
     (tmp_path / "visits.tsv").write_text("grls_id\tsubject_id\tvisit_date\n1\t094-000001\t2024-01-02\n2\t094-000002\t2024-01-02\n")
     (tmp_path / "profiles.tsv").write_text("grls_id\tsubject_id\tbirth_date\tdeath_date\n1\t094-000001\t2012-05-06\t\n")
     pairs = stages.mine(catalog, str(tmp_path / "visits.tsv"), str(tmp_path / "profiles.tsv"), datetime(2024, 12, 31), search_text=True)
