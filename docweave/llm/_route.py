@@ -3,12 +3,16 @@
 Documents are bundled into batches (compressed Arrow tables of about ``batch_bytes`` of text), which are shuffled once. A
 batch sends the keys of its texts, as packed arrays, to shards by key; a shard sees all occurrences of its keys and answers
 each batch in the order in which it asked; the batch joins its answers. What moves is a few bytes for each key, no task
-holds more than a batch or a shard, and no key's occurrences are paired with each other. With batches and shards of b keys
-each, a payload holds about b * b / (all keys) of them, so larger inputs want larger batches.
+holds more than a batch or a shard, and no key's occurrences are paired with each other. With batches and shards of b bytes
+of text, a payload stands for about b * b / (all bytes) of it, so batches grow with the root of the input (``sized``).
+
+Batches are numbered by the tasks that read the documents, and answers refer to those numbers: the documents must be a table
+(or anything else whose partitions come out the same when a task is run again), as for all multi-pass algorithms.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Callable, Iterable
 
@@ -18,10 +22,16 @@ from pyspark.sql import DataFrame
 
 from ._spark import release
 
-BATCH_BYTES = 12 << 20
+MOST_BYTES = 256 << 20
 Answers = list[tuple[int, bytes]]
 
 
+def sized(total: int, least: int = 12 << 20) -> int:
+    """Bytes of text in a batch for ``total`` bytes of input: enough for payloads of some 2,000 words, from ``least`` to
+    what a Python worker can hold."""
+    return max(least, min(MOST_BYTES, math.isqrt(12_800 * total)))
+
+
 def narrow(a: np.ndarray) -> np.ndarray:
     """The array in the smallest unsigned type that holds it."""
     top = int(a.max()) if len(a) else 0
@@ -63,7 +73,7 @@ def unpack(payload: bytes) -> list[np.ndarray]:
     return out
 
 
-def batches(docs: DataFrame, column: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def batches(docs: DataFrame, batch_bytes: int, column: str = "text") -> DataFrame:
     """(batch, rows): documents in compressed batches, dealt by batch."""
     place = docs.columns.index(column)
 

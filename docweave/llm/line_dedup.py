@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import MOST, links
 from ._components import components
-from ._route import answer, ask, batches, ddl, deltas, finish, narrow, pack, runs, to_shards, undelta, unpack
+from ._route import answer, ask, batches, ddl, deltas, finish, narrow, pack, runs, sized, to_shards, undelta, unpack
 from ._spark import pieces, stored, text_bytes
 from ._text import _BYTE, _CHUNK, RADIX, SPACE, distinct_pairs, mix, powers, string_buffer
 
@@ -245,7 +245,7 @@ def _kept(batch, rows, got):
     return rows.append_column("n_lines", pa.array(np.diff(lines.first), pa.int64())).append_column("n_removed", pa.array(count, pa.int64()))
 
 
-def dedup_lines(docs: DataFrame, size: int = 8, bands: int = 10, rows: int = 4, num: int = 80, den: int = 100, most: int = MOST, batch_bytes: int = 8 << 20) -> DataFrame:
+def dedup_lines(docs: DataFrame, size: int = 8, bands: int = 10, rows: int = 4, num: int = 80, den: int = 100, most: int = MOST, batch_bytes: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, any more) without repeated lines; adds n_lines (before) and n_removed.
 
     Lines are similar if the Jaccard similarity of their sets of ``size``-byte shingles (of the UTF-8 text) is at least
@@ -255,8 +255,10 @@ def dedup_lines(docs: DataFrame, size: int = 8, bands: int = 10, rows: int = 4,
     rows with a null id come last. Columns named n_lines or n_removed are replaced, others kept.
     """
     docs = docs.drop("n_lines", "n_removed").withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    shards = pieces(text_bytes(docs), batch_bytes)
-    held = batches(docs, batch_bytes=batch_bytes)
+    total = text_bytes(docs)
+    each = batch_bytes or sized(total, 8 << 20)
+    shards = pieces(total, each)
+    held = batches(docs, each)
     equal = answer(ask(held, _ask_equal(shards)), _first_of_all)
     near = answer(ask(held, _ask_bands(size, bands, rows, shards), equal), _shared_bands)
     found = stored(finish(held, near, _candidates(), "item long, batch long, id long, line long, keys binary, content binary"), "lines")

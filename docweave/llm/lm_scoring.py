@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._route import BATCH_BYTES, answer, ask, batches, ddl, finish, narrow, pack, runs, unpack
+from ._route import answer, ask, batches, ddl, finish, narrow, pack, runs, sized, unpack
 from ._spark import pieces, text_bytes
 from ._text import Words, mix
 from .elias_fano import NgramTrie, mapped
@@ -214,7 +214,7 @@ def _scores(folds: int, held_out: int, shards: int, per_shard: int):
     return fn
 
 
-def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, batch_bytes: int = BATCH_BYTES, per_shard: int = 400_000) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, batch_bytes: int | None = None, per_shard: int = 400_000) -> DataFrame:
     """``docs`` (doc_id, text, any more) with held_out, n_tokens, n_known, train_tokens, base_score and score added.
 
     Learns from the documents whose crc32(doc_id as text) modulo ``folds`` isn't ``held_out``; a null id counts as the empty
@@ -224,8 +224,10 @@ def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, batch_b
     """
     added = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     docs = docs.drop(*added).withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    shards = pieces(text_bytes(docs), batch_bytes // 2)
-    held = batches(docs, batch_bytes=batch_bytes)
+    total = text_bytes(docs)
+    size = batch_bytes or sized(total)
+    shards = pieces(total, size // 2)
+    held = batches(docs, size)
     words = answer(ask(held, _ask_words(folds, held_out, shards)), _word_counts(shards))
     ahead = answer(ask(held, _ask_trigrams(folds, held_out, shards, per_shard), words), _continuations)
     told = words.unionByName(ahead.withColumn("shard", F.col("shard") + shards))

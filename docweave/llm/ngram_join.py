@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import MOST, links, needed
 from ._components import components
-from ._route import answer, ask, batches, deltas, finish, narrow, pack, runs, undelta, unpack
+from ._route import answer, ask, batches, deltas, finish, narrow, pack, runs, sized, undelta, unpack
 from ._spark import pieces, stored, text_bytes
 from ._text import Words, distinct_pairs, shingles
 
@@ -93,7 +93,7 @@ def _shared(rows: pa.Table):
     return np.concatenate(own), np.cumsum([0] + [len(s) for s in own]), rows.column("n_shingles").to_numpy()
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, most: int = MOST, batch_bytes: int = 8 << 20) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, most: int = MOST, batch_bytes: int | None = None) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     A document's set: its distinct ``n``-word shingles after lower-casing A-Z; of fewer words, the whole sequence as one;
@@ -102,8 +102,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     Other columns are ignored. Sets are compared by 64-bit hashes of their shingles, equal sets found by 128 bits.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shards = pieces(text_bytes(docs), batch_bytes)
-    held = batches(docs, batch_bytes=batch_bytes)
+    total = text_bytes(docs)
+    each = batch_bytes or sized(total, 8 << 20)
+    shards = pieces(total, each)
+    held = batches(docs, each)
     told = answer(ask(held, _ask(n, shards)), _frequencies)
     schema = "doc_id long, n_shingles long, one long, two long, shared binary, keys binary"
     every = stored(finish(held, told, _judged(n, num, den, shards), schema), "sets")

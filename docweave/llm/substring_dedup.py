@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._route import BATCH_BYTES, answer, ask, batches, ddl, deltas, finish, narrow, pack, runs, undelta, unpack
+from ._route import answer, ask, batches, ddl, deltas, finish, narrow, pack, runs, sized, undelta, unpack
 from ._spark import pieces, text_bytes
 from ._text import Words, starts_of_windows, windows
 
@@ -164,7 +164,7 @@ def _removal(size: int):
     return fn
 
 
-def remove_repeats(docs: DataFrame, window: int = 20, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 20, batch_bytes: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, any more) with each word removed that a repeated window covers, if the window's sequence of
     words also starts earlier: in a smaller doc_id, or in the same document before. Adds n_words (before) and n_removed.
 
@@ -173,8 +173,10 @@ def remove_repeats(docs: DataFrame, window: int = 20, batch_bytes: int = BATCH_B
     first is earlier. Columns named n_words or n_removed are replaced.
     """
     docs = docs.drop("n_words", "n_removed").withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    shards = pieces(text_bytes(docs), batch_bytes)
-    held = batches(docs, batch_bytes=batch_bytes)
+    total = text_bytes(docs)
+    each = batch_bytes or sized(total)
+    shards = pieces(total, each)
+    held = batches(docs, each)
     estimated = answer(ask(held, _sketch(window, shards)), _estimate)
     later = answer(ask(held, _candidates(window, shards), estimated), _earliest)
     return finish(held, later, _removal(window), ddl(docs, "n_words long", "n_removed long"))
