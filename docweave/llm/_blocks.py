@@ -2,8 +2,10 @@
 
 Items are linked in a candidate graph through their keys (a star for each key, reduced to forests on the map side, so a key
 that very many items share moves once for each task). Its components are blocks: no similar pair lies across two. A block
-of up to ``most`` elements is one task; a larger one is cut into chunks and a task holds two chunks, so every pair still meets
-in one task and no task grows with the block.
+of up to ``most`` elements is one task. A larger one is cut into chunks. First each chunk is compared within itself and with
+a few pivots of the block; in a group of near copies that connects all but a few. Then only the items outside the block's
+largest component are taken to every chunk. A pair that this leaves out is connected already, so nothing is lost, no task
+grows with the block, and a group of near copies takes as many tasks as it has chunks.
 """
 
 from __future__ import annotations
@@ -74,12 +76,42 @@ def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndar
     values[bounds[i]:bounds[i + 1]] in common with others at most, and ``sizes[i]`` elements in all.
     """
     in_block = stored(blocks(items).join(items.select("item", "weight"), "item"), "blocks")
-    sizes = in_block.groupBy("block").agg(F.sum("weight").alias("n")).select(F.col("block").alias("of"), F.ceil(F.greatest("n", F.lit(1)) / most).cast("int").alias("chunks"))
+    sizes = in_block.groupBy("block").agg(F.sum("weight").alias("n")).select(F.col("block").alias("of"), _parts(F.col("n"), most).alias("chunks"))
     dealt = in_block.join(sizes, in_block["block"] == sizes["of"]).drop("of").withColumn("chunk", F.pmod(F.xxhash64("item"), F.col("chunks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    tasks = dealt.withColumn("other", other).select("item", "block", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), (F.col("chunk") > F.col("other")).cast("int").alias("side"))
-    rows = items.drop("keys", "weight").join(tasks, "item")
-    spread = rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "item")
+    dealt = stored(dealt, "blocks")
+    rows, none = items.drop("keys", "weight"), F.lit(0)
+    large = dealt.where("chunks > 1")
+    pivot = F.min(F.struct(F.xxhash64("item", F.lit(1)), "item")).alias("p")
+    pivots = large.groupBy("block", "chunks", F.pmod(F.xxhash64("item", F.lit(2)), F.lit(PIVOTS)).alias("k")).agg(pivot)
+    everywhere = pivots.select(F.col("p.item").alias("item"), "block", F.explode(F.sequence(none, F.col("chunks") - 1)).alias("i"))
+    tasks = dealt.select("item", "block", F.col("chunk").alias("i")).unionByName(everywhere)
+    tasks = tasks.select("item", "block", "i", none.alias("j"), none.alias("side"), F.lit(None).cast("long").alias("label"))
+    near = stored(_compared(rows.join(tasks, "item"), sets, num, den), "links")
+    if large.isEmpty():
+        return near
+    groups = components(near)
+    known = large.join(groups, large["item"] == groups["node"], "left").select("item", "block", "weight", "chunk", "chunks", F.coalesce("component", "item").alias("label"))
+    known = stored(known, "labels")
+    main = known.groupBy("block", "label").agg(F.sum("weight").alias("w")).groupBy("block").agg(F.max_by("label", F.struct("w", "label")).alias("main"))
+    others = known.join(main, "block").where("label <> main").drop("main")
+    count = others.groupBy("block").agg(F.sum("weight").alias("n")).select(F.col("block").alias("of"), _parts(F.col("n"), most).alias("ways"))
+    others = others.join(count, others["block"] == count["of"]).drop("of")
+    one = known.join(count, known["block"] == count["of"]).select("item", "block", F.col("chunk").alias("i"), F.explode(F.sequence(none, F.col("ways") - 1)).alias("j"), none.alias("side"), "label")
+    two = others.withColumn("j", F.pmod(F.xxhash64("item", F.lit(3)), F.col("ways")).cast("int"))
+    two = two.select("item", "block", F.explode(F.sequence(none, F.col("chunks") - 1)).alias("i"), "j", F.lit(1).alias("side"), "label")
+    return near.unionByName(_compared(rows.join(one.unionByName(two), "item"), sets, num, den))
+
+
+PIVOTS = 4
+
+
+def _parts(n, most: int):
+    return F.ceil(F.greatest(n, F.lit(1)) / most).cast("int")
+
+
+def _compared(rows: DataFrame, sets: Callable, num: int, den: int) -> DataFrame:
+    """(a, b): links within the tasks (block, i, j) of ``rows``; a task with sides wants only links across them."""
+    spread = rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "item", "side")
     names = spread.columns
 
     def work(parts):
@@ -111,11 +143,11 @@ def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndar
         keys, item = _task_keys(table, names), table.column("item").to_numpy()
         new = np.ones(len(item), bool)
         new[1:] = (keys[1:] != keys[:-1]).any(1)
-        one = new.copy()
-        one[1:] |= item[1:] != item[:-1]  # repeated items stand for themselves once
-        table, item, group = table.filter(pa.array(one)), item[one], (np.cumsum(new) - 1)[one]
-        side = table.column("side").to_numpy()
-        pairs = link_groups(*sets(table), group, side, num, den)
+        one, side = new.copy(), table.column("side").to_numpy()
+        one[1:] |= (item[1:] != item[:-1]) | (side[1:] != side[:-1])  # repeated items stand for themselves once
+        table, item, side, group = table.filter(pa.array(one)), item[one], side[one], (np.cumsum(new) - 1)[one]
+        known = table.column("label").fill_null(0).to_numpy() if side.any() else None
+        pairs = link_groups(*sets(table), group, side, num, den, known)
         return edge_batch(item[pairs[:, 0]], item[pairs[:, 1]])
 
     return spread.mapInArrow(work, "a long, b long")
@@ -129,9 +161,9 @@ def _task_keys(part, names: list[str]) -> np.ndarray:
     return np.stack([c.to_numpy().astype(np.int64) if isinstance(c, pa.ChunkedArray) else c.to_numpy(zero_copy_only=False).astype(np.int64) for c in columns], 1)
 
 
-def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group: np.ndarray, side: np.ndarray, num: int, den: int) -> np.ndarray:
+def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group: np.ndarray, side: np.ndarray, num: int, den: int, known: np.ndarray | None = None) -> np.ndarray:
     """Links (pairs of places) within each group of items, enough to connect all that are linked; ``group`` ascends, and a
-    group with sides wants only pairs across them. Small groups are compared together, in rounds; large ones by DivideSkip."""
+    group with sides wants only pairs across them. Small groups are compared together, in rounds; large ones by DivideSkip. ``known``: labels of items that are connected already (groups with sides)."""
     first = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
     out = [np.empty((0, 2), np.int64)]
     n = np.diff(first)
@@ -140,7 +172,7 @@ def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group
     for g in np.flatnonzero(large).tolist():
         a, b = int(first[g]), int(first[g + 1])
         own = [np.sort(values[bounds[i] : bounds[i + 1]]) for i in range(a, b)]
-        found = divide_skip(own, sizes[a:b], side[a:b], num, den)
+        found = divide_skip(own, sizes[a:b], side[a:b], num, den, known[a:b] if known is not None and split[g] else None)
         out.append(np.array(found, np.int64).reshape(-1, 2) + a)
     small = np.repeat(~large & (n > 1), n)
     label, pivot_done = np.arange(len(group)), ~small
@@ -188,9 +220,15 @@ def _overlaps(values: np.ndarray, bounds: np.ndarray, a: np.ndarray, b: np.ndarr
 class Union:
     """Disjoint sets as an array of labels, so that members can be compared all at once."""
 
-    def __init__(self, n: int):
+    def __init__(self, n: int, known: np.ndarray | None = None):
         self.label = np.arange(n)
         self.members: dict[int, list[int]] = {}
+        if known is not None:
+            _, first, index = np.unique(known, return_index=True, return_inverse=True)
+            self.label = first[index]
+            order = np.argsort(index, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(index[order])) + 1):
+                self.members[int(first[index[own[0]]])] = own.tolist()
 
     def join(self, a: int, b: int) -> None:
         x, y = int(self.label[a]), int(self.label[b])
@@ -209,20 +247,20 @@ def needed(size: int, num: int, den: int) -> int:
     return -(-num * size // den)
 
 
-def divide_skip(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+def divide_skip(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, num: int, den: int, known: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that connect all similar sets: ``sets`` are sorted arrays, ``sizes`` the sizes that count for the similarity."""
-    if len(sets) == 2:
+    if len(sets) == 2 and known is None:
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
         return [(1, 0)] if (den + num) * both >= num * int(sizes[0] + sizes[1]) else []
     across = bool(side.any())
     every = np.concatenate(sets)
-    known, index = np.unique(every, return_inverse=True)
+    values, index = np.unique(every, return_inverse=True)
     bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     owner = np.repeat(np.arange(len(sets)), np.diff(bounds))
     order = np.lexsort((owner, index))
-    posting, start = owner[order], np.searchsorted(index[order], np.arange(len(known) + 1))
+    posting, start = owner[order], np.searchsorted(index[order], np.arange(len(values) + 1))
     own = [index[bounds[i] : bounds[i + 1]] for i in range(len(sets))]
-    groups, out = Union(len(sets)), []
+    groups, out = Union(len(sets), known), []
     for d in range(len(sets)):
         if across and side[d] == 0:
             continue

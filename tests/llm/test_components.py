@@ -72,6 +72,13 @@ def test_links_connect_what_pairs_connect(n, threshold):
         assert plain([*map(tuple, got.tolist()), *[(i, i) for i in range(n)]]) == want
 
 
+def test_known_labels_are_not_compared_again():
+    own = [np.arange(0, 20, dtype=np.uint64) << np.uint64(40)] * 5
+    side = np.array([0, 0, 0, 1, 1])
+    found = divide_skip(own, np.full(5, 20), side, 4, 5, np.array([10, 10, 20, 10, 30]))
+    assert len(found) == 2 and plain([*found, (0, 1), (0, 3)]) == dict.fromkeys(range(5), 0)
+
+
 def test_sides_are_compared_across():
     own = [np.arange(0, 20, dtype=np.uint64) << np.uint64(40)] * 4
     found = divide_skip(own, np.full(4, 20), np.array([0, 0, 1, 1]), 4, 5)

@@ -106,9 +106,11 @@ def test_jaccard_join_in_chunks(spark):
             own[r.randrange(60)] = f"new{g}y{k}"
             rows.append((g * 1000 + k, " ".join(own)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    chain = [" ".join(f"c{j}" for j in range(8 * k, 8 * k + 100)) for k in range(40)]  # each links with its neighbours only
+    df = df.union(spark.createDataFrame([(9000 + k, t) for k, t in enumerate(chain)], "doc_id long, text string"))
     one = {x.doc_id: x.component_id for x in jaccard_components(df, 3, 80, 100).collect()}
     many = {x.doc_id: x.component_id for x in jaccard_components(df, 3, 80, 100, most=500).collect()}
-    assert one == many and set(one.values()) == {0, 1000, 2000, 3000}
+    assert one == many and set(one.values()) == {0, 1000, 2000, 3000, 9000}
 
 
 def test_substring_dedup(docs, none):
