@@ -23,7 +23,7 @@ class OcrEngine(ABC):
     def results(self, path: str, document_type: str) -> Iterator[dict]: ...
 
 
-class TesseractEngine(OcrEngine):
+class LibraryOcrEngine(OcrEngine):
     """Pages through pdf2image and tesserocr, where these are installed."""
 
     def __init__(self) -> None:

@@ -52,7 +52,7 @@ def register(catalog: Catalog, root: str, document_type: str = "document", creat
     return fresh.count()
 
 
-def transcribe(catalog: Catalog, output_to: str, document_type: str = "document", chunk_size: int | None = 1000, offset: int = 0, engine: Callable[[], ocr.OcrEngine] = ocr.TesseractEngine) -> DataFrame:
+def transcribe(catalog: Catalog, output_to: str, document_type: str = "document", chunk_size: int | None = 1000, offset: int = 0, engine: Callable[[], ocr.OcrEngine] = ocr.LibraryOcrEngine) -> DataFrame:
     """OCR of the queue: a text file for each result, the last result of an input in its output row. Returns all results."""
     check_document_type(document_type)
     inputs, outputs = catalog.read("transcription_input"), catalog.read("transcription_output")
