@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._spark import release
+from ._spark import lean_batches, release
 
 MOST_BYTES = 256 << 20
 Answers = list[tuple[int, bytes]]
@@ -76,6 +76,7 @@ def unpack(payload: bytes) -> list[np.ndarray]:
 def batches(docs: DataFrame, batch_bytes: int, column: str = "text") -> DataFrame:
     """(batch, rows): documents in compressed batches, dealt by batch."""
     place = docs.columns.index(column)
+    lean_batches(docs.sparkSession)
 
     def bundle(parts):
         from pyspark import TaskContext

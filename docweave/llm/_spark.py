@@ -24,6 +24,15 @@ def release() -> None:
         pass
 
 
+def lean_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches hold at most ``rows`` rows in this session: texts are long, and the JVM, its off-heap buffers and
+    the Python worker each hold a batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

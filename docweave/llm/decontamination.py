@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import pieces as parts_of
-from ._spark import text_bytes
+from ._spark import lean_batches, release, text_bytes
 from ._text import string_buffer
 
 _NORMAL = np.full(256, 0x20, np.uint8)
@@ -149,6 +149,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, short
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    lean_batches(docs.sparkSession)
     rounds = parts_of(text_bytes(items), item_bytes)
     out = None
     for r in range(rounds):
@@ -174,6 +175,7 @@ def _scan(known: list[tuple[int, bytes]], share: float, shortest: int):
                     [pa.array([f(*r) for r in rows], t) for f, t in zip((lambda d, *_: ids[d].as_py(), lambda _, n, *x: matcher.items[n][0], lambda _, n, d, p: d, lambda _, n, *x: matcher.items[n][2], lambda _, n, d, p: p), kinds)],
                     names=names,
                 )
+        release()
 
     return scan
 

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import pieces as parts_of
-from ._spark import stored
-from .tokenise import encoder, text_groups
+from ._spark import lean_batches, release, stored
+from .tokenise import encoder
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -171,6 +171,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, capacity:
                     held = []
         out, base = rows(held, base, True)
         yield from batches_of(out)
+        del out, held
+        release()
 
     def again(table: pa.Table) -> pa.Table:
         group = table.column("g")[0].as_py()
@@ -178,6 +180,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, capacity:
         out, _ = rows(held, (1 << 62) + (group << 36), False)
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
+    lean_batches(docs.sparkSession)
     first = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(read, ddl), "packed")
     left = first.filter("sequence_id is null")
     groups = parts_of(left.count(), group_pieces)

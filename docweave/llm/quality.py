@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._spark import lean_batches, release
 from ._text import SPACE, Words, distinct_pairs, windows
 
 FEATURES = (
@@ -131,6 +132,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: flo
 def train_quality(docs: DataFrame, labels: DataFrame, training_rows: int = 20_000, **options) -> Trees:
     """Fit on at most ``training_rows`` labelled documents (those of the smallest hashes of their id; the bound is what the
     driver receives). ``labels``: doc_id, quality 0/1; several labels of an id count by their mean, null ones not at all."""
+    lean_batches(docs.sparkSession)
     wanted = (
         labels.where("doc_id is not null and quality is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -143,10 +145,11 @@ def train_quality(docs: DataFrame, labels: DataFrame, training_rows: int = 20_00
 
     def measure(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
                 x = features(part.column(2)).astype("<f4")
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.int32()), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "quality", "x"])
+        release()
 
     rows = found.mapInArrow(measure, "doc_id long, quality int, x binary").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
     x = np.frombuffer(b"".join(rows.column("x").to_pylist()), "<f4").reshape(-1, len(FEATURES))
@@ -159,15 +162,17 @@ def score_quality(docs: DataFrame, model: Trees, threshold: float = 0.7) -> Data
     Null and empty texts are scored like any other; all columns and repeated rows stay; columns named score or predicted
     are replaced. A model fitted without labels scores 1 nearly (nothing speaks against the document).
     """
+    lean_batches(docs.sparkSession)
     kept = docs.drop("score", "predicted")
     place = kept.columns.index("text")
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", score double, predicted int"
 
     def judge(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
                 score = model.score(features(part.column(place)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=[*part.schema.names, "score", "predicted"])
+        release()
 
     return kept.mapInArrow(judge, schema)

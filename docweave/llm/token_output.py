@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._spark import fresh_path, pieces, stored, text_bytes
-from .tokenise import encoder, text_groups
+from ._spark import fresh_path, lean_batches, pieces, stored, text_bytes
+from .tokenise import encoder
 
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 NULL_KEY = -(2**63)
@@ -127,6 +127,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, directo
     that no id makes a part too large; each part is one file. A retried task writes a new file, and only files in the
     manifest count: columns part, path, n_docs, n_tokens, first_token (ids of all parts before it).
     """
+    lean_batches(docs.sparkSession)
     n = pieces(text_bytes(docs), part_bytes)
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]

@@ -101,15 +101,3 @@ def encoder(path: str, spaces_matter: bool, most: int = 200_000) -> PieceEncoder
     if key not in _ENCODERS:
         _ENCODERS[key] = PieceEncoder(path, spaces_matter, most)
     return _ENCODERS[key]
-
-
-def text_groups(texts: list, most_chars: int = 2_000_000) -> Iterable[tuple[int, int]]:
-    """Ranges of consecutive texts of about ``most_chars`` characters each."""
-    i = 0
-    while i < len(texts):
-        j, n = i, 0
-        while j < len(texts) and (j == i or n + len(texts[j]) <= most_chars):
-            n += len(texts[j])
-            j += 1
-        yield i, j
-        i = j
