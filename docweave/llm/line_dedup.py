@@ -48,19 +48,17 @@ class Lines:
         for i in np.flatnonzero(~self.blank & SPACE[self.data[np.minimum(self.start, len(self.data) - 1)]]).tolist() if len(self.data) else []:
             self.blank[i] = SPACE[self.data[self.start[i] : self.end[i]]].all()
 
-    def hashes(self, at: np.ndarray) -> list[np.ndarray]:
-        """Two independent hashes of the lines ``at`` (ascending, none of them empty)."""
+    def hashes(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(64-bit hash, length in bytes) of the lines ``at`` (ascending, none of them empty): what tells lines apart."""
         start, size = self.start[at], self.end[at] - self.start[at]
-        out = [np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)]
+        out = np.empty(len(at), np.uint64)
         for _, i, j in runs(np.cumsum(size) // _CHUNK):
             first = np.cumsum(size[i:j]) - size[i:j]
             place = np.arange(int(size[i:j].sum())) - np.repeat(first, size[i:j])
-            byte = self.data[place + np.repeat(start[i:j], size[i:j])]
-            for k in range(2):
-                value = _BYTE[k][byte]
-                value *= powers(int(RADIX[k]), int(size[i:j].max()) + 1)[place]
-                out[k][i:j] = mix(np.add.reduceat(value, first) ^ size[i:j].astype(np.uint64) * RADIX[1 - k], k + 5)
-        return out
+            value = _BYTE[0][self.data[place + np.repeat(start[i:j], size[i:j])]]
+            value *= powers(int(RADIX[0]), int(size[i:j].max()) + 1)[place]
+            out[i:j] = mix(np.add.reduceat(value, first) ^ size[i:j].astype(np.uint64) * RADIX[1], 5)
+        return out, size.astype(np.uint64)
 
     def shingles(self, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(values, first place of each line) of the ``size``-byte shingles of lines ``at``; a shorter line is one itself."""
@@ -90,7 +88,7 @@ def signature_bands(value: np.ndarray, first: np.ndarray, bands: int, rows: int,
 
 
 def _distinct(rows: pa.Table):
-    """Lines, and of the distinct ones that aren't blank: place of the first, both hashes; by first hash. Also each line's."""
+    """Lines, and of the distinct ones that aren't blank: place of the first, hash and length; by hash. Also each line's."""
     lines = Lines(rows.column("text"))
     ids = np.array([_NO_ID if i is None else i for i in rows.column("doc_id").to_pylist()], np.int64)
     solid = np.flatnonzero(~lines.blank)
@@ -108,14 +106,15 @@ def _ask_equal(shards: int):
         order, parts = to_shards((one % np.uint64(shards)).astype(np.int64))
         for shard, a, b in parts:
             mine = at[order[a:b]]
-            yield shard, pack(one[order[a:b]], two[order[a:b]], ids[lines.doc[mine]], narrow(lines.doc[mine]), narrow(lines.number[mine]))
+            yield shard, pack(one[order[a:b]], narrow(two[order[a:b]]), ids[lines.doc[mine]], narrow(lines.doc[mine]), narrow(lines.number[mine]))
 
     return fn
 
 
 def _first_of_all(shard, asked):
     got = [(b, unpack(p)) for b, p in asked]
-    one, two, ids = (np.concatenate([g[k] for _, g in got]) for k in range(3))
+    one, ids = (np.concatenate([g[k] for _, g in got]) for k in (0, 2))
+    two = np.concatenate([g[1].astype(np.uint64) for _, g in got])
     doc, number = (np.concatenate([g[k].astype(np.int64) for _, g in got]) for k in (3, 4))
     batch = np.repeat(np.arange(len(got)), [len(g[0]) for _, g in got])
     order = np.lexsort((number, doc, batch, ids, two, one))
