@@ -164,6 +164,20 @@ def answer(asked: DataFrame, fn: Callable[[int, Answers], Iterable[tuple[int, by
     return asked.groupBy("shard").applyInArrow(each, schema or _SENT_DDL)
 
 
+def answer_told(asked: DataFrame, told: DataFrame, fn: Callable[[int, Answers, pa.Table], Iterable[tuple[int, bytes]]]) -> DataFrame:
+    """As ``answer``, by ``fn(shard, [(batch, payload)], the shard's rows of told)``; every shard needs such a row."""
+
+    def each(left: pa.Table, right: pa.Table) -> pa.Table:
+        shard = left.column("shard")[0].as_py()
+        got = sorted(zip(left.column("batch").to_pylist(), left.column("payload").to_pylist()))
+        out = _sent([(shard, b, p) for b, p in fn(shard, got, right)])
+        del got
+        release()
+        return out
+
+    return asked.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(each, _SENT_DDL)
+
+
 def finish(held: DataFrame, answers: DataFrame, fn: Callable[[int, pa.Table, Answers], pa.Table], schema: str) -> DataFrame:
     """``fn(batch, rows, [(shard, payload)])`` for every batch with all its answers, in order of shards."""
 

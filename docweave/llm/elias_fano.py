@@ -185,8 +185,9 @@ class NgramTrie:
         self.levels, self.tables = levels, tables
 
     @classmethod
-    def build(cls, v: np.ndarray, u: np.ndarray, w: np.ndarray, count: np.ndarray) -> NgramTrie:
-        """From distinct (v, u, w) in ascending order with counts above 0."""
+    def build(cls, v: np.ndarray, u: np.ndarray, w: np.ndarray, count: np.ndarray, whole: tuple[int, int, int] | None = None) -> NgramTrie:
+        """From distinct (v, u, w) in ascending order with counts above 0. ``whole``: (v, total, kinds) of a v that has one u
+        only and of whose w just a part is here."""
         roots, vi = _groups(v)
         size = int(max(w.max(), u.max())) + 1 if len(w) else 1
         bi, at2 = np.unique(vi * size + w, return_inverse=True)
@@ -207,6 +208,9 @@ class NgramTrie:
             d = once / (once + 2 * twice) if once else 0.5
             d = min(max(d, 0.1), 0.98)
             total, kinds = np.bincount(parent, c, n), np.bincount(parent, minlength=n)
+            if whole:
+                at = roots == whole[0] if name == "2" else roots[cv] == whole[0]
+                total[at], kinds[at] = whole[1:]
             tables["share" + name], tables["share_book" + name] = quantise((c - d) / total[parent])
             tables["rest" + name], tables["rest_book" + name] = quantise(d * kinds / total)
         return cls(levels, tables)

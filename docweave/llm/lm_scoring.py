@@ -6,8 +6,10 @@ numbers, builds an Elias-Fano trie of them, maps it into memory, and answers, fo
 two figures from which the batch gets the probability of w after u v. All training documents are counted, however many.
 
 A frequent v goes to several shards by a hash of u. Each then holds its contexts u v whole, and the shorter context of a
-trigram is v with u's class instead of v alone: still a distribution, counted from ``per_shard`` occurrences or more. The
-first word of a text has no context.
+trigram is v with u's class instead of v alone: still a distribution, counted from ``per_shard`` occurrences or more.
+
+The first word of a text follows two begin marks. Every text has that context, so it is split over shards by w, and the
+shards hear its total and its number of different words before they build their tries.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._route import answer, ask, batches, ddl, finish, narrow, pack, runs, sized, unpack
+from ._route import answer, answer_told, ask, batches, ddl, finish, narrow, pack, runs, sized, unpack
 from ._spark import pieces, text_bytes
 from ._text import Words, mix
 from .elias_fano import NgramTrie, mapped
@@ -28,6 +30,8 @@ from .elias_fano import NgramTrie, mapped
 BEGIN, END = np.uint64(0x1F3D5B79A2C4E687), np.uint64(0x2B4D6F81A3C5E709)
 _SHARE, _WEIGHT = 2000.0, 100.0  # codes for each power of ten
 _AT_ONCE = 1 << 18  # trigrams looked up together
+_FIRST = 0  # the begin mark as a context; words have their number + 1
+_SUMS = ("first_total", "first_kinds")
 
 
 def _distinct(*keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -123,15 +127,15 @@ def _told(t: _Tokens, got) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return count, number, sums
 
 
-def _placed(t: _Tokens, v: np.ndarray, u: np.ndarray, count: np.ndarray, number: np.ndarray, shards: int, per_shard: int):
-    """Order of the distinct trigrams by shard, and its runs; those after a begin mark come first, with shard -1."""
+def _placed(t: _Tokens, v: np.ndarray, u: np.ndarray, w: np.ndarray, count: np.ndarray, number: np.ndarray, shards: int, per_shard: int):
+    """Order of the distinct trigrams by shard, and its runs."""
     ways = count[v] // per_shard + 1
     kind = mix(number[u].astype(np.uint64), 77) % ways.astype(np.uint64)
     shard = (t.shard[v] + kind.astype(np.int64)) % shards
-    shard[v == t.begin] = -1
-    shard += 1
+    first = np.flatnonzero(v == t.begin)
+    shard[first] = (mix(number[w[first]].astype(np.uint64), 78) % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard.astype(np.uint16) if shards < 65535 else shard, kind="stable")
-    return order, [(s - 1, a, b) for s, a, b in runs(shard[order])]
+    return order, runs(shard[order])
 
 
 def _ask_trigrams(folds: int, held_out: int, shards: int, per_shard: int):
@@ -140,14 +144,16 @@ def _ask_trigrams(folds: int, held_out: int, shards: int, per_shard: int):
         count, number, _ = _told(t, got)
         (v, u, w), index = t.trigrams()
         n = np.bincount(index, t.training, len(v)).astype(np.int64)
-        order, parts = _placed(t, v, u, count, number, shards, per_shard)
+        order, parts = _placed(t, v, u, w, count, number, shards, per_shard)
+        root = number + 1
+        if t.begin >= 0:
+            root[t.begin] = _FIRST
         for shard, a, b in parts:
-            if shard >= 0:
-                own = order[a:b]
-                at = v[own]
-                new = np.concatenate([[True], at[1:] != at[:-1]])
-                times = np.diff(np.append(np.flatnonzero(new), b - a))
-                yield shard, pack(narrow(number[at[new]]), narrow(times), narrow(number[u[own]]), narrow(number[w[own]]), narrow(n[own]))
+            own = order[a:b]
+            at = v[own]
+            new = np.concatenate([[True], at[1:] != at[:-1]])
+            times = np.diff(np.append(np.flatnonzero(new), b - a))
+            yield shard, pack(narrow(root[at[new]]), narrow(times), narrow(number[u[own]]), narrow(number[w[own]]), narrow(n[own]))
 
     return fn
 
@@ -162,18 +168,35 @@ def _value(code: np.ndarray, steps: float) -> np.ndarray:
     return np.where(code == np.iinfo(code.dtype).max, 0.0, 10.0 ** (code / -steps))
 
 
-def _continuations(shard, asked):
-    got = [(b, unpack(p)) for b, p in asked]
-    sizes = [len(g[4]) for _, g in got]
-    known = np.unique(np.concatenate([g[0] for _, g in got]))
-    v, u, w, count = (np.concatenate(x) for x in ([np.repeat(np.searchsorted(known, g[0]), g[1]) for _, g in got], *([g[k].astype(np.int64) for _, g in got] for k in (2, 3, 4))))
-    names = [b for b, _ in got]
-    del got
-    (v, u, w), index = _distinct(v, u, w)
-    total = np.bincount(index, count, len(v)).astype(np.int64)
-    seen = total > 0
+class _Asked:
+    """A shard's distinct trigrams in ascending order with their counts (``known[v]`` are the words), and who asked for them."""
+
+    def __init__(self, asked):
+        got = [(b, unpack(p)) for b, p in asked]
+        self.names, self.sizes = [b for b, _ in got], [len(g[4]) for _, g in got]
+        self.known = np.unique(np.concatenate([g[0] for _, g in got])).astype(np.int64)
+        v, u, w, count = (np.concatenate(x) for x in ([np.repeat(np.searchsorted(self.known, g[0]), g[1]) for _, g in got], *([g[k].astype(np.int64) for _, g in got] for k in (2, 3, 4))))
+        del got
+        (self.v, self.u, self.w), self.index = _distinct(v, u, w)
+        self.count = np.bincount(self.index, count, len(self.v)).astype(np.int64)
+        self.first = bool(len(self.known)) and self.known[0] == _FIRST  # then v 0 is the begin mark
+
+
+def _sums(shard, asked):
+    """What has to be added up over all shards."""
+    t = _Asked(asked)
+    first = t.count[t.v == 0] if t.first else t.count[:0]
+    sums = (first.sum(), (first > 0).sum())
+    return pa.table([pa.array([x], pa.int64()) for x in (shard, *sums)], names=("shard", *_SUMS))
+
+
+def _continuations(shard, asked, told):
+    t = _Asked(asked)
+    sums = {n: told.column(n)[0].as_py() for n in _SUMS}
+    v, u, w, seen = t.v, t.u, t.w, t.count > 0
     if seen.any():
-        trie, path = mapped(NgramTrie.build(v[seen], u[seen], w[seen], total[seen]))
+        whole = (0, sums["first_total"], sums["first_kinds"]) if t.first else None
+        trie, path = mapped(NgramTrie.build(v[seen], u[seen], w[seen], t.count[seen], whole))
         try:
             a, b = (np.concatenate(x) for x in zip(*(trie.query(v[i : i + _AT_ONCE], u[i : i + _AT_ONCE], w[i : i + _AT_ONCE]) for i in range(0, len(v), _AT_ONCE))))
         finally:
@@ -183,8 +206,8 @@ def _continuations(shard, asked):
         a, b = np.zeros(len(v)), np.ones(len(v))
     a, b = _code(a, _SHARE, np.uint16), _code(b, _WEIGHT, np.uint16)
     at = 0
-    for batch, n in zip(names, sizes):
-        mine = index[at : at + n]
+    for batch, n in zip(t.names, t.sizes):
+        mine = t.index[at : at + n]
         yield batch, pack(a[mine], narrow(b[mine]))
         at += n
 
@@ -195,7 +218,7 @@ def _scores(folds: int, held_out: int, shards: int, per_shard: int):
         count, number, sums = _told(t, [g for g in got if g[0] < shards])
         (v, u, w), index = t.trigrams()
         share, rest = np.zeros(len(v)), np.ones(len(v))
-        order, parts = _placed(t, v, u, count, number, shards, per_shard)
+        order, parts = _placed(t, v, u, w, count, number, shards, per_shard)
         spans = {s: order[a:b] for s, a, b in parts}
         for shard, payload in got:
             if shard >= shards:
@@ -229,6 +252,9 @@ def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, batch_b
     shards = pieces(total, size // 2)
     held = batches(docs, size)
     words = answer(ask(held, _ask_words(folds, held_out, shards)), _word_counts(shards))
-    ahead = answer(ask(held, _ask_trigrams(folds, held_out, shards, per_shard), words), _continuations)
+    asked = ask(held, _ask_trigrams(folds, held_out, shards, per_shard), words)
+    sums = answer(asked, _sums, ", ".join(f"{n} long" for n in ("shard", *_SUMS)))
+    all_sums = sums.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in _SUMS))
+    ahead = answer_told(asked, sums.select("shard").crossJoin(F.broadcast(all_sums)), _continuations)
     told = words.unionByName(ahead.withColumn("shard", F.col("shard") + shards))
     return finish(held, told, _scores(folds, held_out, shards, per_shard), ddl(docs, *(f"{n} {k}" for n, k in zip(added, ("boolean", "long", "long", "long", "double", "double")))))

@@ -94,3 +94,45 @@ def test_split_words_keep_a_distribution(spark):
     one = {x.doc_id: x.score for x in score_documents(df.union(none), batch_bytes=1 << 12, per_shard=10**9).collect()}
     a, b = sum(x.score for x in out.values()), sum(one.values())
     assert abs(a - b) < 0.15 * abs(b)
+
+
+def _plain_scores(texts):
+    """Scores by dictionaries that count every trigram, those after begin marks too."""
+    c1, c2, c3 = Counter(), Counter(), Counter()
+    for i, t in texts.items():
+        seq = ["<", "<", *t, ">"]
+        if zlib.crc32(str(i).encode()) % 10:
+            for u, v, w in zip(seq, seq[1:], seq[2:]):
+                c1[w] += 1
+                c2[v, w] += 1
+                c3[u, v, w] += 1
+    levels = []
+    for counts in (c2, c3):
+        once, twice = (sum(x == k for x in counts.values()) for k in (1, 2))
+        total, kinds = defaultdict(int), defaultdict(int)
+        for k, x in counts.items():
+            total[k[:-1]] += x
+            kinds[k[:-1]] += 1
+        levels.append((counts, min(max(once / (once + 2 * twice) if once else 0.5, 0.1), 0.98), total, kinds))
+    n, size = sum(c1.values()), len(c1)
+    out = {}
+    for i, t in texts.items():
+        seq, score = ["<", "<", *t, ">"], 0.0
+        for x in zip(seq, seq[1:], seq[2:]):
+            p = (c1[x[2]] + 0.1) / (n + 0.1 * (size + 1))
+            for key, (c, d, total, kinds) in zip((x[1:], x), levels):
+                if total[key[:-1]]:
+                    p = max(c[key] - d, 0) / total[key[:-1]] + d * kinds[key[:-1]] / total[key[:-1]] * p
+            score += math.log10(p)
+        out[i] = score
+    return out
+
+
+def test_first_words_have_a_context(spark):
+    """Texts that open alike, and empty ones: the first word, or the end, is scored after the begin marks."""
+    r = random.Random(6)
+    texts = {i: [r.choice(("so", "so", "so", "then", f"o{i % 7}"))] * (i % 4 > 0) + [f"w{r.randrange(30)}" for _ in range(i % 4)] for i in range(400)}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").repartition(3)
+    want = _plain_scores(texts)
+    for got in score_documents(df, batch_bytes=1 << 20).collect():
+        assert math.isclose(got.score, want[got.doc_id], abs_tol=0.03 * (len(texts[got.doc_id]) + 1)), texts[got.doc_id]
