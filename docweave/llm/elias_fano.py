@@ -171,6 +171,11 @@ def quantise(values: np.ndarray, levels: int = 256) -> tuple[np.ndarray, np.ndar
     return codes.astype(np.uint8), np.exp(mean)
 
 
+def discount(once: int, twice: int) -> float:
+    """The absolute discount, by how many counts are 1 and 2."""
+    return min(max(once / (once + 2 * twice) if once else 0.5, 0.1), 0.98)
+
+
 class NgramTrie:
     """Trigram model of the words after each word v, as four levels.
 
@@ -185,13 +190,26 @@ class NgramTrie:
         self.levels, self.tables = levels, tables
 
     @classmethod
-    def build(cls, v: np.ndarray, u: np.ndarray, w: np.ndarray, count: np.ndarray, whole: tuple[int, int, int] | None = None) -> NgramTrie:
-        """From distinct (v, u, w) in ascending order with counts above 0. ``whole``: (v, total, kinds) of a v that has one u
-        only and of whose w just a part is here."""
-        roots, vi = _groups(v)
-        size = int(max(w.max(), u.max())) + 1 if len(w) else 1
-        bi, at2 = np.unique(vi * size + w, return_inverse=True)
-        c2 = np.bincount(at2, count)
+    def build(cls, v: np.ndarray, u: np.ndarray, w: np.ndarray, count: np.ndarray, whole: tuple[int, int, int] | None = None, pairs: tuple | None = None, discounts: tuple[float, float] | None = None) -> NgramTrie:
+        """From distinct (v, u, w) in ascending order with counts above 0, which may be a part of all.
+
+        ``whole``: (v, total, kinds) of a v that has one u only and of whose w just a part is here. ``pairs``: (v, w, count)
+        of the bigrams, ascending, with counts above 0, and the total and kinds of each v from 0, if not those of the trigrams;
+        ``discounts``: of bigrams and of trigrams, if not those of these counts.
+        """
+        if pairs:
+            roots = np.flatnonzero(pairs[3])
+            size = int(max([1, *(x.max() for x in (w, u, pairs[1]) if len(x))])) + 1
+            bi, c2 = np.searchsorted(roots, pairs[0]) * size + pairs[1], pairs[2]
+            vi = np.searchsorted(roots, v)
+            at2 = np.searchsorted(bi, vi * size + w)
+            sums2 = pairs[3][roots], pairs[4][roots]
+        else:
+            roots, vi = _groups(v)
+            size = int(max(w.max(), u.max())) + 1 if len(w) else 1
+            bi, at2 = np.unique(vi * size + w, return_inverse=True)
+            c2 = np.bincount(at2, count)
+            sums2 = None
         bv = bi // size
         cx, atc = _groups(vi * size + u)
         cv = cx // size
@@ -203,11 +221,9 @@ class NgramTrie:
             "trigrams": Level.of(atc, rank, len(cx)),
         }
         tables = {}
-        for name, parent, c, n in (("2", bv, c2, len(roots)), ("3", atc, count, len(cx))):
-            once, twice = (c == 1).sum(), (c == 2).sum()
-            d = once / (once + 2 * twice) if once else 0.5
-            d = min(max(d, 0.1), 0.98)
-            total, kinds = np.bincount(parent, c, n), np.bincount(parent, minlength=n)
+        for k, (name, parent, c, n) in enumerate((("2", bv, c2, len(roots)), ("3", atc, count, len(cx)))):
+            d = discounts[k] if discounts else discount((c == 1).sum(), (c == 2).sum())
+            total, kinds = sums2 if sums2 and not k else (np.bincount(parent, c, n), np.bincount(parent, minlength=n))
             if whole:
                 at = roots == whole[0] if name == "2" else roots[cv] == whole[0]
                 total[at], kinds[at] = whole[1:]

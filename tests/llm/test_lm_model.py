@@ -136,3 +136,17 @@ def test_first_words_have_a_context(spark):
     want = _plain_scores(texts)
     for got in score_documents(df, batch_bytes=1 << 20).collect():
         assert math.isclose(got.score, want[got.doc_id], abs_tol=0.03 * (len(texts[got.doc_id]) + 1)), texts[got.doc_id]
+
+
+def test_scores_do_not_depend_on_shards(spark):
+    """Any split of words and batches gives the plain model's scores, up to quantising."""
+    r = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(60)]
+    texts = {}
+    for i in range(300):
+        texts[i] = [r.choice(vocabulary[: r.choice((3, 10, 60))]) for _ in range(r.randint(0, 40))]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").repartition(3)
+    want = _plain_scores(texts)
+    for batch_bytes, per_shard in ((1 << 20, 400_000), (1 << 13, 400_000), (1 << 13, 50), (1 << 12, 7), (1 << 14, 1)):
+        for got in score_documents(df, batch_bytes=batch_bytes, per_shard=per_shard).collect():
+            assert math.isclose(got.score, want[got.doc_id], abs_tol=0.012 * (len(texts[got.doc_id]) + 1)), (batch_bytes, per_shard, got.doc_id)
