@@ -90,10 +90,10 @@ class Matcher:
         self.table = np.zeros(1 << _BITS, dtype=bool)
         self.table[(self.key * _MULTIPLY) >> np.uint64(64 - _BITS)] = True
 
-    def hits(self, data: np.ndarray) -> list[tuple[int, int]]:
-        """(item, place of the item's start if nothing before the piece was edited) of every exact piece."""
+    def hits(self, data: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, place of the item's start if nothing before the piece was edited, place of the piece) of every exact piece."""
         n = len(data) - 7
-        out: list[tuple[int, int]] = []
+        out: list[tuple[int, int, int]] = []
         data = np.ascontiguousarray(data)
         for lo in range(0, max(0, n), 1 << 21):
             m = min(1 << 21, n - lo)
@@ -107,7 +107,7 @@ class Matcher:
                 while r < len(self.key) and int(self.key[r]) == v:
                     item, a, b = self.piece[r]
                     if data[place : place + b - a].tobytes() == self.items[item][1][a:b]:
-                        out.append((item, place - a))
+                        out.append((item, place - a, place))
                     r += 1
         return out
 
@@ -118,11 +118,9 @@ class Matcher:
         found = self.hits(data)
         if not found:
             return []
-        docs = np.searchsorted(offsets, [max(0, p) for _, p in found], side="right") - 1
-        for (item, place), near in zip(found, docs.tolist()):
-            size = len(self.items[item][1])
-            for doc in {near, int(np.searchsorted(offsets, min(place + size, len(data) - 1), side="right")) - 1}:
-                places.setdefault((doc, item), []).append(place)
+        docs = np.searchsorted(offsets, [at for *_, at in found], side="right") - 1
+        for (item, place, _), doc in zip(found, docs.tolist()):
+            places.setdefault((doc, item), []).append(place)
         out = []
         for (doc, item), at in places.items():
             _, pattern, k = self.items[item]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.llm.decontamination import decontaminate, find_leaks, myers
+from docweave.llm.decontamination import budget, decontaminate, find_leaks, myers, normalise, normalised
 from docweave.llm.line_dedup import dedup_lines
 from docweave.llm.lm_scoring import score_documents
 from docweave.llm.ngram_join import jaccard_components
@@ -69,6 +70,35 @@ def test_decontamination(spark, docs, none):
     assert rounds == found
 
 
+def test_decontamination_at_the_ends_of_texts(spark):
+    """Texts that are items clipped and edited at both ends, between other texts, against plain edit distances."""
+
+    def plain(p, t):
+        row = [0] * (len(t) + 1)
+        for i, c in enumerate(p, 1):
+            new = [i]
+            for j, d in enumerate(t, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+            row = new
+        return min(row)
+
+    r = random.Random(9)
+    items = [(i, normalise(" ".join(r.choice(_words) for _ in range(r.randint(6, 25))))) for i in range(25)]
+    texts = []
+    for _, x in items:
+        for _ in range(3):
+            t = bytearray(x[r.randint(0, 4) : len(x) - r.randint(0, 4)])
+            for _ in range(r.randint(0, 3)):
+                t[r.choice((r.randrange(8), -1 - r.randrange(8)))] = r.choice(b"xyz")
+            texts += [r.choice(_words), bytes(t).decode(), r.choice(_words) * r.randint(0, 3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(i, x.decode()) for i, x in items], "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.distance for x in find_leaks(docs, bench).collect()}
+    limit = {i: budget(len(x), 0.08, 12) for i, x in items}
+    want = {(3 * d + 1, i): k for d in range(75) for i, x in items[d // 3 : d // 3 + 1] if (k := plain(x, normalised(pa.array(texts[3 * d + 1 : 3 * d + 2]))[0].tobytes())) <= limit[i]}
+    assert len(want) > 30 and got == want
+
+
 def test_myers_equals_table():
     def plain(p, t):
         row = [0] * (len(t) + 1)
