@@ -2,8 +2,9 @@
 
 Both supported pre-tokenisers never join a character that isn't white space with the space after it, so a text can be cut
 before each such space and each distinct piece encoded once. Pieces that are plainly one word, perhaps with punctuation
-after it, go straight to the library's BPE model, all others through its whole pipeline; the ids equal those of the whole
-text either way.
+after it, go straight to the library's BPE model, all others through its whole pipeline. A text with the string of an added
+token, such as <|endoftext|>, isn't cut: the library takes it whole, with the token's own id. The ids equal those of the
+whole text by the library's default encoding every way.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ def _byte_letters() -> dict[int, str]:
 
 
 class PieceEncoder:
-    """``encode_many(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes, without special tokens.
+    """``encode_many(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes; no special tokens are added to those
+    in the text.
 
     ``spaces_matter`` is False for vocabularies whose normaliser lower-cases and drops white space.
     """
@@ -41,7 +43,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.spaces_matter, self.most = spaces_matter, most
@@ -73,7 +75,10 @@ class PieceEncoder:
                 return self._part(space + word) + (self._part(marks) if marks else b"")
             if word.isascii() or ("Σ" not in word and "İ" not in word and unicodedata.is_normalized("NFC", word)):
                 return self._part(word.lower()) + (self._part(marks) if marks else b"")
-        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        return self._whole(piece)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode_many(self, texts: Iterable[str]) -> list[bytes]:
         cache, out = self.cache, []
@@ -82,6 +87,9 @@ class PieceEncoder:
             self.parts.clear()
         get = cache.__getitem__
         for text in texts:
+            if any(t in text for t in self.added):
+                out.append(self._whole(text))
+                continue
             split = self.pieces(text)
             for p in set(split).difference(cache):
                 cache[p] = self._piece(p)

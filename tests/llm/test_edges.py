@@ -16,7 +16,7 @@ from docweave.llm.packing import best_fit, pack, pack_documents
 from docweave.llm.quality import score_quality, train_quality
 from docweave.llm.substring_dedup import remove_repeats
 from docweave.llm.token_output import output_directory, read_token_files, write_token_files
-from docweave.llm.tokenise import public_path
+from docweave.llm.tokenise import PieceEncoder, public_path
 from docweave.llm.topk import top_k, whole_vectors
 from docweave.llm.url_filter import filter_urls
 
@@ -203,6 +203,19 @@ def test_packing(docs, none):
         pack_documents(docs, path, 0, payload="text")
 
 
+def test_special_token_strings():
+    """Ids of texts with special-token strings are the library's own."""
+    from tokenizers import Tokenizer
+
+    r = random.Random(10)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "\n", "  ", "don't", "Émile", "a", "b1,", "漢字"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", *("".join(r.choice(parts) for _ in range(r.randint(1, 9))) for _ in range(400))]
+    for name, spaces_matter in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        tok = Tokenizer.from_file(public_path(name))
+        for text, ids in zip(texts, PieceEncoder(public_path(name), spaces_matter).encode_many(texts), strict=True):
+            assert ids == b"".join(x.to_bytes(4, "little") for x in tok.encode(text, add_special_tokens=False).ids), (name, text)
+
+
 def test_pack_fills_bins():
     r = random.Random(3)
     for _ in range(20):
