@@ -68,19 +68,22 @@ def _exchange(a: list[int], b: list[int], sizes: list[int], fa: int, fb: int, ca
     return found
 
 
-def local_search(bins: list[list[int]], sizes: list[int], capacity: int, most: int = 48, rounds: int = 8) -> list[list[int]]:
+def local_search(bins: list[list[int]], sizes: list[int], capacity: int, most: int = 48) -> list[list[int]]:
     """Exchange pieces between underfull bins while the sum of squared fills rises; empty bins go.
 
     Fills are integers below a bound and each exchange raises the sum, so the search ends; ``most`` neighbouring bins (by
-    fill) are searched together, up to ``rounds`` times, with other neighbours each time.
+    fill) are searched together, with neighbourhoods half of that further on in every other round, until a round of either
+    kind has changed nothing.
     """
     full = [b for b in bins if sum(sizes[i] for i in b) == capacity]
     work = [b for b in bins if sum(sizes[i] for i in b) != capacity]
-    for turn in range(rounds):
+    turn = idle = 0
+    while idle < 2:
         changed = False
         work.sort(key=lambda b: (-sum(sizes[i] for i in b), b))
-        for lo in range((turn % 2) * (most // 2), len(work), most):
-            block = work[lo : lo + most]
+        cuts = [0, *range(most // 2 if turn % 2 else most, len(work), most), len(work)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            block = work[lo:hi]
             fills = [sum(sizes[i] for i in b) for b in block]
             for t in range(len(block) - 1, 0, -1):  # drain the emptiest first
                 for k in range(t):
@@ -100,8 +103,7 @@ def local_search(bins: list[list[int]], sizes: list[int], capacity: int, most: i
                         if fills[x] < fills[y]:
                             x, y = y, x
         work = [b for b in work if b]
-        if not changed:
-            break
+        turn, idle = turn + 1, 0 if changed else idle + 1
     return full + work
 
 

@@ -12,7 +12,7 @@ from docweave.llm.decontamination import budget, decontaminate, find_leaks, myer
 from docweave.llm.line_dedup import dedup_lines
 from docweave.llm.lm_scoring import score_documents
 from docweave.llm.ngram_join import jaccard_components
-from docweave.llm.packing import best_fit, pack, pack_documents
+from docweave.llm.packing import best_fit, local_search, pack, pack_documents
 from docweave.llm.quality import score_quality, train_quality
 from docweave.llm.substring_dedup import remove_repeats
 from docweave.llm.token_output import output_directory, read_token_files, write_token_files
@@ -226,6 +226,15 @@ def test_pack_fills_bins():
     assert len(pack([60, 60, 40, 40, 50, 50, 30, 70], 100)) == 4
 
 
+def test_local_search_ends_without_an_exchange_left():
+    r = random.Random(11)
+    sizes = [r.randint(600, 760) for _ in range(1500)]
+    bins = pack(sizes, 2048)
+    again = local_search([list(b) for b in bins], sizes, 2048)
+    squares = [sum(sum(sizes[i] for i in b) ** 2 for b in x) for x in (bins, again)]
+    assert sorted(i for b in bins for i in b) == list(range(1500)) and squares[0] == squares[1]
+
+
 def test_token_output(spark, docs, none):
     path = public_path("byte_bpe_50k.json")
     manifest = write_token_files(docs, path, 2, output_directory(spark), part_bytes=1 << 16, frame_bytes=1 << 12)
