@@ -21,10 +21,11 @@ from ._blocks import MOST, links
 from ._components import components
 from ._route import answer, ask, batches, ddl, deltas, finish, narrow, pack, runs, sized, to_shards, undelta, unpack
 from ._spark import pieces, stored, text_bytes
-from ._text import _BYTE, _CHUNK, RADIX, SPACE, distinct_pairs, mix, powers, string_buffer
+from ._text import SPACE, distinct_pairs, mix, multipliers, string_buffer
 
 _NO_ID = 2**63 - 1
 _NEWLINE = 0x0A
+_FIRST_BYTES = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
 class Lines:
@@ -49,36 +50,41 @@ class Lines:
             self.blank[i] = SPACE[self.data[self.start[i] : self.end[i]]].all()
 
     def hashes(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(64-bit hash, length in bytes) of the lines ``at`` (ascending, none of them empty): what tells lines apart."""
-        start, size = self.start[at], self.end[at] - self.start[at]
-        out = np.empty(len(at), np.uint64)
-        for _, i, j in runs(np.cumsum(size) // _CHUNK):
-            first = np.cumsum(size[i:j]) - size[i:j]
-            place = np.arange(int(size[i:j].sum())) - np.repeat(first, size[i:j])
-            value = _BYTE[0][self.data[place + np.repeat(start[i:j], size[i:j])]]
-            value *= powers(int(RADIX[0]), int(size[i:j].max()) + 1)[place]
-            out[i:j] = mix(np.add.reduceat(value, first) ^ size[i:j].astype(np.uint64) * RADIX[1], 5)
-        return out, size.astype(np.uint64)
+        """The two halves of the lines' 128-bit XXH3 hashes: what tells lines apart."""
+        from xxhash import xxh3_128_digest
+
+        raw = self.data.tobytes()
+        digests = b"".join([xxh3_128_digest(raw[a:b]) for a, b in zip(self.start[at].tolist(), self.end[at].tolist())])
+        both = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        return both[:, 0].copy(), both[:, 1].copy()
 
     def shingles(self, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(values, first place of each line) of the ``size``-byte shingles of lines ``at``; a shorter line is one itself."""
-        start, end = self.start[at], self.end[at]
-        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
-        view = np.ndarray((len(self.data),), "<u8", padded, strides=(1,))
+        """(64-bit hashes, first place of each line) of the shingles of ``size`` characters of the lines ``at``, ascending and
+        none empty; a shorter line is one itself."""
+        lo, hi = int(self.start[at[0]]), int(self.end[at[-1]])
+        head = np.append(np.flatnonzero(self.data[lo:hi] & 0xC0 != 0x80), hi - lo)  # where characters begin
+        window = np.ndarray((hi - lo,), "<u4", np.append(self.data[lo:hi], np.zeros(3, np.uint8)), strides=(1,))
+        code = (window[head[:-1]] & _FIRST_BYTES[np.minimum(np.diff(head), 4)]).astype(np.uint64)  # a character's bytes as a number
+        code += np.uint64(1)
+        start, end = np.searchsorted(head, self.start[at] - lo), np.searchsorted(head, self.end[at] - lo)
+        by, whole = multipliers(0, size), np.zeros(max(0, len(code) - size + 1), np.uint64)
+        for j in range(size):
+            whole += code[j : j + len(whole)] * by[j]
         count = np.maximum(end - start - size + 1, 1)
         first = np.cumsum(count) - count
         place = np.arange(int(count.sum())) - np.repeat(first - start, count)
-        value = view[place] & np.uint64((1 << 8 * size) - 1 if size < 8 else 0xFFFFFFFFFFFFFFFF)
-        short = np.flatnonzero(end - start < size)
-        value[first[short]] &= (np.uint64(1) << (8 * (end - start)[short]).astype(np.uint64)) - np.uint64(1)
-        return value, first
+        value = np.append(whole, np.zeros(size, np.uint64))[place]
+        for i in np.flatnonzero(end - start < size).tolist():
+            own = code[start[i] : end[i]]
+            value[first[i]] = (own * by[: len(own)]).sum(dtype=np.uint64)
+        return mix(value, 5), first
 
 
 def signature_bands(value: np.ndarray, first: np.ndarray, bands: int, rows: int, seed: int = 11) -> np.ndarray:
     """(line, band) keys: 64-bit hashes of each band's minima."""
     rng = np.random.Generator(np.random.PCG64(seed))
     factors = rng.integers(0, 2**31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    small = (mix(value) >> np.uint64(32)).astype(np.uint32)
+    small = (value >> np.uint64(32)).astype(np.uint32)
     keys = np.zeros((len(first), bands), np.uint64)
     for b in range(bands):
         for r in range(rows):
@@ -88,7 +94,7 @@ def signature_bands(value: np.ndarray, first: np.ndarray, bands: int, rows: int,
 
 
 def _distinct(rows: pa.Table):
-    """Lines, and of the distinct ones that aren't blank: place of the first, hash and length; by hash. Also each line's."""
+    """Lines, and of the distinct ones that aren't blank: place of the first and both hashes; by hash. Also all places."""
     lines = Lines(rows.column("text"))
     ids = np.array([_NO_ID if i is None else i for i in rows.column("doc_id").to_pylist()], np.int64)
     solid = np.flatnonzero(~lines.blank)
@@ -106,15 +112,14 @@ def _ask_equal(shards: int):
         order, parts = to_shards((one % np.uint64(shards)).astype(np.int64))
         for shard, a, b in parts:
             mine = at[order[a:b]]
-            yield shard, pack(one[order[a:b]], narrow(two[order[a:b]]), ids[lines.doc[mine]], narrow(lines.doc[mine]), narrow(lines.number[mine]))
+            yield shard, pack(one[order[a:b]], two[order[a:b]], ids[lines.doc[mine]], narrow(lines.doc[mine]), narrow(lines.number[mine]))
 
     return fn
 
 
 def _first_of_all(shard, asked):
     got = [(b, unpack(p)) for b, p in asked]
-    one, ids = (np.concatenate([g[k] for _, g in got]) for k in (0, 2))
-    two = np.concatenate([g[1].astype(np.uint64) for _, g in got])
+    one, two, ids = (np.concatenate([g[k] for _, g in got]) for k in (0, 1, 2))
     doc, number = (np.concatenate([g[k].astype(np.int64) for _, g in got]) for k in (3, 4))
     batch = np.repeat(np.arange(len(got)), [len(g[0]) for _, g in got])
     order = np.lexsort((number, doc, batch, ids, two, one))
@@ -179,6 +184,11 @@ def _shared_bands(shard, asked):
             yield b, pack(deltas(undelta(g[0])[mine]), g[1][mine])
 
 
+def _item(batch: int, line: int) -> int:
+    """A number of its own for each line of each batch (read by up to 2^20 tasks, of up to 2^14 batches each)."""
+    return batch >> 32 << 43 | (batch & 0xFFFFFFFF) << 29 | line
+
+
 def _candidates():
     kinds = [("item", pa.int64()), ("batch", pa.int64()), ("id", pa.int64()), ("line", pa.int64()), ("keys", pa.binary()), ("content", pa.binary())]
 
@@ -192,11 +202,9 @@ def _candidates():
             lines = Lines(rows.column("text"))
             ids = rows.column("doc_id").to_pylist()
             places = runs(line)
-            at = np.array([p for p, _, _ in places])
-            names = lines.hashes(at)[0].view(np.int64).tolist()
-            for k, (p, a, b) in enumerate(places):
+            for p, a, b in places:
                 i = ids[int(lines.doc[p])]
-                out.append((names[k], batch, _NO_ID if i is None else i, p, keys[a:b].tobytes(), lines.data[lines.start[p] : lines.end[p]].tobytes()))
+                out.append((_item(batch, p), batch, _NO_ID if i is None else i, p, keys[a:b].tobytes(), lines.data[lines.start[p] : lines.end[p]].tobytes()))
         out += [(None, batch, None, None, None, p) for s, p in got if s < 0]  # the repeats, for the last pass
         cols = list(zip(*out)) if out else [[]] * len(kinds)
         return pa.Table.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, kinds)], schema=pa.schema(kinds))
@@ -209,7 +217,7 @@ def _line_sets(size: int):
         lines = Lines(rows.column("content").cast(pa.string()))
         value, first = lines.shingles(np.arange(len(lines.doc)), size)
         count = np.diff(np.append(first, len(value)))
-        doc, value = distinct_pairs(np.repeat(np.arange(len(count)), count), mix(value))
+        doc, value = distinct_pairs(np.repeat(np.arange(len(count)), count), value)
         bounds = np.searchsorted(doc, np.arange(len(count) + 1))
         return value, bounds, np.diff(bounds)
 
@@ -244,11 +252,10 @@ def _kept(batch, rows, got):
     return rows.append_column("n_lines", pa.array(np.diff(lines.first), pa.int64())).append_column("n_removed", pa.array(count, pa.int64()))
 
 
-def dedup_lines(docs: DataFrame, size: int = 8, bands: int = 10, rows: int = 4, num: int = 80, den: int = 100, most: int = MOST, batch_bytes: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, size: int = 5, bands: int = 10, rows: int = 4, num: int = 80, den: int = 100, most: int = MOST, batch_bytes: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, any more) without repeated lines; adds n_lines (before) and n_removed.
 
-    Lines are similar if the Jaccard similarity of their sets of ``size``-byte shingles (of the UTF-8 text) is at least
-    num / den; equal and similar lines form components, of which the line of the smallest (doc_id, row, line) stays. At that
+    Lines are similar if the Jaccard similarity of their sets of shingles of ``size`` characters is at least num / den; equal and similar lines form components, of which the line of the smallest (doc_id, row, line) stays. At that
     similarity a pair shares a band with probability 1 - (1 - (num / den) ** rows) ** bands (0.995), above it with more.
     Blank lines stay and join nothing; a line shorter than a shingle is similar to equal ones only. Null texts stay null;
     rows with a null id come last. Columns named n_lines or n_removed are replaced, others kept.

@@ -2,8 +2,8 @@
 
 Pass 1: every batch of documents sends the sketch of its windows, in sparse form, to shards of the hash space; a shard
 merges them into one count-min sketch and answers which windows it estimates to occur twice or more. It may overestimate but
-never misses one. Pass 2: of those windows each batch's earliest travels with its full hashes (64 bits and 32 independent
-ones) and place; they are grouped exactly, and all but the earliest of each group are reported back. Pass 3: covered words
+never misses one. Pass 2: of those windows each batch's earliest travels with its full hashes (two independent ones of 64
+bits) and place; they are grouped exactly, and all but the earliest of each group are reported back. Pass 3: covered words
 go. A window that very many documents share so moves once for each batch.
 """
 
@@ -99,7 +99,7 @@ def _candidates(size: int, shards: int):
             repeated.append(at[~first])  # only the batch's earliest goes on; the others have one before them here
             at = np.sort(at[first])
             docs, index = np.unique(doc[at], return_inverse=True)
-            yield shard, pack(h[at], (second[at] >> np.uint64(32)).astype(np.uint32), deltas(at), narrow(index), narrow(starts[at] - words.first[doc[at]]), ids[docs], narrow(docs))
+            yield shard, pack(h[at], second[at], deltas(at), narrow(index), narrow(starts[at] - words.first[doc[at]]), ids[docs], narrow(docs))
         if repeated and len(own := np.sort(np.concatenate(repeated))):
             yield -1 - batch, pack(deltas(own))  # comes back to this batch as it is
 

@@ -136,8 +136,8 @@ def test_line_dedup(spark, texts):
             if line.strip(" \t\r\v\f"):
                 first.setdefault(line, (i, n))
     lines = list(first)
-    sets = [{b[k : k + 8] for k in range(max(1, len(b) - 7))} for b in (x.encode() for x in lines)]
-    index: dict[bytes, list[int]] = {}
+    sets = [{x[k : k + 5] for k in range(max(1, len(x) - 4))} for x in lines]
+    index: dict[str, list[int]] = {}
     root = list(range(len(lines)))
 
     def find(x):
