@@ -3,14 +3,19 @@
 Items are linked in a candidate graph through their keys (a star for each key, reduced to forests on the map side, so a key
 that very many items share moves once for each task). Its components are blocks: no similar pair lies across two. A block
 of up to ``most`` elements is one task. A larger one is cut into chunks. First each chunk is compared within itself and with
-a few pivots of the block; in a group of near copies that connects all but a few. Then only the items outside the block's
-largest component are taken to every chunk. A pair that this leaves out is connected already, so nothing is lost, no task
-grows with the block, and a group of near copies takes as many tasks as it has chunks.
+a few pivots of the block; in a group of near copies that connects all but a few. What may still link then shares a key: the
+lists of items by key are looked up, and only lists whose items aren't all connected go on (equal lists once). In each, the
+items outside the list's largest component are taken to every chunk of the list. A pair that this leaves out is connected
+already, so nothing is lost; no task grows with a block; a group of near copies takes as many tasks as it has chunks, and a
+block that chance keys hold together as many as its lists that hold something apart.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import heapq
+import math
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +25,7 @@ from pyspark.sql import functions as F
 from ._components import components, edge_batch, local_components
 from ._spark import release, stored
 
-MOST = 1_000_000
+MOST = 250_000
 
 
 def _key_stars(parts):
@@ -69,11 +74,12 @@ def blocks(items: DataFrame) -> DataFrame:
     return components(edges.where("a <> b")).toDF("item", "block")
 
 
-def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]], num: int, den: int, most: int = MOST) -> DataFrame:
+def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]], num: int, den: int, most: int = MOST, occurrence: bool = False) -> DataFrame:
     """(a, b): links between items of Jaccard similarity num / den or more, enough to connect all that are linked.
 
     ``items``: item, keys, weight (elements, about) and whatever ``sets(rows)`` needs to give (values, bounds, sizes): item i has the distinct uint64
-    values[bounds[i]:bounds[i + 1]] in common with others at most, and ``sizes[i]`` elements in all.
+    values[bounds[i]:bounds[i + 1]], ascending, in common with others at most, and ``sizes[i]`` elements in all. Two items that link must
+    share a key. ``occurrence``: every block is searched by T-occurrence; otherwise small ones by comparing pairs.
     """
     in_block = stored(blocks(items).join(items.select("item", "weight"), "item"), "blocks")
     sizes = in_block.groupBy("block").agg(F.sum("weight").alias("n")).select(F.col("block").alias("of"), _parts(F.col("n"), most).alias("chunks"))
@@ -86,20 +92,32 @@ def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndar
     everywhere = pivots.select(F.col("p.item").alias("item"), "block", F.explode(F.sequence(none, F.col("chunks") - 1)).alias("i"))
     tasks = dealt.select("item", "block", F.col("chunk").alias("i")).unionByName(everywhere)
     tasks = tasks.select("item", "block", "i", none.alias("j"), none.alias("side"), F.lit(None).cast("long").alias("label"))
-    near = stored(_compared(rows.join(tasks, "item"), sets, num, den), "links")
+    near = stored(_compared(rows.join(tasks, "item"), sets, num, den, occurrence), "links")
     if large.isEmpty():
         return near
-    groups = components(near)
-    known = large.join(groups, large["item"] == groups["node"], "left").select("item", "block", "weight", "chunk", "chunks", F.coalesce("component", "item").alias("label"))
-    known = stored(known, "labels")
-    main = known.groupBy("block", "label").agg(F.sum("weight").alias("w")).groupBy("block").agg(F.max_by("label", F.struct("w", "label")).alias("main"))
-    others = known.join(main, "block").where("label <> main").drop("main")
+    known = large.join(components(near), F.col("item") == F.col("node"), "left").select("item", "weight", F.coalesce("component", "item").alias("label"))
+    entries = stored(known.join(items.select("item", "keys"), "item").mapInArrow(_by_key, "key long, item long, weight long, label long"), "keys")
+    lists = entries.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("item")).alias("h"), F.sum("weight").alias("total"), F.min("label").alias("low"), F.max("label").alias("high"))
+    lists = lists.where("low < high").groupBy("n", "h", "total").agg(F.min("key").alias("block")).select("block", _parts(F.col("total"), most).alias("chunks"))
+    listed = stored(entries.join(lists, F.col("key") == F.col("block")).drop("key"), "lists")
+    main = listed.groupBy("block", "label").agg(F.sum("weight").alias("w")).groupBy("block").agg(F.max_by("label", F.struct("w", "label")).alias("main"))
+    others = listed.join(main, "block").where("label <> main").drop("main")
     count = others.groupBy("block").agg(F.sum("weight").alias("n")).select(F.col("block").alias("of"), _parts(F.col("n"), most).alias("ways"))
     others = others.join(count, others["block"] == count["of"]).drop("of")
-    one = known.join(count, known["block"] == count["of"]).select("item", "block", F.col("chunk").alias("i"), F.explode(F.sequence(none, F.col("ways") - 1)).alias("j"), none.alias("side"), "label")
+    chunk = F.pmod(F.xxhash64("item"), F.col("chunks")).cast("int")
+    one = listed.join(count, listed["block"] == count["of"]).select("item", "block", chunk.alias("i"), F.explode(F.sequence(none, F.col("ways") - 1)).alias("j"), none.alias("side"), "label")
     two = others.withColumn("j", F.pmod(F.xxhash64("item", F.lit(3)), F.col("ways")).cast("int"))
     two = two.select("item", "block", F.explode(F.sequence(none, F.col("chunks") - 1)).alias("i"), "j", F.lit(1).alias("side"), "label")
-    return near.unionByName(_compared(rows.join(one.unionByName(two), "item"), sets, num, den))
+    return near.unionByName(_compared(rows.join(one.unionByName(two), "item"), sets, num, den, occurrence))
+
+
+def _by_key(parts):
+    """A row for each key of each item."""
+    for part in parts:
+        item, weight, label, keys = (part.column(part.schema.get_field_index(n)) for n in ("item", "weight", "label", "keys"))
+        own = [np.frombuffer(k or b"", "<i8") for k in keys.to_pylist()]
+        n = pa.array(np.repeat(np.arange(len(own)), [len(k) for k in own]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *own])), item.take(n), weight.cast(pa.int64()).take(n), label.take(n)], names=["key", "item", "weight", "label"])
 
 
 PIVOTS = 4
@@ -109,7 +127,7 @@ def _parts(n, most: int):
     return F.ceil(F.greatest(n, F.lit(1)) / most).cast("int")
 
 
-def _compared(rows: DataFrame, sets: Callable, num: int, den: int) -> DataFrame:
+def _compared(rows: DataFrame, sets: Callable, num: int, den: int, occurrence: bool) -> DataFrame:
     """(a, b): links within the tasks (block, i, j) of ``rows``; a task with sides wants only links across them."""
     spread = rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "item", "side")
     names = spread.columns
@@ -147,7 +165,7 @@ def _compared(rows: DataFrame, sets: Callable, num: int, den: int) -> DataFrame:
         one[1:] |= (item[1:] != item[:-1]) | (side[1:] != side[:-1])  # repeated items stand for themselves once
         table, item, side, group = table.filter(pa.array(one)), item[one], side[one], (np.cumsum(new) - 1)[one]
         known = table.column("label").fill_null(0).to_numpy() if side.any() else None
-        pairs = link_groups(*sets(table), group, side, num, den, known)
+        pairs = link_groups(*sets(table), group, side, num, den, known, 1 if occurrence else _SMALL)
         return edge_batch(item[pairs[:, 0]], item[pairs[:, 1]])
 
     return spread.mapInArrow(work, "a long, b long")
@@ -161,21 +179,21 @@ def _task_keys(part, names: list[str]) -> np.ndarray:
     return np.stack([c.to_numpy().astype(np.int64) if isinstance(c, pa.ChunkedArray) else c.to_numpy(zero_copy_only=False).astype(np.int64) for c in columns], 1)
 
 
-def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group: np.ndarray, side: np.ndarray, num: int, den: int, known: np.ndarray | None = None) -> np.ndarray:
+def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group: np.ndarray, side: np.ndarray, num: int, den: int, known: np.ndarray | None = None, small: int = _SMALL) -> np.ndarray:
     """Links (pairs of places) within each group of items, enough to connect all that are linked; ``group`` ascends, and a
-    group with sides wants only pairs across them. Small groups are compared together, in rounds; large ones by DivideSkip. ``known``: labels of items that are connected already (groups with sides)."""
+    group with sides wants only pairs across them. Groups of up to ``small`` items are compared together, in rounds; larger
+    ones by DivideSkip. ``known``: labels of items that are connected already (groups with sides)."""
     first = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
     out = [np.empty((0, 2), np.int64)]
     n = np.diff(first)
     split = np.maximum.reduceat(side, first[:-1]) if len(group) else side
-    large = (n > _SMALL) | (split > 0)
+    large = (n > small) | (split > 0)
     for g in np.flatnonzero(large).tolist():
         a, b = int(first[g]), int(first[g + 1])
-        own = [np.sort(values[bounds[i] : bounds[i + 1]]) for i in range(a, b)]
+        own = [values[bounds[i] : bounds[i + 1]] for i in range(a, b)]
         found = divide_skip(own, sizes[a:b], side[a:b], num, den, known[a:b] if known is not None and split[g] else None)
         out.append(np.array(found, np.int64).reshape(-1, 2) + a)
-    small = np.repeat(~large & (n > 1), n)
-    label, pivot_done = np.arange(len(group)), ~small
+    label, pivot_done = np.arange(len(group)), np.repeat(large | (n < 2), n)
     while True:
         # in each group, an item that hasn't been compared becomes the pivot for those not yet connected with it
         waiting = np.flatnonzero(~pivot_done)
@@ -196,6 +214,10 @@ def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group
             xs, ps = x[part], p[part]
             both = _overlaps(values, bounds, ps, xs)
             yes = (den + num) * both >= num * (sizes[xs] + sizes[ps])
+            for k in np.flatnonzero(yes).tolist():  # the prints may count too many, never too few
+                i, j = xs[k], ps[k]
+                whole = len(np.intersect1d(values[bounds[i] : bounds[i + 1]], values[bounds[j] : bounds[j + 1]], assume_unique=True))
+                yes[k] = (den + num) * whole >= num * int(sizes[i] + sizes[j])
             out.append(np.stack([xs[yes], ps[yes]], 1))
             for a, b in zip(xs[yes].tolist(), ps[yes].tolist()):
                 if (old := label[a]) != label[b]:
@@ -205,7 +227,7 @@ def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group
 
 
 def _overlaps(values: np.ndarray, bounds: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Common values of items a[i] and b[i], by one sort of (pair, 48 bits of the value) for all pairs."""
+    """Common values of items a[i] and b[i], or a few more, by one sort of (pair, 48 bits of the value) for all pairs."""
     items = np.concatenate([a, b])
     pair = np.tile(np.arange(len(a), dtype=np.uint64), 2)
     size = (bounds[items + 1] - bounds[items]).astype(np.int64)
@@ -247,51 +269,81 @@ def needed(size: int, num: int, den: int) -> int:
     return -(-num * size // den)
 
 
+MU = 0.0085  # cost of a probe against that of merging, as in DivideSkip's published rule
+
+
+def merge_skip(lists: list[list[int]], least: int) -> Iterator[tuple[int, int]]:
+    """(number, on how many lists) of the numbers on ``least`` of the ascending lists or more, in order, by a heap of the lists'
+    heads; what can't reach that many is jumped over by binary search."""
+    at, heap = [0] * len(lists), [(x[0], k) for k, x in enumerate(lists)]
+    heapq.heapify(heap)
+    while len(heap) >= least:
+        top, popped = heap[0][0], []
+        while heap and heap[0][0] == top:
+            popped.append(heapq.heappop(heap)[1])
+        if len(popped) >= least:
+            yield top, len(popped)
+            for k in popped:
+                at[k] += 1
+        else:
+            while heap and len(popped) < least - 1:
+                popped.append(heapq.heappop(heap)[1])
+            if not heap:
+                return
+            for k in popped:
+                at[k] = bisect_left(lists[k], heap[0][0], at[k])
+        for k in popped:
+            if at[k] < len(lists[k]):
+                heapq.heappush(heap, (lists[k][at[k]], k))
+
+
 def divide_skip(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, num: int, den: int, known: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that connect all similar sets: ``sets`` are sorted arrays, ``sizes`` the sizes that count for the similarity."""
-    if len(sets) == 2 and known is None:
-        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return [(1, 0)] if (den + num) * both >= num * int(sizes[0] + sizes[1]) else []
-    across = bool(side.any())
-    every = np.concatenate(sets)
-    values, index = np.unique(every, return_inverse=True)
+    """Links that connect all similar sets: ``sets`` are sorted arrays, ``sizes`` the sizes that count for the similarity.
+
+    For each set the inverted lists of its values are divided: the longest ones, by the published rule on the needed overlap,
+    are probed by binary search for what the heap merge of the others brings up often enough. Sets that are connected to it
+    already, or can't be similar by size, are taken off the lists before.
+    """
+    n, across = len(sets), bool(side.any())
     bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    owner = np.repeat(np.arange(len(sets)), np.diff(bounds))
-    order = np.lexsort((owner, index))
-    posting, start = owner[order], np.searchsorted(index[order], np.arange(len(values) + 1))
-    own = [index[bounds[i] : bounds[i + 1]] for i in range(len(sets))]
-    groups, out = Union(len(sets), known), []
-    for d in range(len(sets)):
+    values, index = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(index, kind="stable")
+    posting = np.repeat(np.arange(n), np.diff(bounds))[order]
+    start = np.searchsorted(index[order], np.arange(len(values) + 1))
+    entry, length = index[order] * n + posting, np.diff(start)  # (value, owner) as one ascending number, for the probes
+    groups, out = Union(n, known), []
+    for d in range(n):
         if across and side[d] == 0:
             continue
-        size, terms = int(sizes[d]), own[d]
-        least = needed(size, num, den)
-        length = start[terms + 1] - start[terms]
-        terms = terms[np.argsort(length, kind="stable")]
-        if len(terms) < least:
+        size, terms = int(sizes[d]), index[bounds[d] : bounds[d + 1]]
+        want = -(-num * (size + sizes) // (den + num))  # the overlap that links d with each
+        allowed = (side == 0) if across else np.arange(n) < d
+        allowed &= (np.minimum(size, sizes) * den >= num * np.maximum(size, sizes)) & (groups.label != groups.label[d])
+        if not allowed.any() or len(terms) < (least := int(want[allowed].min())):
             continue
-        # the more lists are long, the fewer are merged and the lower is the count that makes a candidate
-        n_long = min(len(terms) - 1, least - 1)
+        terms = terms[np.argsort(length[terms], kind="stable")]
+        n_long = min(least - 1, len(terms) - 1, int(least / (MU * math.log2(max(2, int(length[terms[-1]]))) + 1)))
         short, long = terms[: len(terms) - n_long], terms[len(terms) - n_long :]
-        merged = np.concatenate([posting[start[t] : start[t + 1]] for t in short])
-        count = np.bincount(merged, minlength=len(sets))
-        other = (side == 0) if across else np.arange(len(sets)) < d
-        want = -(-num * (size + sizes) // (den + num))  # the overlap that links d with each
-        near = (count >= np.maximum(1, least - n_long)) & other & (groups.label != groups.label[d]) & (count + n_long >= want)
-        near &= (np.minimum(size, sizes) * den >= num * np.maximum(size, sizes))
-        candidates = np.flatnonzero(near)
-        candidates = candidates[np.argsort(-count[candidates], kind="stable")]
-        long = np.sort(long)
-        while len(candidates):
-            c = int(candidates[0])
-            place = np.searchsorted(own[c], long)
-            place[place == len(own[c])] = 0
-            total = int(count[c]) + int((own[c][place] == long).sum())
-            if total >= want[c]:
-                out.append((d, c))
-                groups.join(d, c)
-                candidates = candidates[1:]
-                candidates = candidates[groups.label[candidates] != groups.label[d]]
+        first = np.cumsum(length[short]) - length[short]
+        ids = posting[np.arange(int(length[short].sum())) - np.repeat(first - start[short], length[short])]
+        of = np.repeat(np.arange(len(short)), length[short])
+        while True:
+            on = allowed[ids]
+            ids, of = ids[on], of[on]
+            if not len(ids):
+                break
+            lists = [x.tolist() for x in np.split(ids, np.flatnonzero(of[1:] != of[:-1]) + 1)]
+            for c, count in merge_skip(lists, max(1, least - n_long)):
+                if count + n_long < want[c]:
+                    continue
+                key = long * n + c
+                place = np.minimum(np.searchsorted(entry, key), len(entry) - 1)
+                if count + int((entry[place] == key).sum()) >= want[c]:
+                    out.append((d, c))
+                    groups.join(d, c)
+                    allowed &= groups.label != groups.label[d]
+                    allowed[: c + 1] = False
+                    break
             else:
-                candidates = candidates[1:]
+                break
     return out

@@ -4,13 +4,15 @@
    of one document links nothing, so a document with too few shared ones is done (most are, at once).
 2. Documents of equal sets become one; the shared shingles among the rarest ones of each set (its prefix, of which linked
    sets must share one) form blocks.
-3. Within a block, DivideSkip: the short inverted lists of a set's shingles are merged by counting, those that reach the
-   required overlap less the number of long lists are candidates, and the long lists are probed by binary search for them.
-   Candidates already connected to the document are passed over.
+3. Within a block, of two sets or of many, DivideSkip: the short inverted lists of a set's shingles are merged by a heap, which
+   jumps over what can't get there; what reaches the required overlap less the number of long lists is a candidate, and the
+   long lists are probed for it by binary search. What is connected to the document already is passed over.
 """
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,6 +67,8 @@ def _judged(n: int, num: int, den: int, shards: int):
     """Per row: doc_id, n_shingles, and for a document with enough shared shingles its fingerprint, shingles and prefix."""
 
     def fn(batch, rows, got):
+        from xxhash import xxh3_128_digest
+
         words, doc, value, order, parts = _sets(rows, n, shards)
         df = np.ones(len(value), np.uint16)
         told = dict(got)
@@ -79,7 +83,7 @@ def _judged(n: int, num: int, den: int, shards: int):
         sets, keys, one, two = [None] * texts, [None] * texts, [None] * texts, [None] * texts
         for i in live:
             v, f = value[first[i] : first[i + 1]], df[first[i] : first[i + 1]]
-            one[i], two[i] = (int(x.view(np.int64)) for x in (v.sum(dtype=np.uint64), np.bitwise_xor.reduce(v * (v | np.uint64(1)))))
+            one[i], two[i] = struct.unpack("<qq", xxh3_128_digest(v.tobytes()))  # ascending, so equal for equal sets
             rare = np.lexsort((v, f))[: len(v) - needed(len(v), num, den) + 1]
             keys[i] = v[rare[f[rare] > 1]].tobytes()
             sets[i] = v[f > 1].tobytes()
@@ -112,7 +116,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     live = every.where("shared is not null and doc_id is not null")
     classes = live.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("rep"))
     chosen = live.join(classes.select(F.col("rep").alias("doc_id"), "one", "two", "n_shingles"), ["doc_id", "one", "two", "n_shingles"], "left_semi")
-    found = links(chosen.select(F.xxhash64("one", "two", "n_shingles").alias("item"), "n_shingles", "shared", "keys", F.col("n_shingles").alias("weight")), _shared, num, den, most)
+    found = links(chosen.select(F.xxhash64("one", "two", "n_shingles").alias("item"), "n_shingles", "shared", "keys", F.col("n_shingles").alias("weight")), _shared, num, den, most, occurrence=True)
     groups = components(found)
     named = stored(classes.withColumn("node", F.xxhash64("one", "two", "n_shingles")).join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component"), "classes")
     smallest = named.groupBy("group").agg(F.min("rep").alias("component_id"))

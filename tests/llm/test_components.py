@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from docweave.llm._blocks import divide_skip, link_groups
+from docweave.llm._blocks import divide_skip, link_groups, links, merge_skip
 from docweave.llm._components import components, local_components
 
 
@@ -55,11 +56,11 @@ def sets(seed, n):
     return [frozenset(x for x in r.choice(base) if r.random() > 0.06) | frozenset(r.sample(range(10_000), r.randrange(4))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("n", [2, 7, 30, 90])
+@pytest.mark.parametrize("n", [2, 7, 30, 90, 300])
 @pytest.mark.parametrize("threshold", [(80, 100), (85, 100), (1, 2)])
 def test_links_connect_what_pairs_connect(n, threshold):
     num, den = threshold
-    for seed in range(6):
+    for seed in range(6 if n < 300 else 1):
         own = sets(seed, n)
         want = plain([(i, j) for i in range(n) for j in range(i) if den * len(own[i] & own[j]) >= num * len(own[i] | own[j])] + [(i, i) for i in range(n)])
         arrays = [np.array(sorted(x << 40 for x in s), np.uint64) for s in own]
@@ -68,8 +69,46 @@ def test_links_connect_what_pairs_connect(n, threshold):
         assert plain([*found, *[(i, i) for i in range(n)]]) == want
         assert all(den * len(own[a] & own[b]) >= num * len(own[a] | own[b]) for a, b in found)
         bounds = np.cumsum([0, *map(len, arrays)])
-        got = link_groups(np.concatenate(arrays), bounds, sizes, np.zeros(n, int), np.zeros(n, int), num, den)
-        assert plain([*map(tuple, got.tolist()), *[(i, i) for i in range(n)]]) == want
+        for small in (1, 48):
+            got = link_groups(np.concatenate(arrays), bounds, sizes, np.zeros(n, int), np.zeros(n, int), num, den, small=small)
+            assert plain([*map(tuple, got.tolist()), *[(i, i) for i in range(n)]]) == want
+
+
+def test_prints_that_agree_dont_link():
+    """Values that share their first 48 bits only are different."""
+    a = (np.arange(10, dtype=np.uint64) << np.uint64(16)) + np.uint64(1)
+    got = link_groups(np.concatenate([a, a + np.uint64(1)]), np.array([0, 10, 20]), np.array([10, 10]), np.zeros(2, int), np.zeros(2, int), 4, 5)
+    assert not len(got)
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 5])
+def test_merge_skip(least):
+    r = random.Random(least)
+    for _ in range(200):
+        lists = [sorted(r.sample(range(30), r.randint(1, 12))) for _ in range(r.randint(0, 7))]
+        count = Counter(x for own in lists for x in own)
+        assert list(merge_skip(lists, least)) == sorted((x, c) for x, c in count.items() if c >= least)
+
+
+def test_blocks_by_lists(spark):
+    """A block that chance keys hold together, cut into many tasks, has the links that all pairs have."""
+    r = random.Random(4)
+    own = {i: frozenset(r.sample(range(100 * (i % 5), 100 * (i % 5) + 60), 50)) for i in range(150)}
+    own |= {i + 1000: own[i] - {min(own[i])} for i in range(0, 150, 3)}
+    rows = [(i, np.array(sorted({x << 40 for x in s} | {7 << 20}), "<u8").tobytes(), np.array([x << 40 for x in s] + [7 << 20], "<i8").tobytes(), len(s) + 1) for i, s in own.items()]
+    items = spark.createDataFrame(rows, "item long, content binary, keys binary, weight int").repartition(4)
+
+    def parts(rows):
+        values = [np.frombuffer(x, "<u8") for x in rows.column("content").to_pylist()]
+        return np.concatenate(values), np.cumsum([0] + [len(v) for v in values]), np.array([len(v) for v in values])
+
+    sets_ = {i: s | {-1} for i, s in own.items()}
+    want = plain([(i, j) for i in own for j in own if i > j and 10 * len(sets_[i] & sets_[j]) >= 8 * len(sets_[i] | sets_[j])])
+    for most in (10**6, 700, 200):
+        for occurrence in (True, False):
+            found = links(items, parts, 8, 10, most, occurrence).collect()
+            got = plain([(x.a, x.b) for x in found if x.a != x.b])
+            assert {k: v for k, v in got.items()} == want, (most, occurrence)
 
 
 def test_known_labels_are_not_compared_again():
