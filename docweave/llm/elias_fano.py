@@ -158,17 +158,34 @@ class Level:
         return out, rel
 
 
-def quantise(values: np.ndarray, levels: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, code book) of positive values: equally filled bins, each with the mean logarithm of its values."""
-    logs = np.log(values)
-    distinct = np.unique(logs)
-    if len(distinct) <= levels:
-        return np.searchsorted(distinct, logs).astype(np.uint8), np.exp(distinct)
-    edges = np.unique(np.quantile(logs, np.linspace(0, 1, levels + 1)[1:-1]))
-    codes = np.searchsorted(edges, logs, side="right")
-    n = np.bincount(codes, minlength=len(edges) + 1)
-    mean = np.bincount(codes, logs, len(edges) + 1) / np.maximum(n, 1)
-    return codes.astype(np.uint8), np.exp(mean)
+_STEP = 4.5e-4  # of a code, in powers of ten of x / (1 - x)
+_MIDDLE, _ONE = 1 << 15, 65535
+
+
+def encode(x: np.ndarray) -> np.ndarray:
+    """16-bit codes of numbers from 0 to 1: steps even in the logarithm of x / (1 - x), so that both x and 1 - x are off by
+    0.06 % at most (beyond 10^-14 they are held at that). 0 and 1 have codes of their own. The same for every shard."""
+    x = np.asarray(x, float)
+    with np.errstate(divide="ignore"):
+        odds = np.log10(x) - np.log1p(-x) / np.log(10)
+    code = np.clip(np.round(np.clip(odds, -99, 99) / _STEP) + _MIDDLE, 1, _ONE - 1)
+    return np.where(x <= 0, 0, np.where(x >= 1, _ONE, code)).astype(np.uint16)
+
+
+def _code_book() -> np.ndarray:
+    odds = 10.0 ** ((np.arange(_ONE + 1) - _MIDDLE) * _STEP)
+    out = odds / (1 + odds)
+    out[0], out[_ONE] = 0, 1
+    return out
+
+
+_BOOK: list[np.ndarray] = []
+
+
+def decode(code: np.ndarray) -> np.ndarray:
+    if not _BOOK:
+        _BOOK.append(_code_book())
+    return _BOOK[0][code]
 
 
 def discount(once: int, twice: int) -> float:
@@ -181,7 +198,7 @@ class NgramTrie:
 
     v (all words with a successor) -> w: bigrams; v -> u: the contexts (u, v); (u, v) -> w: trigrams, with w written as its
     rank among the successors of v, which makes the ids small. Absolute discounting: a bigram or trigram has its discounted
-    share, a node the weight that it leaves to the shorter context; both as 8-bit codes.
+    share, a node the weight that it leaves to the shorter context; both as 16-bit codes (``encode``).
     """
 
     KEYS = ("roots", "bigrams", "contexts", "trigrams")
@@ -227,8 +244,7 @@ class NgramTrie:
             if whole:
                 at = roots == whole[0] if name == "2" else roots[cv] == whole[0]
                 total[at], kinds[at] = whole[1:]
-            tables["share" + name], tables["share_book" + name] = quantise((c - d) / total[parent])
-            tables["rest" + name], tables["rest_book" + name] = quantise(d * kinds / total)
+            tables["share" + name], tables["rest" + name] = encode((c - d) / total[parent]), encode(d * kinds / total)
         return cls(levels, tables)
 
     def query(self, v: np.ndarray, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,15 +258,15 @@ class NgramTrie:
         trigram, _ = self.levels["trigrams"].find(np.where(rank >= 0, context, -1), rank)
         a, b = np.zeros(len(v)), np.ones(len(v))
         at = root >= 0
-        b[at] = t["rest_book2"][t["rest2"][root[at]]]
+        b[at] = decode(t["rest2"][root[at]])
         at = bigram >= 0
-        a[at] = t["share_book2"][t["share2"][bigram[at]]]
+        a[at] = decode(t["share2"][bigram[at]])
         at = context >= 0
-        rest = t["rest_book3"][t["rest3"][context[at]]]
+        rest = decode(t["rest3"][context[at]])
         a[at] *= rest
         b[at] *= rest
         at = trigram >= 0
-        a[at] += t["share_book3"][t["share3"][trigram[at]]]
+        a[at] += decode(t["share3"][trigram[at]])
         return a, b
 
     def arrays(self) -> dict[str, np.ndarray]:

@@ -9,7 +9,7 @@ A frequent v goes to several shards by a hash of u. Each then holds its contexts
 v w, so before the tries are built v's own shard adds these up and tells them, with v's total and kinds, to those that hold
 a part. The first word of a text follows two begin marks; every text has that context, so it is split over shards by w.
 Its total and kinds, and how many trigrams and pairs occur once and twice (the discounts), are summed over all shards.
-Scores therefore don't depend on shards and batches, except by quantising.
+Probabilities are quantised by one fixed code book. Scores therefore don't depend on shards and batches.
 """
 
 from __future__ import annotations
@@ -25,10 +25,9 @@ from pyspark.sql import functions as F
 from ._route import answer, answer_told, ask, batches, ddl, finish, narrow, pack, runs, sized, unpack
 from ._spark import pieces, text_bytes
 from ._text import Words, mix
-from .elias_fano import NgramTrie, discount, mapped
+from .elias_fano import NgramTrie, decode, discount, encode, mapped
 
 BEGIN, END = np.uint64(0x1F3D5B79A2C4E687), np.uint64(0x2B4D6F81A3C5E709)
-_SHARE, _WEIGHT = 2000.0, 100.0  # codes for each power of ten
 _AT_ONCE = 1 << 18  # trigrams looked up together
 _FIRST = 0  # the begin mark as a context; words have their number + 1
 _SUMS = ("first_total", "first_kinds", "pairs_once", "pairs_twice", "trigrams_once", "trigrams_twice")
@@ -47,9 +46,11 @@ def _distinct(*keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
             out.append(one & ((1 << n) - 1))
             one = one >> n
         return [one, *reversed(out)], index
-    pairs, at = np.unique(keys[0] << 32 | keys[1], return_inverse=True)
-    one, index = np.unique(at << 32 | keys[2], return_inverse=True)
-    return [pairs[one >> 32] >> 32, pairs[one >> 32] & 0xFFFFFFFF, one & 0xFFFFFFFF], index
+    dense = [np.unique(k, return_inverse=True) for k in keys]  # fewer than 2^31 different ones each, whatever the numbers
+    pairs, at = np.unique(dense[0][1] << 31 | dense[1][1], return_inverse=True)
+    one, index = np.unique(at << 31 | dense[2][1], return_inverse=True)
+    places = pairs[one >> 31] >> 31, pairs[one >> 31] & 0x7FFFFFFF, one & 0x7FFFFFFF
+    return [d[p] for (d, _), p in zip(dense, places)], index
 
 
 class _Tokens:
@@ -158,16 +159,6 @@ def _ask_trigrams(folds: int, held_out: int, shards: int, per_shard: int):
     return fn
 
 
-def _code(x: np.ndarray, steps: float, kind) -> np.ndarray:
-    top = np.iinfo(kind).max
-    with np.errstate(divide="ignore"):
-        return np.minimum(np.round(-np.log10(x) * steps), top).astype(kind)
-
-
-def _value(code: np.ndarray, steps: float) -> np.ndarray:
-    return np.where(code == np.iinfo(code.dtype).max, 0.0, 10.0 ** (code / -steps))
-
-
 class _Asked:
     """A shard's distinct trigrams in ascending order with their counts (``known[v]`` are the words), who asked for them, and
     the pairs v w in ascending order with what is counted of them here."""
@@ -263,11 +254,11 @@ def _continuations(shards: int):
                 os.unlink(path)
         else:
             a, b = np.zeros(len(v)), np.ones(len(v))
-        a, b = _code(a, _SHARE, np.uint16), _code(b, _WEIGHT, np.uint16)
+        a, b = encode(a), encode(b)
         at = 0
         for batch, n in zip(t.names, t.sizes):
             mine = t.index[at : at + n]
-            yield batch, pack(a[mine], narrow(b[mine]))
+            yield batch, pack(a[mine], b[mine])
             at += n
 
     return fn
@@ -285,9 +276,9 @@ def _scores(folds: int, held_out: int, shards: int, per_shard: int):
             if shard >= shards:
                 x = unpack(payload)
                 own = spans[shard - shards]
-                share[own], rest[own] = _value(x[0], _SHARE), _value(x[1].astype(np.uint16), _WEIGHT)
+                share[own], rest[own] = decode(x[0]), decode(x[1])
         plain = (count + 0.1) / (sums[0] + 0.1 * (sums[1] + 1))
-        log = np.log10(share + rest * plain[w])[index]
+        log = np.log10(np.minimum(share + rest * plain[w], 1.0))[index]
         base = np.log10(plain)[t.w]
         n = len(t.held_out)
         out = [t.held_out, np.diff(t.first), np.bincount(t.doc, count[t.w] > 0, n).astype(np.int64), np.full(n, sums[0]), np.bincount(t.doc, base, n), np.bincount(t.doc, log, n)]
@@ -303,7 +294,7 @@ def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, batch_b
 
     Learns from the documents whose crc32(doc_id as text) modulo ``folds`` isn't ``held_out``; a null id counts as the empty
     text, a null text as empty (one token, the end). ``base_score``: log10 probability by single words, add-0.1; ``score``: by
-    the trigram model, which interpolates down to just that. Without training documents both are that of unknown words.
+    the trigram model, which interpolates down to just that; its shares and weights are quantised to 0.06 % each. Without training documents both are that of unknown words.
     Columns named like the added ones are replaced.
     """
     added = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
