@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import pieces as parts_of
-from ._spark import lean_batches, release, text_bytes
+from ._spark import lean_batches, release, stored, text_bytes
 from ._text import string_buffer
 
 _NORMAL = np.full(256, 0x20, np.uint8)
@@ -141,9 +141,11 @@ class Matcher:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest: int = 12, item_bytes: int = 8 << 20) -> DataFrame:
     """Documents with a passage within ``share`` of an item's length in edits: doc_id, item_id, distance, budget, passages.
 
-    The items go to every task in rounds of at most about ``item_bytes`` (usually one round); the documents are scanned
-    once a round and never shuffled. Items shorter than 8 bytes after normalising, null ones and null or empty texts match
-    nothing; equal items and repeated rows all count; other columns are ignored.
+    The items go to every task, where one set of them of at most about ``item_bytes`` is enough; the documents are scanned
+    once and never shuffled. More items make rounds, each of which scans the documents and is stored before the next one's
+    items are fetched, so that driver and tasks hold the items of one round, however large the benchmark is. Items shorter
+    than 8 bytes after normalising, null ones and null or empty texts match nothing; items under 2 * ``shortest`` bytes
+    match without edits only; equal items and repeated rows all count; other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -151,9 +153,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, short
     rounds = parts_of(text_bytes(items), item_bytes)
     out = None
     for r in range(rounds):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == r).collect()
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == r).collect()  # at most about item_bytes
         known = sorted(((x.item_id, n) for x in rows if len(n := normalise(x.text)) >= 8), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         found = texts.mapInArrow(_scan(known, share, shortest), "doc_id long, item_id long, distance int, budget int, passages int")
+        if rounds > 1:
+            found = stored(found, "leaks")
         out = found if out is None else out.unionByName(found)
     return out
 
