@@ -125,7 +125,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, directo
     Null texts are empty, null ids come first (stored with the smallest key), rows of one id stand side by side (in the
     order of their texts' hashes); other columns are ignored. Documents are dealt by range of (doc_id, hash of the text), so
     that no id makes a part too large; each part is one file. A retried task writes a new file, and only files in the
-    manifest count: columns part, path, n_docs, n_tokens, first_token (ids of all parts before it).
+    manifest count: columns part, path, first_key, last_key (of its documents, null keys as the smallest), n_docs, n_tokens,
+    first_token (ids of all parts before it).
     """
     lean_batches(docs.sparkSession)
     n = pieces(text_bytes(docs), part_bytes)
@@ -152,21 +153,24 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, directo
                         writer.add(NULL_KEY if k is None else k, got + end)
                     n_docs += len(key)
             writer.close()
-        row = {"part": part, "path": f"{directory}/{name}", "n_docs": n_docs, "n_tokens": writer.n_tokens}
-        yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
+        keys = [x[0] for x in writer.index] or [None]
+        row = {"part": part, "path": f"{directory}/{name}", "first_key": keys[0], "last_key": keys[-1], "n_docs": n_docs, "n_tokens": writer.n_tokens}
+        kinds = [pa.int32(), pa.string(), *[pa.int64()] * 4]
+        yield pa.RecordBatch.from_pylist([row], schema=pa.schema(list(zip(row, kinds))))
 
-    written = stored(dealt.mapInArrow(write, "part int, path string, n_docs long, n_tokens long"), "manifest")
+    written = stored(dealt.mapInArrow(write, "part int, path string, first_key long, last_key long, n_docs long, n_tokens long"), "manifest")
     # one row for each file; summed in two steps, so that one task sees a row for each 4096 files only
     groups = written.withColumn("g", F.expr("part div 4096"))
     before = Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
     base = groups.groupBy("g").agg(F.sum("n_tokens").alias("t")).select("g", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("base"))
     inside = F.sum("n_tokens").over(Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    return groups.join(base, "g").select("part", "path", "n_docs", "n_tokens", (F.col("base") + F.coalesce(inside, F.lit(0))).alias("first_token"))
+    return groups.join(base, "g").select("part", "path", "first_key", "last_key", "n_docs", "n_tokens", (F.col("base") + F.coalesce(inside, F.lit(0))).alias("first_token"))
 
 
 def read_token_files(manifest: DataFrame, wanted: set[int] | None = None, with_ids: bool = True) -> DataFrame:
     """Documents of the files in ``manifest``, each file by one task: doc_id, start (ids of all documents before it),
-    n_tokens, ids_crc32 and, ``with_ids``, ids. ``wanted``: a small set of ids; only their frames are decompressed."""
+    n_tokens, ids_crc32 and, ``with_ids``, ids. ``wanted``: a small set of ids; only files whose keys may hold one are opened,
+    and only their frames decompressed."""
 
     def read(batches):
         for batch in batches:
@@ -187,6 +191,9 @@ def read_token_files(manifest: DataFrame, wanted: set[int] | None = None, with_i
                     if rows:
                         yield _rows(rows, with_ids)
 
+    if wanted is not None:
+        ids = F.array(*[F.lit(int(i)) for i in sorted(wanted)]).cast("array<bigint>")
+        manifest = manifest.where(F.exists(ids, lambda i: i.between(F.col("first_key"), F.col("last_key"))))
     spread = manifest.repartition("path")
     return spread.select("path", "first_token").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
