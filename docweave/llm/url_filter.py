@@ -128,7 +128,8 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = (), seeds:
     cut = calibrated(held.select(score(F.col("text"), F.col("_table")).alias("score"), "rejected"))
     out = pages.drop("host", "path", "rule", "score", "verdict").withColumns({"host": host, "path": path})
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    out = out.withColumns({"rule": rule, "_table": model.scalar()})
-    out = out.withColumn("score", score(F.concat("host", "path"), F.col("_table"))).drop("_table")
+    own = next(n for n in (f"_table{k}" for k in range(len(out.columns) + 1)) if n not in {c.lower() for c in out.columns})
+    out = out.withColumns({"rule": rule, own: model.scalar()})
+    out = out.withColumn("score", score(F.concat("host", "path"), F.col(own))).drop(own)
     judged = F.when(F.col("score") < cut.scalar(), "block").otherwise("allow")
     return out.withColumn("verdict", F.coalesce(verdict, judged))
