@@ -6,8 +6,8 @@ each batch in the order in which it asked; the batch joins its answers. What mov
 holds more than a batch or a shard, and no key's occurrences are paired with each other. With batches and shards of b bytes
 of text, a payload stands for about b * b / (all bytes) of it, so batches grow with the root of the input (``sized``).
 
-Batches are numbered by the tasks that read the documents, and answers refer to those numbers: the documents must be a table
-(or anything else whose partitions come out the same when a task is run again), as for all multi-pass algorithms.
+Batches are numbered by the tasks that read the documents, and answers refer to those numbers, so a batch that is made again
+must hold the same rows in the same order: what isn't plainly read from a table is stored first (``steady``).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._spark import lean_batches, release
+from ._spark import lean_batches, release, steady
 
 MOST_BYTES = 256 << 20
 Answers = list[tuple[int, bytes]]
@@ -77,6 +77,7 @@ def batches(docs: DataFrame, batch_bytes: int, column: str = "text") -> DataFram
     """(batch, rows): documents in compressed batches, dealt by batch."""
     place = docs.columns.index(column)
     lean_batches(docs.sparkSession)
+    docs = steady(docs)
 
     def bundle(parts):
         from pyspark import TaskContext

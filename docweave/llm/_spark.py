@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,10 +57,41 @@ def stored(df: DataFrame, what: str = "table") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, what)
+    for made in _OPEN:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_OPEN: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Tables that operators store within this block are deleted at its end. What the operators returned reads them: write it,
+    or compute it, inside the block."""
+    _OPEN.append(made := [])
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        for path in made:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def steady(df: DataFrame, what: str = "input") -> DataFrame:
+    """``df`` if it only reads, filters and projects a table, whose partitions come out the same when a task runs again; stored
+    first if anything else stands in its plan."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {re.sub(r"^[\s:+|-]*", "", line).split(" ")[0] for line in plan.splitlines() if line.strip()}
+    return df if nodes <= {"Relation", "Project", "Filter", "LocalRelation"} else stored(df, what)
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a text column, by one column-pruned aggregate."""
     return int(docs.agg(F.coalesce(F.sum(F.octet_length(column).cast("long")), F.lit(0))).first()[0])

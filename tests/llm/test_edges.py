@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import os
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from docweave.llm._spark import intermediates, shared_dir, steady
+from docweave.llm._text import Words
 from docweave.llm.decontamination import budget, decontaminate, find_leaks, myers, normalise, normalised
-from docweave.llm.line_dedup import dedup_lines
+from docweave.llm.line_dedup import Lines, dedup_lines, signature_bands
 from docweave.llm.lm_scoring import score_documents
 from docweave.llm.ngram_join import jaccard_components
 from docweave.llm.packing import best_fit, local_search, pack, pack_documents
 from docweave.llm.quality import score_quality, train_quality
-from docweave.llm.substring_dedup import remove_repeats
-from docweave.llm.token_output import output_directory, read_token_files, write_token_files
+from docweave.llm.substring_dedup import Sketch, remove_repeats
+from docweave.llm.token_output import FrameReader, FrameWriter, output_directory, read_token_files, write_token_files
 from docweave.llm.tokenise import PieceEncoder, public_path
 from docweave.llm.topk import top_k, whole_vectors
 from docweave.llm.url_filter import filter_urls
@@ -192,6 +196,135 @@ def _grouped(rows):
     return out.items()
 
 
+def _regular(n: int) -> tuple[str, str]:
+    """Two strings that collide under every polynomial hash modulo 2^64: Thue-Morse and its complement."""
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_regular_words_and_lines_are_told_apart(spark):
+    """What differs isn't equal, however regular: nothing is linked, removed or counted together."""
+    one, two = _regular(4096)
+    rest = [f"x{k}" for k in range(19)]
+    rows = [(1, one), (2, two), (3, " ".join([one, *rest])), (4, " ".join([two, *rest]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in jaccard_components(df.where("doc_id < 3"), 5, 80, 100).collect()}
+    assert out[2].component_id == 2
+    assert {r.doc_id: r.n_removed for r in remove_repeats(df.where("doc_id in (3, 4)")).collect()} == {3: 0, 4: 0}
+    lines = Lines(pa.array([one, two, one[:-1], two[1:]]))  # their shingle sets are equal, so nearness can't tell them apart
+    assert all(len(set(h.tolist())) == 4 for h in lines.hashes(np.arange(4)))
+    got = {r.doc_id: r for r in score_documents(df.where("doc_id <= 2")).collect()}
+    assert {r.n_tokens for r in got.values()} == {2} and got[1].train_tokens == 2 * sum(not r.held_out for r in got.values())
+    words = Words(pa.array([one, two, one + "a", one * 40, two * 40, "a", "b", "ab", "ba"]), lower=True, hashes=2)
+    assert all(len(set(h.tolist())) == 9 for h in words.hash)
+
+
+def test_lines_of_every_script(spark):
+    """A shingle is so many characters, whatever their bytes: the same edit counts alike."""
+    r = random.Random(12)
+    rows, at = [], 0
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщ", "一二三四五六七八九十百千万人口日月山川田土石金木水火"):
+        for _ in range(30):
+            line = "".join(r.choice(letters) for _ in range(80))
+            k = r.randrange(10, 70)
+            rows += [(at, line), (at + 1, line[:k] + "#" + line[k + 1 :]), (at + 2, line[:20] + "####" + line[24:50] + "####" + line[54:])]
+            at += 3
+    out = {x.doc_id: x.n_removed for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert all(out[i] == (i % 3 == 1) for i in out)  # 71 of 81 shingles in common, and 60 of 92
+
+
+def test_recall_of_bands():
+    """Pairs of similarity 0.8 share a band as often as independent permutations would have it."""
+    r = np.random.default_rng(6)
+    hits, n = 0, 2000
+    for _ in range(n):
+        own = r.integers(0, 2**63, 90).astype(np.uint64)
+        a, b = own[:81], np.concatenate([own[9:81], own[81:90]])  # 72 of 90
+        keys = signature_bands(np.concatenate([a, b]), np.array([0, 81]), 10, 4)
+        hits += bool((keys[0] == keys[1]).any())
+    assert hits / n > 0.985
+
+
+def test_sketch_never_underestimates():
+    r = np.random.default_rng(7)
+    sketch, truth = Sketch(3000), {}
+    for _ in range(6):
+        prints, times = np.unique(r.integers(0, 5000, 2000).astype(np.uint32), return_counts=True)
+        sketch.merge(prints, times)
+        for p, t in zip(prints.tolist(), times.tolist()):
+            truth[p] = truth.get(p, 0) + t
+    known = np.array(list(truth), np.uint32)
+    assert (sketch.estimate(known) >= np.minimum(np.array(list(truth.values())), 255)).all()
+
+
+def test_frames_are_opened_one_by_one(tmp_path):
+    """The reader opens only frames that hold what is wanted, and refuses one whose content changed."""
+    path = tmp_path / "x.zst"
+    with open(path, "wb") as f:
+        writer = FrameWriter(f, frame_bytes=4000)
+        for k in range(100):
+            writer.add(k, np.full(300, k, "<u4").tobytes())
+        writer.close()
+
+    class Counting(FrameReader):
+        def frame(self, k):
+            opened.append(k)
+            return super().frame(k)
+
+    opened: list[int] = []
+    with open(path, "rb") as f:
+        reader = Counting(f)
+        assert len(reader.table) == 35 and opened == [34]
+        got = dict(reader.documents({3, 4, 71}))
+        assert {k: np.frombuffer(v, "<u4").tolist() for k, v in got.items()} == {k: [k] * 300 for k in (3, 4, 71)}
+        assert opened == [34, 1, 23]
+    changed = bytearray(path.read_bytes())
+    with open(path, "rb") as f:
+        place = int(FrameReader(f).place[1])
+    changed[place : place + len(writer.zstd.compress(b"x"))] = b"\0" * len(writer.zstd.compress(b"x"))
+    path.write_bytes(changed)
+    with open(path, "rb") as f:
+        reader = FrameReader(f)
+        assert dict(reader.documents({71}))
+        with pytest.raises(Exception):  # noqa: B017  the decoder's error, or the checksum's
+            dict(reader.documents({3}))
+    other = tmp_path / "y.zst"
+    with open(other, "wb") as f:
+        writer = FrameWriter(f)
+        writer.add(1, b"\1\0\0\0")
+        writer.close()
+    raw = bytearray(other.read_bytes())
+    raw[-9 - 12 * 2 + 8] ^= 1  # the checksum of the first frame
+    other.write_bytes(raw)
+    with open(other, "rb") as f, pytest.raises(ValueError):
+        dict(FrameReader(f).documents())
+
+
+def test_only_files_that_may_hold_them_are_opened(spark, tmp_path):
+    docs = spark.range(200).selectExpr("id doc_id", "concat('text ', id, ' ', repeat('word ', 200)) text")
+    manifest = write_token_files(docs, public_path("byte_bpe_50k.json"), 2, output_directory(spark), part_bytes=1 << 15)
+    rows = manifest.orderBy("first_key").collect()
+    assert len(rows) > 3 and all(a.last_key < b.first_key for a, b in zip(rows, rows[1:]))
+    for r in rows:  # files that can't hold it are gone, so opening them would fail
+        if not r.first_key <= 7 <= r.last_key:
+            os.unlink(r.path.removeprefix("file://"))
+    assert [r.doc_id for r in read_token_files(manifest, {7}).collect()] == [7]
+
+
+def test_unsteady_inputs_are_stored(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert steady(table.select("doc_id", F.col("text").cast("string")).where("doc_id > 3")).inputFiles() == table.inputFiles()
+    mixed = table.repartition(3)
+    assert steady(mixed).inputFiles() != table.inputFiles() and steady(mixed).count() == table.count()
+
+
+def test_intermediates_are_deleted(spark, docs):
+    before = set(os.listdir(shared_dir(spark).removeprefix("file://")))
+    with intermediates(spark):
+        rows = jaccard_components(docs).collect()
+    assert len(rows) == len(TEXTS) and set(os.listdir(shared_dir(spark).removeprefix("file://"))) <= before
+
+
 def test_packing(docs, none):
     path = public_path("word_bpe_49k.json")
     rows = pack_documents(docs, path, 0).collect()
