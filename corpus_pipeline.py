@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm._spark import stored
+from docweave.llm._spark import delete, fresh_path, intermediates
 from docweave.llm.decontamination import decontaminate
 from docweave.llm.line_dedup import dedup_lines
 from docweave.llm.ngram_join import jaccard_components
@@ -34,7 +34,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated and near-repeated lines; those that lost all their lines go, ``n_chars`` follows."""
     out = dedup_lines(docs)
-    left = (F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0)
+    left = (F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return out.where(left).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*COLUMNS)
 
 
@@ -67,8 +67,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each keeps is written to the shared folder and read again."""
-    docs = _table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what each keeps is written to the shared folder and read again. What a stage stored on
+    its way, and the table of the stage before it, are deleted when its own is written."""
+    docs, before = _table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), "stage")
+        path = fresh_path(spark, "stage")
+        with intermediates(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.schema(docs.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
