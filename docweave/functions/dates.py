@@ -5,7 +5,9 @@ What a fuzzy parser fills in (a missing year, say) comes from ``as_of``, one val
 
 from __future__ import annotations
 
+import functools
 import json
+import re
 from collections.abc import Iterator
 from datetime import datetime
 
@@ -15,12 +17,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EARLIEST = datetime(2010, 1, 1)
-#: What a text must hold for the parser to find a date: a digit, or a month's or week day's name (a superset).
-MAY_HOLD_DATE = r"(?i)[0-9]|jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec|mon|tue|wed|thu|fri|sat|sun"
+_NAMES = (
+    "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+    "|mon(?:day)?|tue(?:sday)?|wed(?:nesday)?|thu(?:rsday)?|fri(?:day)?|sat(?:urday)?|sun(?:day)?"
+)
+#: What a text must hold for the parser to find a date: a digit, or a month's or week day's name as a whole run of letters.
+MAY_HOLD_DATE = rf"(?i)\p{{Nd}}|(?<!\p{{L}})(?:{_NAMES})(?!\p{{L}})"
+#: A text with one plain year-month-day or month/day/year and no other digit; with no name either, the parser has no choice.
+_PLAIN = re.compile(r"[^0-9]*(?<![\w.,:/+-])(?:([12][0-9]{3})-(0[1-9]|1[0-2])-([0-2][0-9]|3[01])|(0?[1-9]|1[0-2])/(0?[1-9]|[12][0-9]|3[01])/([12][0-9]{3}))(?![\w.,:/+-])[^0-9]*")
+_NAMED = re.compile(rf"(?<![a-z])(?:{_NAMES})(?![a-z])", re.IGNORECASE)
+
+
+def _plain(text: str) -> tuple[int, int, int] | None:
+    """(year, month, day) where the parser would do no more than read them."""
+    if not text.isascii() or not (m := _PLAIN.fullmatch(text)) or _NAMED.search(text):
+        return None
+    y, month, d, us_month, us_d, us_y = m.groups()
+    return (int(y), int(month), int(d)) if y else (int(us_y), int(us_month), int(us_d))
 
 
 def parse_fuzzy(text: str, as_of: datetime) -> datetime | None:
     """At most one date of a text, zone ignored; None if the parser refuses it for any reason."""
+    if found := _plain(text):
+        try:
+            return datetime(*found)
+        except ValueError:
+            return None
+    return _remembered(text, as_of) if len(text) <= 200 else _parsed(text, as_of)
+
+
+def _parsed(text: str, as_of: datetime) -> datetime | None:
     from dateutil import parser
 
     midnight = as_of.replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None)
@@ -30,6 +56,9 @@ def parse_fuzzy(text: str, as_of: datetime) -> datetime | None:
         return None
 
 
+_remembered = functools.lru_cache(1 << 14)(_parsed)
+
+
 def find_dates(value: object, earliest: datetime | None, latest: datetime | None, as_of: datetime) -> list[datetime]:
     """Dates of a string (one at most), or depth first of the strings in lists and mappings, within both bounds."""
     low, high = earliest or EARLIEST, latest or as_of
@@ -42,7 +71,8 @@ def find_dates(value: object, earliest: datetime | None, latest: datetime | None
 
 
 def fuzzy_date(text: Column, as_of: datetime) -> Column:
-    """The date of each text without bounds, or null; texts that can't hold one don't reach Python."""
+    """The date of each text without bounds, or null; texts that can't hold one don't reach Python. Dates before 1678 or from
+    2262 on, which the exchanged type can't hold, are null."""
     @F.pandas_udf(T.TimestampNTZType())
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         low, high = datetime(1678, 1, 1), datetime(2262, 1, 1)  # what the exchanged type holds
@@ -106,6 +136,12 @@ def line_dates(texts: DataFrame, as_of: datetime, column: str = "text", strict:
     return each.withColumn("date", fuzzy_date(F.col(column), as_of)).drop(column).where("date is not null")
 
 
+def cell_dates(cells: DataFrame, as_of: datetime) -> DataFrame:
+    """(id, pos, date) of list cells (id, pos, value): the fuzzy date of each, within the default bounds."""
+    found = cells.withColumn("date", fuzzy_date(F.col("value"), as_of))
+    return found.where(within(F.col("date"), None, None, as_of)).select("id", "pos", "date")
+
+
 def distinct_dates(dates: DataFrame, keys: list[str], date: str = "date", position: str = "pos") -> DataFrame:
     """One row for each key and date with its first position."""
     return dates.groupBy(*keys, date).agg(F.min(position).alias(position))

@@ -6,7 +6,7 @@ model: pass ``model_spans``, any column of spans made by one, and they take part
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 RECOGNISERS: tuple[tuple[str, str, float, str | None], ...] = (
     ("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", 1.0, None),
     ("IP_ADDRESS", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", 0.6, "octets"),
-    ("PHONE_NUMBER", r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}", 0.75, None),
+    ("PHONE_NUMBER", r"(\+1 )?\([0-9]{3}\) [0-9]{3}-[0-9]{4}|(\+1[ -])?[0-9]{3}-[0-9]{3}-[0-9]{4}", 0.75, None),
     ("CREDIT_CARD", r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}", 1.0, "luhn"),
     ("ID", r"094-[0-9]{6}", 0.85, None),
     ("DATE_TIME", r"[0-9]{4}-[0-9]{2}-[0-9]{2}", 0.6, None),
     ("URL", r"https?://[A-Za-z0-9./?#=&_%:-]+", 0.6, None),
+    ("US_SSN", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.5, "ssn"),
+    ("IBAN_CODE", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", 0.8, "iban"),
 )
+#: Text that each match of a recogniser holds: without it the pattern needn't be tried.
+HINTS = {"EMAIL_ADDRESS": "@", "ID": "094-", "URL": "://"}
 #: Labels of token classifiers, and the entities that they stand for (fixed values).
 LABELS = {
     "PER": "PERSON", "PATIENT": "PERSON", "STAFF": "PERSON", "HCW": "PERSON", "PERSON": "PERSON",
@@ -49,15 +53,30 @@ def _octets(match: Column) -> Column:
     return F.forall(F.split(match, r"\."), lambda p: p.try_cast("int") <= 255)
 
 
-CHECKS = {"luhn": _luhn, "octets": _octets}
+def _ssn(match: Column) -> Column:
+    """Numbers that can be issued: no part all zeros, area neither 666 nor from 900 on."""
+    area, group, serial = F.substring(match, 1, 3), F.substring(match, 5, 2), F.substring(match, 8, 4)
+    return ~area.isin("000", "666") & (area < "900") & (group != "00") & (serial != "0000")
 
 
-def pattern_spans(text: Column, entity: str, pattern: str, score: float, check: str | None = None) -> Column:
+def _iban(match: Column) -> Column:
+    """The number modulo 97 is 1, with the first four characters last and letters from 10 on."""
+    moved = F.split(F.concat(F.substr(match, F.lit(5)), F.substring(match, 1, 4)), "")
+    value = F.transform(F.filter(moved, lambda c: c != ""), lambda c: F.instr(F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), c) - 1)
+    return F.aggregate(value, F.lit(0), lambda a, v: (a * F.when(v > 9, 100).otherwise(10) + v) % 97) == 1
+
+
+CHECKS = {"luhn": _luhn, "octets": _octets, "ssn": _ssn, "iban": _iban}
+
+
+def _let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def pattern_spans(text: Column, entity: str, pattern: str, score: float, check: str | None = None, hint: str | None = None) -> Column:
     """Spans of a pattern's matches: places come from the lengths of what lies between them and of the matches."""
     inner = f"(?:{pattern})"
-    found = F.regexp_extract_all(text, F.lit(inner), F.lit(0))
-    between = F.split(text, inner, -1)
-    steps = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, b: F.struct(F.length(b).alias("gap"), m.alias("m")))
     state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<entity:string,start:int,end:int,score:double,match:string>>").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
@@ -66,17 +85,23 @@ def pattern_spans(text: Column, entity: str, pattern: str, score: float, check:
         span = F.struct(F.lit(entity).alias("entity"), start.alias("start"), end.alias("end"), F.lit(score).alias("score"), x["m"].alias("match"))
         return F.struct(end.alias("at"), F.array_append(s["out"], span).alias("out"))
 
-    spans = F.aggregate(steps, state, step)["out"]
+    def placed(found: Column) -> Column:
+        between = F.slice(F.split(text, inner, -1), 1, F.size(found))
+        return F.aggregate(F.zip_with(found, between, lambda m, b: F.struct(F.length(b).alias("gap"), m.alias("m"))), state, step)["out"]
+
+    spans = _let(F.regexp_extract_all(text, F.lit(inner), F.lit(0)), placed)
     if check:
         spans = F.filter(spans, lambda x: CHECKS[check](x["match"]))
     spans = F.transform(spans, lambda x: F.struct(x["entity"].alias("entity"), x["start"].alias("start"), x["end"].alias("end"), x["score"].alias("score")))
-    # most texts hold no match: one scan by the pattern decides that before any array is made
-    return F.when(text.rlike(inner), spans).otherwise(F.array().cast("array<struct<entity:string,start:int,end:int,score:double>>"))
+    # most texts hold no match: a search for fixed text or one scan by the pattern decides that before any array is made
+    holds = text.rlike(inner) if hint is None else text.contains(hint) & text.rlike(inner)
+    return F.when(holds, spans).otherwise(F.array().cast("array<struct<entity:string,start:int,end:int,score:double>>"))
 
 
 def detect(text: Column, recognisers: Sequence[tuple[str, str, float, str | None]] = RECOGNISERS, model_spans: Column | None = None) -> Column:
     """All spans, sorted by (start, end, entity); a null text has none."""
-    parts = [pattern_spans(F.coalesce(text, F.lit("")), *r) for r in recognisers]
+    own = {r[:2] for r in RECOGNISERS}
+    parts = [pattern_spans(F.coalesce(text, F.lit("")), *r, HINTS.get(r[0]) if r[:2] in own else None) for r in recognisers]
     if model_spans is not None:
         parts.append(model_spans)
     by_place = F.transform(F.concat(*parts), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["entity"].alias("entity"), s["score"].alias("score")))
@@ -104,7 +129,7 @@ def keep_spans(spans: Column, threshold: float = DEFAULT_THRESHOLD, excluded: Se
 
 def resolve(spans: Column) -> Column:
     """Spans without overlaps: from left to right, of two that overlap the higher score stays, then the longer, then the first."""
-    none = F.slice(spans, 1, 0)
+    none = F.array().cast("array<struct<entity:string,start:int,end:int,score:double>>")
 
     def step(kept: Column, s: Column) -> Column:
         last = F.element_at(kept, -1)
@@ -122,8 +147,10 @@ def redact(text: Column, spans: Column) -> Column:
     def step(s: Column, x: Column) -> Column:
         return F.struct(x["end"].alias("at"), F.concat(s["out"], F.substr(text, s["at"] + 1, x["start"] - s["at"]), F.lit("<"), x["entity"], F.lit(">")).alias("out"))
 
-    done = F.aggregate(spans, state, step)
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(done["out"], F.substr(text, done["at"] + 1, F.length(text))))
+    def replaced(own: Column) -> Column:
+        return F.when(F.size(own) == 0, text).otherwise(_let(F.aggregate(own, state, step), lambda done: F.concat(done["out"], F.substr(text, done["at"] + 1, F.length(text)))))
+
+    return _let(spans, replaced)
 
 
 def record(text: Column, spans: Column) -> Column:

@@ -28,7 +28,10 @@ def usable(targets: Sequence[str | None], keep_blank: bool = False) -> list[str]
 
 def independent(targets: Sequence[str], replacement: str) -> bool:
     """Whether no target occurs in another or in the replacement, shares an end with another's start, or is blank: then one
-    alternation gives the same as one pass for each target."""
+    alternation gives the same as one pass for each target. With an empty replacement the texts on both sides of a match
+    meet and may make up a later target, so it never does."""
+    if not replacement:
+        return False
     low, inserted = [t.casefold() for t in targets], replacement.casefold()
 
     def touches(a: str, b: str) -> bool:
@@ -52,7 +55,9 @@ def replace_strings(text: Column, targets: Sequence[str | None], replacement: st
     if len(wanted) <= NESTED:
         return reduce(lambda t, target: F.regexp_replace(t, F.lit(quoted(target)), F.lit(new)), wanted, text)
     patterns = F.array(*[F.lit(quoted(t)) for t in wanted])
-    return F.aggregate(patterns, text, lambda t, p: F.regexp_replace(t, p, F.lit(new)))
+    folded = F.aggregate(patterns, text, lambda t, p: F.regexp_replace(t, p, F.lit(new)))
+    # one scan by all targets, compiled once, decides whether the fold (which compiles each pattern again) is needed
+    return F.when(text.rlike("|".join(quoted(t) for t in wanted)), folded).otherwise(text)
 
 
 class Replacer:

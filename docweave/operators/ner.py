@@ -21,7 +21,8 @@ Span = tuple[str, int, int, float]
 
 @dataclass(frozen=True)
 class NerSettings:
-    """How labels become entities and how long texts are cut: windows of ``window`` words that share ``stride`` words."""
+    """How labels become entities and how long texts are cut: windows of ``window`` tokens of the classifier that share
+    ``stride`` tokens."""
 
     labels: Mapping[str, str] = field(default_factory=lambda: dict(LABELS))
     ignored: Sequence[str] = IGNORED_LABELS
@@ -50,14 +51,19 @@ class NerSettings:
 
 
 class TokenClassifier(ABC):
+    def tokens(self, text: str) -> list[tuple[int, int]]:
+        """(start, end) of the model's tokens in order, by which windows are measured; words, unless the model says otherwise."""
+        return [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
+
     @abstractmethod
     def classify(self, texts: Sequence[str]) -> list[list[Span]]:
         """For each text its (label, start, end, score), places in characters."""
 
 
-def windows(text: str, size: int, stride: int) -> list[tuple[int, str]]:
-    """(place, part) of a text cut into overlapping windows of ``size`` words; one window if it is short."""
-    words = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
+def windows(text: str, size: int, stride: int, tokens: Sequence[tuple[int, int]] | None = None) -> list[tuple[int, str]]:
+    """(place, part) of a text cut into windows of ``size`` tokens that share ``stride`` tokens; one window if it is short.
+    ``tokens``: their (start, end); words if not given."""
+    words = [(m.start(), m.end()) for m in _TOKEN.finditer(text)] if tokens is None else tokens
     out, i = [], 0
     while i < len(words):
         a, b = words[i][0], words[min(i + size, len(words)) - 1][1]
@@ -99,7 +105,7 @@ def classify(texts: DataFrame, classifier: Callable[[], TokenClassifier], settin
     def run(batches):
         model = classifier()
         for batch in batches:
-            parts = [windows(t or "", chosen.window, chosen.stride) for t in batch[column]]
+            parts = [windows(t or "", chosen.window, chosen.stride, model.tokens(t or "")) for t in batch[column]]
             flat = model.classify([p for w in parts for _, p in w])
             at, found = 0, []
             for text, w in zip(batch[column], parts):

@@ -39,7 +39,9 @@ def mine_queue(outputs: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def page(queue: DataFrame, limit: int | None, offset: int = 0, order: str = "id") -> DataFrame:
-    """A page of a queue in the order of its ids; no limit gives all from the offset on."""
+    """A page of a queue in the order of its ids; no limit gives all from the offset on, and neither the queue as it is."""
+    if limit is None and not offset:
+        return queue
     out = queue.orderBy(order)
     if offset:
         out = out.offset(offset)

@@ -29,7 +29,7 @@ def upsert_pairs(metadata: DataFrame, pairs: DataFrame) -> DataFrame:
 def numbered(rows: DataFrame, table: DataFrame, column: str = "id") -> DataFrame:
     """``rows`` with ids after the largest of ``table``: numbers within hashed groups, interleaved, so that no task numbers all
     rows. Ids are unique but leave gaps."""
-    groups = 1024
+    groups = max(1024, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     top = table.agg(F.coalesce(F.max(column), F.lit(0)).alias("_top"))
     content = [c for c in rows.columns if c != column]
     dealt = rows.drop(column).withColumn("_g", F.pmod(F.xxhash64(*content), F.lit(groups)))

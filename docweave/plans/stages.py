@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
@@ -16,7 +16,7 @@ from ..functions import dates as D
 from ..functions import paths as P
 from ..functions import pii
 from ..functions.replace import replace_strings
-from ..operators import match, ocr, queues
+from ..operators import match, ner, ocr, queues
 from ..operators.upsert import numbered, upsert_pairs
 from ..schemas import check_document_type
 from ..sources.files import list_files, read_each, write_texts
@@ -32,6 +32,21 @@ class Outcome(NamedTuple):
     failed: int
 
 
+class Results(NamedTuple):
+    """Rows that a stage made, from how many files, and how many failed."""
+
+    rows: DataFrame
+    done: int
+    failed: int
+
+
+def _report(failures: DataFrame, path: str) -> int:
+    """Log the first failures; how many there are."""
+    for r in failures.select(F.col(path).alias("path"), "error").limit(20).collect():
+        log.error("%s: %s", r.path, r.error)
+    return failures.count()
+
+
 def registrations(files: DataFrame, document_type: str, created: datetime) -> DataFrame:
     """(input_file, document_type, created, subject_id) of files (path, directory) whose directory names a subject."""
     subject = P.subject_id(F.col("directory"))
@@ -47,26 +62,49 @@ def register(catalog: Catalog, root: str, document_type: str = "document", creat
         found = match.pairs_not_in(found, inputs, ["input_file", "document_type"])
     fresh = materialised(numbered(found, inputs))
     holders = fresh.select(F.col("id").alias("input_id"), "subject_id", F.lit(None).cast("int").alias("year_in_study"), *[F.lit(None).cast("timestamp_ntz").alias(c) for c in ("visit_date", "extracted_date")])
-    catalog.append("transcription_input", fresh)
-    catalog.append("transcription_metadata", numbered(holders, metadata))
+    added = {"transcription_input": fresh, "transcription_metadata": numbered(holders, metadata)}
+    catalog.commit({table: catalog.appended(table, rows) for table, rows in added.items()})
     return fresh.count()
 
 
-def transcribe(catalog: Catalog, output_to: str, document_type: str = "document", chunk_size: int | None = 1000, offset: int = 0, engine: Callable[[], ocr.OcrEngine] = ocr.LibraryOcrEngine) -> DataFrame:
-    """OCR of the queue: a text file for each result, the last result of an input in its output row. Returns all results."""
+def transcribe(catalog: Catalog, output_to: str, document_type: str = "document", chunk_size: int | None = 1000, offset: int = 0, engine: Callable[[], ocr.OcrEngine] = ocr.LibraryOcrEngine) -> Results:
+    """OCR of the queue: a text file for each result, the last result of an input in its output row. Returns all results;
+    inputs that failed stay in the queue."""
     check_document_type(document_type)
     inputs, outputs = catalog.read("transcription_input"), catalog.read("transcription_output")
     queue = materialised(queues.page(queues.ocr_queue(inputs, outputs, document_type), chunk_size, offset))
-    raw = materialised(ocr.run_ocr(queue, engine, document_type)).where("error is null")
+    every = materialised(ocr.run_ocr(queue, engine, document_type))
+    broken = every.where("error is not null").select(F.col("id").alias("_id"), "error").join(queue.select("id", "input_file"), F.col("id") == F.col("_id"))
+    failed, raw = _report(broken, "input_file"), every.where("error is null")
     results = ocr.document_rollup(raw) if document_type == "document" else raw.drop("error")
     named = results.join(queue.select(F.col("id").alias("_id"), "input_file", "output_id"), F.col("id") == F.col("_id"))
-    subject = F.coalesce(P.subject_id(P.dirname(F.col("input_file"))), F.lit("none"))
-    name = F.concat_ws("-", P.stem(F.col("input_file")), F.col("page"), F.col("block"))
-    named = materialised(named.withColumn("path", P.output_path(output_to, "unstructured_text", document_type, F.concat(subject, F.lit("/"), name, F.lit(".txt")))).drop("_id"))
+    named = materialised(named.withColumn("path", transcript_path(output_to, document_type)).drop("_id"))
     write_texts(named, "path", "content")
     last = named.groupBy("id", "output_id").agg(F.max_by(F.struct("path", "confidence"), F.struct("page", "block")).alias("x")).select("id", "output_id", "x.*")
     _update_outputs(catalog, last.select(F.col("id").alias("input_id"), "output_id", F.col("path").alias("ocr_output_file"), F.col("confidence").alias("ocr_confidence")))
-    return named
+    return Results(named, queue.count() - failed, failed)
+
+
+def _subject() -> Column:
+    """The folder of an input's texts: its subject, so that equal file names of two subjects don't meet."""
+    return F.coalesce(P.subject_id(P.dirname(F.col("input_file"))), F.lit("none"))
+
+
+def transcript_path(root: str, document_type: str) -> Column:
+    """The text file of a result (input_file, page, block)."""
+    name = F.concat_ws("-", P.stem(F.col("input_file")), F.col("page"), F.col("block"))
+    return P.output_path(root, "unstructured_text", document_type, F.concat(_subject(), F.lit("/"), name, F.lit(".txt")))
+
+
+def rewritten(rows: DataFrame, root: str, column: str, document_type: str, change: Callable, record: Callable | None = None) -> DataFrame:
+    """``rows`` (input_file, ocr_output_file, text) with the changed text (new) and its path, and with ``record`` the same of
+    the confidence record."""
+    name = F.concat(_subject(), F.lit("/"), P.stem(F.col("ocr_output_file")), F.lit(".txt"))
+    out = rows.withColumns({"path": P.output_path(root, column, document_type, name), "new": change(F.col("text"))})
+    if record is None:
+        return out
+    name = F.concat(_subject(), F.lit("/confidence-"), P.stem(F.col("ocr_output_file")), F.lit(".json"))
+    return out.withColumns({"record_path": P.output_path(root, "pii_scrubber_confidence_file", document_type, name), "record": F.to_json(record(F.col("text")), {"pretty": "true"})})
 
 
 def _update_outputs(catalog: Catalog, changes: DataFrame) -> None:
@@ -88,32 +126,31 @@ def replace(catalog: Catalog, data_file: str, key_column: str, replacement: str,
     return _rewrite(catalog, queue, output_dir, "list_replacement_output_file", document_type, lambda t: replace_strings(t, targets, replacement), None)
 
 
-def scrub(catalog: Catalog, output_to: str, document_type: str = "document", chunk_size: int | None = 1000, offset: int = 0, threshold: float = pii.DEFAULT_THRESHOLD) -> Outcome:
-    """Redact the queue's texts and write their confidence records. Returns how many, and how many failed."""
+def scrub(
+    catalog: Catalog, output_to: str, document_type: str = "document", chunk_size: int | None = 1000, offset: int = 0, threshold: float = pii.DEFAULT_THRESHOLD,
+    classifier: Callable[[], ner.TokenClassifier] | None = None, settings: ner.NerSettings | None = None,
+) -> Outcome:
+    """Redact the queue's texts and write their confidence records. Returns how many, and how many failed.
+
+    ``classifier`` makes a model (once in each Python worker) whose spans, by ``settings``, join those of the patterns.
+    """
     queue = queues.page(queues.scrub_queue(catalog.read("transcription_input"), catalog.read("transcription_output"), document_type), chunk_size, offset)
-    return _rewrite(catalog, queue, output_to, "pii_scrubber_output_file", document_type, lambda t: pii.scrub(t, threshold)[0], lambda t: pii.scrub(t, threshold)[1])
+    spans = F.col("model_spans") if classifier else None
+    prepare = (lambda rows: ner.classify(rows, classifier, settings)) if classifier else None
+    return _rewrite(catalog, queue, output_to, "pii_scrubber_output_file", document_type, lambda t: pii.scrub(t, threshold, spans)[0], lambda t: pii.scrub(t, threshold, spans)[1], prepare)
 
 
-def _rewrite(catalog: Catalog, queue: DataFrame, root: str, column: str, document_type: str, change: Callable, record: Callable | None) -> Outcome:
+def _rewrite(catalog: Catalog, queue: DataFrame, root: str, column: str, document_type: str, change: Callable, record: Callable | None, prepare: Callable | None = None) -> Outcome:
     read = materialised(read_each(queue, "text_file"))
     joined = read.where("error is null").drop("error")
-    subject = F.coalesce(P.subject_id(P.dirname(F.col("input_file"))), F.lit("none"))
-    name = F.concat(subject, F.lit("/"), P.stem(F.col("ocr_output_file")), F.lit(".txt"))
-    rows = joined.withColumns({"path": P.output_path(root, column, document_type, name), "new": change(F.col("text"))})
-    changes = {column: F.col("path")}
-    if record is not None:
-        name = F.concat(subject, F.lit("/confidence-"), P.stem(F.col("ocr_output_file")), F.lit(".json"))
-        rows = rows.withColumns({"record_path": P.output_path(root, "pii_scrubber_confidence_file", document_type, name), "record": F.to_json(record(F.col("text")), {"pretty": "true"})})
-        changes["pii_scrubber_confidence_file"] = F.col("record_path")
-    rows = materialised(rows)
+    joined = prepare(joined) if prepare else joined
+    rows = materialised(rewritten(joined, root, column, document_type, change, record))
+    changes = {column: F.col("path")} | ({} if record is None else {"pii_scrubber_confidence_file": F.col("record_path")})
     write_texts(rows, "path", "new")
     if record is not None:
         write_texts(rows, "record_path", "record")
     _set_columns(catalog, rows, changes)
-    failed = read.where("error is not null").select("text_file", "error")
-    for r in failed.limit(20).collect():
-        log.error("%s: %s", r.text_file, r.error)
-    return Outcome(rows.count(), failed.count())
+    return Outcome(rows.count(), _report(read.where("error is not null"), "text_file"))
 
 
 def _set_columns(catalog: Catalog, rows: DataFrame, changes: dict) -> None:
@@ -123,8 +160,9 @@ def _set_columns(catalog: Catalog, rows: DataFrame, changes: dict) -> None:
     catalog.write("transcription_output", joined.select(*[F.coalesce(f"_{c}", c).alias(c) if c in changes else F.col(c) for c in outputs.columns]))
 
 
-def mine(catalog: Catalog, visit_tsv: str, profile_tsv: str, as_of: datetime, search_text: bool = False, threshold: int = 3, chunk_size: int | None = None, offset: int = 0) -> DataFrame:
-    """Match the dates of the queue's files with known visits and upsert the pairs; returns them.
+def mine(catalog: Catalog, visit_tsv: str, profile_tsv: str, as_of: datetime, search_text: bool = False, threshold: int = 3, chunk_size: int | None = None, offset: int = 0) -> Results:
+    """Match the dates of the queue's files with known visits and upsert the pairs; returns them. Files that can't be read have
+    no dates.
 
     Visits and bounds come from the lists by subject; dates from the confidence records' strings and, ``search_text``, from
     the OCR texts' lines, in this order. Visit and profile cells are themselves parsed, within the default bounds.
@@ -134,8 +172,7 @@ def mine(catalog: Catalog, visit_tsv: str, profile_tsv: str, as_of: datetime, se
     subjects = queue.where("subject_id is not null").select(F.col("subject_id").alias("id")).distinct()
 
     def cells(rows: DataFrame, column: str) -> DataFrame:
-        found = keyed_values(rows, subjects, column).withColumn("date", D.fuzzy_date(F.col("value"), as_of))
-        return found.where(D.within(F.col("date"), None, None, as_of)).select("id", "pos", "date")
+        return D.cell_dates(keyed_values(rows, subjects, column), as_of)
 
     visits = cells(read_list(spark, visit_tsv), "visit_date").select(F.col("id").alias("subject_id"), F.col("date").alias("visit")).distinct()
     profile = read_list(spark, profile_tsv)
@@ -153,7 +190,8 @@ def mine(catalog: Catalog, visit_tsv: str, profile_tsv: str, as_of: datetime, se
     pairs = match.first_match(bounded, wanted, threshold, ["rank", "pos"], ["subject_id", "input_id"], "visit", "date")
     pairs = materialised(pairs.select("subject_id", "input_id", F.col("visit").alias("visit_date"), F.col("date").alias("extracted_date")))
     catalog.write("transcription_metadata", upsert_pairs(catalog.read("transcription_metadata"), pairs))
-    return pairs
+    failed = _report(texts.where("error is not null"), "path")
+    return Results(pairs, texts.count() - failed, failed)
 
 
 STAGES: Sequence[str] = ("register", "transcribe", "replace", "scrub", "mine")

@@ -16,16 +16,15 @@ from .functions import dates as D
 from .functions import paths as P
 from .functions import pii
 from .functions.replace import replace_strings
-from .operators import match, ocr, queues
+from .operators import match, ner, ocr, queues
 from .operators.upsert import upsert_pairs
-from .plans.stages import registrations
+from .plans.stages import registrations, rewritten, transcript_path
 from .sources.lists import keyed_values
 
 AS_OF = datetime(2002, 1, 1)
 DAYS = 3
 CHAIN = ("the", "ein", "La")
 MANY = ("Apache License", "stupid", "worthless", "MIT License.", "&&&", "$$$", "###")
-PLAIN_RECOGNISERS = tuple((e, p, s, None) for e, p, s, _ in pii.RECOGNISERS if e in ("EMAIL_ADDRESS", "IP_ADDRESS", "PHONE_NUMBER", "CREDIT_CARD"))
 LABEL_CYCLE = ("PATIENT", "STAFF", "HOSPITAL", "O", "ID", "DATE", "VENDOR", "XYZ")
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,6 +250,23 @@ def _replace(targets, new):
     return run
 
 
+query("replace_literal", _replaced(CHAIN[:1], "$1"))(_replace([None, "", "  ", *CHAIN[:1]], "$1"))
+query("replace_deleted", _replaced(CHAIN, ""))(_replace(CHAIN, ""))
+query("replace_folded", _replaced(("É", "Ü", "ñ"), "<L>"))(_replace(("É", "Ü", "ñ"), "<L>"))
+
+
+@query("replace_blank_kept", "select p_partkey, case when p_name = '' then '|' else '|' || array_to_string(string_split(p_name, ''), '|') || '|' end as name from part")
+def replace_blank_kept(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", replace_strings(F.col("p_name"), [""], "|", keep_blank=True).alias("name"))
+
+
+@query("replace_quoted", f"select p_partkey, regexp_replace(regexp_replace(p_name || '\\E.a\\Q\\e', '{_literal(chr(92) + 'E.A' + chr(92) + 'Q')}', '_', 'gi'), '{_literal(chr(92) + 'E')}', '_', 'gi') as name from part")
+def replace_quoted(spark, sf_dir):
+    """Targets that hold the marks by which patterns are quoted."""
+    text = F.concat("p_name", F.lit("\\E.a\\Q\\e"))
+    return table(spark, sf_dir, "part").select("p_partkey", replace_strings(text, ["\\E.A\\Q", "\\E"], "_").alias("name"))
+
+
 query("replace_one", _replaced(CHAIN[:1], "<ID>"))(_replace(CHAIN[:1], "<ID>"))
 query("replace_chain", _replaced(CHAIN, "<ID>"))(_replace(CHAIN, "<ID>"))
 query("replace_many", _replaced(MANY, "[removed]"))(_replace(MANY, "[removed]"))
@@ -272,14 +288,23 @@ def stem(spark, sf_dir):
     return inputs(spark, sf_dir).select("id", name.alias("stem"), P.extension(F.col("input_file")).alias("extension"), path.alias("path"))
 
 
-def _found(recognisers) -> str:
-    """SQL of (doc_id, entity, score, m) for every match that its check accepts."""
-    checks = {
+def _checks(m: str) -> dict[str | None, str]:
+    """SQL of the recognisers' checks of the match ``m``."""
+    digits = f"reverse(regexp_replace({m}, '[^0-9]', '', 'g'))"
+    letters = "'0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
+    return {
         None: "true",
-        "octets": "list_bool_and(list_transform(string_split(m, '.'), lambda p: p::int <= 255))",
-        "luhn": "list_sum(list_transform(range(len(regexp_replace(m, '[^0-9]', '', 'g'))), lambda i: case when i % 2 = 0 then (reverse(regexp_replace(m, '[^0-9]', '', 'g'))[i + 1])::int "
-        "else (reverse(regexp_replace(m, '[^0-9]', '', 'g'))[i + 1])::int * 2 - case when (reverse(regexp_replace(m, '[^0-9]', '', 'g'))[i + 1])::int > 4 then 9 else 0 end end)) % 10 = 0",
+        "octets": f"list_bool_and(list_transform(string_split({m}, '.'), lambda p: p::int <= 255))",
+        "luhn": f"list_sum(list_transform(range(len({digits})), lambda i: case when i % 2 = 0 then ({digits}[i + 1])::int "
+        f"else ({digits}[i + 1])::int * 2 - case when ({digits}[i + 1])::int > 4 then 9 else 0 end end)) % 10 = 0",
+        "ssn": f"substr({m}, 1, 3) not in ('000', '666') and substr({m}, 1, 3) < '900' and substr({m}, 5, 2) <> '00' and substr({m}, 8, 4) <> '0000'",
+        "iban": f"list_reduce([0] || list_transform(string_split(substr({m}, 5) || substr({m}, 1, 4), ''), lambda c: (instr({letters}, c) - 1)::int), lambda a, v: (a * case when v > 9 then 100 else 10 end + v) % 97) = 1",
     }
+
+
+def _found(recognisers) -> str:
+    """SQL of (doc_id, entity, score, m) for every match that its check accepts."""
+    checks = _checks("m")
     return " union all ".join(f"select doc_id, '{e}' entity, {s}::double score, m from (select doc_id, unnest(regexp_extract_all(text, '{p}')) m from documents) where {checks[c]}" for e, p, s, c in recognisers)
 
 
@@ -307,18 +332,49 @@ def pii_record(spark, sf_dir):
     return each.select("doc_id", F.col("r.Original Text").alias("original"), F.col("r.Type").alias("type"), F.col("r.Score").alias("score"))
 
 
-def _redacted() -> str:
-    out = "text"
-    for e, p, _, _ in PLAIN_RECOGNISERS:
-        out = f"regexp_replace({out}, '{p}', '<{e}>', 'g')"
-    return f"select doc_id, md5({out}) as digest from documents"
+def _scrubbed(text: str, source: str) -> str:
+    """SQL of (doc_id, new): ``text`` of ``source`` with all recognisers' spans found, checked, resolved and replaced."""
+    size = lambda x: f"coalesce(list_sum(list_transform({x}, lambda x: length(x))), 0)"
+    checks = _checks("s.m")
+    found = []
+    for e, p, score, c in pii.RECOGNISERS:
+        m, g = f"regexp_extract_all(x, '{p}')", f"string_split_regex(x, '{p}')"
+        start = f"({size('g[1:i]')} + {size('m[1:i - 1]')})::int"
+        spans = f"list_transform(range(1, len(m) + 1), lambda i: {{'start': {start}, 'end': {start} + length(m[i])::int, 'entity': '{e}', 'score': {score}::double, 'm': m[i]}})"
+        found.append(f"select doc_id, x, list_filter({spans}, lambda s: {checks[c]}) spans from (select doc_id, x, {m} m, {g} g from t) where len(m) > 0")
+    return f"""t as (select doc_id, {text} x from {source}), found as ({" union all ".join(found)}),
+    every as (select doc_id, any_value(x) x, list_sort(flatten(list(spans))) spans from found group by 1 having len(flatten(list(spans))) > 0),
+    kept as (select doc_id, x, list_reduce(list_transform(spans, lambda s: [s]), lambda acc, s: case when s[1].start >= acc[-1]."end" then list_concat(acc, s)
+      when s[1].score > acc[-1].score or (s[1].score = acc[-1].score and s[1]."end" - s[1].start > acc[-1]."end" - acc[-1].start) then list_concat(acc[:-2], s) else acc end) k from every),
+    scrubbed as (select doc_id, array_to_string(list_transform(range(1, len(k) + 1), lambda i: substr(x, case when i = 1 then 0 else k[i - 1]."end" end + 1, k[i].start - case when i = 1 then 0 else k[i - 1]."end" end)
+      || '<' || k[i].entity || '>'), '') || substr(x, k[-1]."end" + 1) y from kept),
+    changed as (select t.doc_id, coalesce(y, x) as new from t left join scrubbed on scrubbed.doc_id = t.doc_id)"""
+
 
+_DENSE = "text || ' 094-123456-7890-1234@mail.org http://10.20.30.40/2001-02-03?c=4111111111111111 by 999.1.1.1, 4111 1111 1111 1112; 536-90-4399, 000-12-3456, 555-123-4567, GB82WEST12345698765432 and GB83WEST12345698765432'"
 
-@query("pii_redact", _redacted())
+
+@query("pii_redact", f"with {_scrubbed('text', 'documents')} select doc_id, md5(new) as digest from changed")
 def pii_redact(spark, sf_dir):
-    text = F.col("text")
-    spans = pii.resolve(pii.detect(text, PLAIN_RECOGNISERS))
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(pii.redact(text, spans).cast("binary")).alias("digest"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", pii.scrub(F.col("text"))[0].alias("new"))
+    return docs.select("doc_id", F.md5(F.col("new").cast("binary")).alias("digest"))
+
+
+@query("pii_redact_overlaps", f"with {_scrubbed(_DENSE, 'documents')} select doc_id, md5(new) as digest from changed")
+def pii_redact_overlaps(spark, sf_dir):
+    """Each text with a line in which matches overlap and checks refuse some."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.expr(_DENSE).alias("text"))
+    return docs.select("doc_id", F.md5(pii.scrub(F.col("text"))[0].cast("binary")).alias("digest"))
+
+
+PAN = ("IN_PAN", "[A-Z]{5}[0-9]{4}[A-Z]", 0.95, None)
+
+
+@query("pii_excluded", "select p_partkey, 'EMAIL_ADDRESS' as entity, 15 as start from part")
+def pii_excluded(spark, sf_dir):
+    text = F.concat(F.lit("Pan ABCDE"), F.lpad((F.col("p_partkey") % 10000).cast("string"), 4, "0"), F.lit("F p"), F.col("p_partkey"), F.lit("@x.org"))
+    spans = pii.keep_spans(pii.detect(text, [*pii.RECOGNISERS, PAN]))
+    return table(spark, sf_dir, "part").select("p_partkey", F.explode(spans).alias("s")).select("p_partkey", F.col("s.entity").alias("entity"), F.col("s.start").alias("start"))
 
 
 @query(
@@ -399,3 +455,163 @@ def pair_in(spark, sf_dir):
 def pair_not_in(spark, sf_dir):
     found = match.pairs_not_in(band_first_match(spark, sf_dir), _visits(spark, sf_dir).select("key", F.col("visit").alias("extracted")), ["key", "extracted"])
     return found.select("key", "visit", "extracted")
+
+
+@query("dates_default_bounds", "select event_id, 0 as line, date_trunc('day', ts)::timestamp as date from events where date_trunc('day', ts) <= timestamp '2024-01-15'")
+def dates_default_bounds(spark, sf_dir):
+    """Dates of 2024 within the bounds that hold without a profile: from 2010 to ``as_of``, both inclusive."""
+    as_of = datetime(2024, 1, 15)
+    texts = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("Seen on "), F.date_format("ts", "yyyy-MM-dd"), F.lit("; no more")).alias("text"))
+    return D.line_dates(texts, as_of).where(D.within(F.col("date"), None, None, as_of))
+
+
+@query("dates_filled", "select o_orderkey, 0 as line, last_day(make_date(2001, month(o_orderdate)::int, 1))::timestamp as date from orders")
+def dates_filled(spark, sf_dir):
+    """A month's name only: year and day come from ``as_of``, the day held at the month's last."""
+    texts = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("seen in "), F.date_format("o_orderdate", "MMMM")).alias("text"))
+    return D.line_dates(texts, datetime(2001, 1, 31, 14, 5))
+
+
+@query("dates_refused", "select o_orderkey, 1 as line, date_trunc('day', o_orderdate)::timestamp as date from orders")
+def dates_refused(spark, sf_dir):
+    """Two dates in one line give none; one in the next line is found."""
+    day = lambda n: F.date_format(F.date_add("o_orderdate", n), "M/d/yyyy")
+    texts = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("Visit on "), day(0), F.lit(" and "), day(5), F.lit("\nthen "), day(0)).alias("text"))
+    return D.line_dates(texts, AS_OF)
+
+
+@query(
+    "dates_us_order",
+    """select o_orderkey, unnest([0, 1])::int as line, unnest([o_orderdate::date, case when day(o_orderdate) > 12 then o_orderdate::date
+      else make_date(year(o_orderdate)::int, day(o_orderdate)::int, month(o_orderdate)::int) end])::timestamp as date from orders""",
+)
+def dates_us_order(spark, sf_dir):
+    """Month first where that can be, else day first; years of two digits."""
+    texts = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.date_format("o_orderdate", "MM/dd/yy"), F.lit("\n"), F.date_format("o_orderdate", "dd/MM/yyyy")).alias("text"))
+    return D.line_dates(texts, AS_OF)
+
+
+def _files(spark, sf_dir):
+    """A file for each order by its key: JSON, text, one of another type, and one without a path."""
+    key, day = F.col("o_orderkey"), lambda n: F.date_format(F.date_add("o_orderdate", n), "yyyy-MM-dd")
+    tree = F.concat(F.lit('{"a": {"b": ["seen '), day(0), F.lit('", 7, "none"]}, "c": "'), day(1), F.lit('"}'))
+    path = F.when(key % 4 == 0, F.concat(F.lit("/x/"), key, F.lit(".json"))).when(key % 4 == 1, F.concat(F.lit("/x/"), key, F.lit(".txt"))).when(key % 4 == 2, F.concat(F.lit("/x/"), key, F.lit(".doc")))
+    text = F.when(key % 4 == 0, tree).otherwise(F.concat(F.lit("a remark\n\nseen "), day(0), F.lit("\r"), day(1)))
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", path.alias("path"), text.alias("text"))
+
+
+_FILE_DATES = """fd as (select o_orderkey, o_custkey, '/x/' || o_orderkey || case o_orderkey % 4 when 0 then '.json' else '.txt' end path,
+    unnest(case o_orderkey % 4 when 0 then [0, 1] else [2, 3] end)::int pos, unnest([o_orderdate::date, o_orderdate::date + 1])::timestamp date from orders where o_orderkey % 4 < 2)"""
+
+
+@query("dates_by_file_type", f"with {_FILE_DATES} select o_orderkey, path, pos, date from fd")
+def dates_by_file_type(spark, sf_dir):
+    return D.file_dates(_files(spark, sf_dir).drop("o_custkey"), AS_OF)
+
+
+@query("dates_in_file_order", f"with {_FILE_DATES} select o_custkey, arg_min(date, (case when ends_with(path, '.json') then 0 else 1 end, o_orderkey, pos)) as date from fd group by 1")
+def dates_in_file_order(spark, sf_dir):
+    """Each customer's first date over several files: records before texts, then by file and place."""
+    found = D.file_dates(_files(spark, sf_dir), AS_OF).withColumn("rank", F.when(F.col("path").endswith(".json"), 0).otherwise(1))
+    return found.groupBy("o_custkey").agg(F.min_by("date", F.struct("rank", "o_orderkey", "pos")).alias("date"))
+
+
+@query(
+    "cell_dates",
+    """select c_custkey as id, o_orderkey as pos, (o_orderdate::date + interval 15 year)::timestamp as date from customer join orders
+    on o_custkey = c_custkey or (o_orderkey % 5000 = c_custkey and o_custkey <> c_custkey)
+    where o_orderdate::date + interval 15 year between timestamp '2010-01-01' and timestamp '2014-06-01'""",
+)
+def cell_dates(spark, sf_dir):
+    """Dates of looked-up list cells within the default bounds."""
+    day = F.date_format(F.col("o_orderdate").cast("date") + F.expr("interval 15 years"), "yyyy-MM-dd")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("grls_id"), (F.col("o_orderkey") % 5000).alias("subject_id"), day.alias("day"), "o_orderkey")
+    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    return D.cell_dates(keyed_values(rows, ids, "day", position=F.col("o_orderkey")), datetime(2014, 6, 1))
+
+
+def _texts_of(queue: DataFrame, spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_doc"), "text")
+    return queue.join(docs, queue["input_id"] == docs["_doc"]).drop("_doc")
+
+
+_FOLDER = "coalesce(nullif(regexp_extract(input_file, '094-[0-9]{6}'), ''), 'none')"
+
+
+@query(
+    "replaced_texts",
+    f"""with {INPUTS}, {OUTPUTS}, q as ({_READY}) select q.id, '/new/list_replacement_output_file/page/' || {_FOLDER} || '/t' || input_id || '-1-1.txt' as path,
+    md5(regexp_replace(text, 'the', '[x]', 'gi')) as digest from q join documents on doc_id = input_id""",
+)
+def replaced_texts(spark, sf_dir):
+    """What the replace stage writes, and where."""
+    rows = _texts_of(queues.replace_queue(inputs(spark, sf_dir), outputs(spark, sf_dir), "page"), spark, sf_dir)
+    out = rewritten(rows, "/new", "list_replacement_output_file", "page", lambda t: replace_strings(t, ["the"], "[x]"))
+    return out.select("id", "path", F.md5(F.col("new").cast("binary")).alias("digest"))
+
+
+@query(
+    "scrubbed_texts",
+    f"""with {INPUTS}, {OUTPUTS}, q as ({_READY} and o.pii_scrubber_output_file is null), {_scrubbed("text", "documents")}
+    select q.id, '/new/pii_scrubber_output_file/page/' || {_FOLDER} || '/t' || input_id || '-1-1.txt' as path, md5(new) as digest,
+    '/new/pii_scrubber_confidence_file/page/' || {_FOLDER} || '/confidence-t' || input_id || '-1-1.json' as record_path,
+    coalesce(len(e.spans), 0)::int as n from q join changed on changed.doc_id = input_id left join every e on e.doc_id = input_id""",
+)
+def scrubbed_texts(spark, sf_dir):
+    """What the scrub stage writes, and where; how many entries the confidence records have."""
+    rows = _texts_of(queues.scrub_queue(inputs(spark, sf_dir), outputs(spark, sf_dir), "page"), spark, sf_dir)
+    out = rewritten(rows, "/new", "pii_scrubber_output_file", "page", lambda t: pii.scrub(t)[0], lambda t: pii.scrub(t)[1])
+    return out.select("id", "path", F.md5(F.col("new").cast("binary")).alias("digest"), "record_path", F.json_array_length("record").alias("n"))
+
+
+@query("transcript_paths", f"with {INPUTS}, {LINES} select id, (n + 1)::int as page, '/new/unstructured_text/page/' || {_FOLDER} || '/scan_' || id || '-' || (n + 1) || '-0.txt' as path from l join inputs on id = doc_id")
+def transcript_paths(spark, sf_dir):
+    """Where the transcribe stage writes each page."""
+    pages = ocr.page_results(_pages(spark, sf_dir)).join(inputs(spark, sf_dir).select("id", "input_file"), "id")
+    return pages.select("id", "page", transcript_path("/new", "page").alias("path"))
+
+
+class PathReader(ocr.OcrEngine):
+    """Two pages made up from a path, of one with digits only in even places; texts can't be read."""
+
+    def results(self, path: str, document_type: str):
+        if path.endswith(".txt"):
+            raise ValueError("not a scan")
+        for page in (1, 2):
+            yield {"content": f"{path} {page}", "confidence": float(len(path) % 101), "page": page, "block": 0}
+
+
+@query(
+    "ocr_engine",
+    f"""with {INPUTS} select id, input_file || ' ' || page as content, (length(input_file) % 101)::double as confidence, page::int as page, 0 as block, null::varchar as error
+    from inputs, (select unnest([1, 2]) page) where not ends_with(input_file, '.txt') union all select id, null, null, null, null, 'not a scan' from inputs where ends_with(input_file, '.txt')""",
+)
+def ocr_engine(spark, sf_dir):
+    """A pluggable engine over all inputs; a broken file is that file's error."""
+    return ocr.run_ocr(inputs(spark, sf_dir), PathReader, "page")
+
+
+@query("queue_count", f"with {INPUTS} select count(*) as n from (select * from inputs order by id limit 50 offset 100)")
+def queue_count(spark, sf_dir):
+    """How many a page of a queue holds."""
+    return queues.page(inputs(spark, sf_dir), 50, 100).agg(F.count("*").alias("n"))
+
+
+class WordClassifier(ner.TokenClassifier):
+    """Marks the word "the" as a patient and "ID" labels on "of", to be scaled; everything else is "O"."""
+
+    def classify(self, texts):
+        kinds = {"the": "PATIENT", "of": "ID"}
+        return [[(kinds.get(t[a:b], "O"), a, b, 0.5) for a, b in self.tokens(t)] for t in texts]
+
+
+@query(
+    "model_spans",
+    """select doc_id, entity, count(*) as n, case entity when 'ID' then 0.5::double * 0.4::double else 0.5::double end as score from
+    (select doc_id, case w when 'the' then 'PERSON' else 'ID' end entity from (select doc_id, unnest(string_split_regex(text, '\\s+')) w from documents) where w in ('the', 'of')) group by all""",
+)
+def model_spans(spark, sf_dir):
+    """Spans of a classifier over overlapping windows, merged, mapped and scaled."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = ner.classify(docs, WordClassifier, ner.NerSettings(window=40, stride=6)).select("doc_id", F.explode("model_spans").alias("s"))
+    return found.groupBy("doc_id", F.col("s.entity").alias("entity"), F.col("s.score").alias("score")).agg(F.count("*").alias("n"))

@@ -6,7 +6,7 @@ import re
 from datetime import datetime
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -63,6 +63,7 @@ def test_replace_long_list(spark):
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@example(["x", "ab"], "", "axb")
 @given(st.lists(st.text("abAB.$", min_size=1, max_size=3), max_size=4), st.text("abx", max_size=2), st.text("abAB.$x", max_size=15))
 def test_replace_equals_sequential(spark, targets, new, text):
     want = text
@@ -71,6 +72,31 @@ def test_replace_equals_sequential(spark, targets, new, text):
     assert one(spark, text, replace_strings(F.col("x"), targets, new)) == want
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text("ab", min_size=1, max_size=3), min_size=2, max_size=4), st.text("abx", max_size=15))
+def test_deleting_equals_sequential(spark, targets, text):
+    want = text
+    for t in targets:
+        want = re.sub(re.escape(t), "", want, flags=re.IGNORECASE)
+    assert one(spark, text, replace_strings(F.col("x"), targets, "")) == want
+
+
+_PARTS = ["2001-02-03", "2001-02-30", "1999-12-31", "3/4/2021", "12/31/1999", "02/30/2020", "13/02/2020", "12:30", "7", "pm", "at", "a", "T", "Z", "h", "May", "mon", "remark", " ", " ", " ", ", ", ". ", "-", "/", "(", ")", "UTC", "+"]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(_PARTS), max_size=7).map("".join))
+def test_plain_dates_are_what_the_parser_reads(text):
+    assert D.parse_fuzzy(text, AS_OF) == D._parsed(text, AS_OF)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["jan", "May", "remark", "sun", "sunny", "é", ".", " ", "_", "sept", "tues", "x"]), max_size=5).map("".join))
+def test_texts_without_a_name_hold_no_date(text):
+    names = D.MAY_HOLD_DATE.replace(r"\p{Nd}", r"\d").replace(r"\p{L}", r"[^\W\d_]")
+    assert re.search(names, text) or D._parsed(text, AS_OF) is None
+
+
 def test_independent():
     assert independent(["abc", "xyz"], "<>") and not independent(["abc", "cde"], "<>") and not independent(["abc", "x"], "axb") and not independent(["ab", "abc"], "")
 
@@ -113,6 +139,18 @@ def test_detect(spark):
     assert spans(spark, None) == [] and spans(spark, "") == []
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("GB82WEST12345698765432", "IBAN_CODE"), ("GB83WEST12345698765432", None), ("DE89370400440532013000", "IBAN_CODE"), ("536-90-4399", "US_SSN"), ("666-12-3456", None),
+        ("912-12-3456", None), ("536-00-4399", None), ("536-90-0000", None), ("555-123-4567", "PHONE_NUMBER"), ("(555) 123-4567", "PHONE_NUMBER"), ("+1 (555) 123-4567", "PHONE_NUMBER"), ("+1-555-123-4567", "PHONE_NUMBER"),
+    ],
+)
+def test_checked_numbers(spark, text, want):
+    found = one(spark, f"é {text}.", pii.detect(F.col("x")))
+    assert [(s.entity, s.start, s.end) for s in found] == ([(want, 2, 2 + len(text))] if want else [])
+
+
 def test_thresholds(spark):
     schema = "array<struct<entity:string,start:int,end:int,score:double>>"
     rows = spark.createDataFrame([([("A", 0, 1, 0.45), ("A", 1, 2, 0.44), ("IN_PAN", 2, 3, 1.0)],)], f"s {schema}")

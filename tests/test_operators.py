@@ -173,6 +173,51 @@ def test_windows():
     assert ner.windows("", 10, 4) == [] and len(ner.windows("a b", 10, 4)) == 1
 
 
+def test_windows_by_the_models_tokens():
+    text = "one-two three"
+    tokens = [(0, 3), (3, 4), (4, 7), (8, 13)]
+    assert ner.windows(text, 2, 1, tokens) == [(0, "one-"), (3, "-two"), (4, "two three")]
+    assert ner.windows(text, 2, 1) == [(0, text)]
+
+
+def test_library_engine(monkeypatch):
+    """The engine's calls, against stand-ins of the two libraries."""
+    import sys
+    import types
+
+    from docweave.operators.ocr import LibraryOcrEngine
+
+    class Api:
+        def __enter__(self):
+            self.rectangle = None
+            return self
+
+        def __exit__(self, *_):
+            pass
+
+        def SetImage(self, image):
+            self.image, self.rectangle = image, None
+
+        def SetRectangle(self, *box):
+            self.rectangle = box
+
+        def GetUTF8Text(self):
+            return f"{self.image}{self.rectangle or ''}"
+
+        def MeanTextConf(self):
+            return 71
+
+        def GetComponentImages(self, level, text_only):
+            return [(None, {"x": 1, "y": k, "w": 3, "h": 4}, 0, None) for k in range(2)]
+
+    monkeypatch.setitem(sys.modules, "pdf2image", types.SimpleNamespace(convert_from_path=lambda path: [f"{path}#1", f"{path}#2"]))
+    monkeypatch.setitem(sys.modules, "tesserocr", types.SimpleNamespace(PyTessBaseAPI=Api, RIL=types.SimpleNamespace(TEXTLINE=3)))
+    engine = LibraryOcrEngine()
+    assert list(engine.results("a.pdf", "page")) == [{"content": f"a.pdf#{k}", "confidence": 71.0, "page": k, "block": 0} for k in (1, 2)]
+    blocks = list(engine.results("a.pdf", "block"))
+    assert [(r["page"], r["block"]) for r in blocks] == [(1, 1), (1, 2), (2, 1), (2, 2)] and blocks[1]["content"] == "a.pdf#1(1, 1, 3, 4)"
+
+
 def test_ner_settings(tmp_path):
     path = tmp_path / "ner.json"
     path.write_text('{"window": 50, "stride": 5}')
