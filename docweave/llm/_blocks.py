@@ -3,11 +3,12 @@
 Items are linked in a candidate graph through their keys (a star for each key, reduced to forests on the map side, so a key
 that very many items share moves once for each task). Its components are blocks: no similar pair lies across two. A block
 of up to ``most`` elements is one task. A larger one is cut into chunks. First each chunk is compared within itself and with
-a few pivots of the block; in a group of near copies that connects all but a few. What may still link then shares a key: the
-lists of items by key are looked up, and only lists whose items aren't all connected go on (equal lists once). In each, the
-items outside the list's largest component are taken to every chunk of the list. A pair that this leaves out is connected
-already, so nothing is lost; no task grows with a block; a group of near copies takes as many tasks as it has chunks, and a
-block that chance keys hold together as many as its lists that hold something apart.
+a few pivots of the block; in a group of near copies that connects all but a few. Then, in a block of up to ``few`` chunks, the
+items outside its largest component are taken to every chunk. In a larger one, what may still link is looked up by key: of
+the lists of items by key, those whose items aren't all connected go on (equal lists once), and in each the items outside the
+list's largest component are taken to every chunk of the list. A pair that this leaves out is connected already, so nothing is
+lost; no task grows with a block; a group of near copies takes as many tasks as it has chunks, and a vast block that chance
+keys hold together as many as its lists that hold something apart.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from ._components import components, edge_batch, local_components
 from ._spark import release, stored
 
 MOST = 250_000
+FEW = 16
 
 
 def _key_stars(parts):
@@ -74,7 +76,7 @@ def blocks(items: DataFrame) -> DataFrame:
     return components(edges.where("a <> b")).toDF("item", "block")
 
 
-def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]], num: int, den: int, most: int = MOST, occurrence: bool = False) -> DataFrame:
+def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]], num: int, den: int, most: int = MOST, occurrence: bool = False, few: int = FEW) -> DataFrame:
     """(a, b): links between items of Jaccard similarity num / den or more, enough to connect all that are linked.
 
     ``items``: item, keys, weight (elements, about) and whatever ``sets(rows)`` needs to give (values, bounds, sizes): item i has the distinct uint64
@@ -95,11 +97,22 @@ def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndar
     near = stored(_compared(rows.join(tasks, "item"), sets, num, den, occurrence), "links")
     if large.isEmpty():
         return near
-    known = large.join(components(near), F.col("item") == F.col("node"), "left").select("item", "weight", F.coalesce("component", "item").alias("label"))
-    entries = stored(known.join(items.select("item", "keys"), "item").mapInArrow(_by_key, "key long, item long, weight long, label long"), "keys")
-    lists = entries.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("item")).alias("h"), F.sum("weight").alias("total"), F.min("label").alias("low"), F.max("label").alias("high"))
-    lists = lists.where("low < high").groupBy("n", "h", "total").agg(F.min("key").alias("block")).select("block", _parts(F.col("total"), most).alias("chunks"))
-    listed = stored(entries.join(lists, F.col("key") == F.col("block")).drop("key"), "lists")
+    known = large.join(components(near), F.col("item") == F.col("node"), "left").select("item", "block", "weight", "chunks", F.coalesce("component", "item").alias("label"))
+    known = stored(known, "labels")
+    rest = _apart(known.where(F.col("chunks") <= few), most)
+    if not (vast := known.where(F.col("chunks") > few)).isEmpty():
+        entries = stored(vast.join(items.select("item", "keys"), "item").mapInArrow(_by_key, "key long, item long, weight long, label long"), "keys")
+        lists = entries.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("item")).alias("h"), F.sum("weight").alias("total"), F.min("label").alias("low"), F.max("label").alias("high"))
+        lists = lists.where("low < high").groupBy("n", "h", "total").agg(F.min("key").alias("block")).select("block", _parts(F.col("total"), most).alias("chunks"))
+        listed = stored(entries.join(lists, F.col("key") == F.col("block")).drop("key"), "lists")
+        rest = rest.unionByName(_apart(listed, most))
+    return near.unionByName(_compared(rows.join(rest, "item"), sets, num, den, occurrence))
+
+
+def _apart(listed: DataFrame, most: int) -> DataFrame:
+    """Tasks that take what lies outside the largest component of each block of ``listed`` (item, block, weight, chunks, label)
+    to every chunk of the block."""
+    none = F.lit(0)
     main = listed.groupBy("block", "label").agg(F.sum("weight").alias("w")).groupBy("block").agg(F.max_by("label", F.struct("w", "label")).alias("main"))
     others = listed.join(main, "block").where("label <> main").drop("main")
     count = others.groupBy("block").agg(F.sum("weight").alias("n")).select(F.col("block").alias("of"), _parts(F.col("n"), most).alias("ways"))
@@ -107,8 +120,7 @@ def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndar
     chunk = F.pmod(F.xxhash64("item"), F.col("chunks")).cast("int")
     one = listed.join(count, listed["block"] == count["of"]).select("item", "block", chunk.alias("i"), F.explode(F.sequence(none, F.col("ways") - 1)).alias("j"), none.alias("side"), "label")
     two = others.withColumn("j", F.pmod(F.xxhash64("item", F.lit(3)), F.col("ways")).cast("int"))
-    two = two.select("item", "block", F.explode(F.sequence(none, F.col("chunks") - 1)).alias("i"), "j", F.lit(1).alias("side"), "label")
-    return near.unionByName(_compared(rows.join(one.unionByName(two), "item"), sets, num, den, occurrence))
+    return one.unionByName(two.select("item", "block", F.explode(F.sequence(none, F.col("chunks") - 1)).alias("i"), "j", F.lit(1).alias("side"), "label"))
 
 
 def _by_key(parts):
