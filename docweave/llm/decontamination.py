@@ -138,7 +138,7 @@ class Matcher:
         return out
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest: int = 12, item_bytes: int = 8 << 20) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest: int = 8, item_bytes: int = 8 << 20) -> DataFrame:
     """Documents with a passage within ``share`` of an item's length in edits: doc_id, item_id, distance, budget, passages.
 
     The items go to every task, where one set of them of at most about ``item_bytes`` is enough; the documents are scanned

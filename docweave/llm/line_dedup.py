@@ -162,9 +162,8 @@ def _ask_bands(size: int, bands: int, rows_: int, shards: int):
 
 
 def _parts(lines: Lines, at: np.ndarray, most: int = 2 << 20):
-    """``at`` in runs of about ``most`` bytes of lines."""
-    total = np.cumsum(lines.end[at] - lines.start[at]) // most
-    for _, a, b in runs(total):
+    """``at`` (ascending) in runs of lines that begin within ``most`` bytes of the batch."""
+    for _, a, b in runs(lines.start[at] // most):
         yield at[a:b]
 
 

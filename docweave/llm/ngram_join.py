@@ -102,8 +102,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
 
     A document's set: its distinct ``n``-word shingles after lower-casing A-Z; of fewer words, the whole sequence as one;
     of none, empty, and linked with nothing. Documents link when den * intersection >= num * union; component_id is the
-    smallest doc_id that links lead to. Rows of equal ids are one node; rows with a null id stay alone (component null).
-    Other columns are ignored. Sets are compared by 64-bit hashes of their shingles, equal sets found by 128 bits.
+    smallest doc_id that links lead to. Rows of equal ids and different texts are documents of their own; rows with a null id
+    stay alone (component null). Other columns are ignored. Sets are compared by 64-bit hashes of their shingles, equal sets
+    found by 128 bits.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = text_bytes(docs)

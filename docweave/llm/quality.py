@@ -131,7 +131,8 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: flo
 
 def train_quality(docs: DataFrame, labels: DataFrame, training_rows: int = 20_000, **options) -> Trees:
     """Fit on at most ``training_rows`` labelled documents (those of the smallest hashes of their id; the bound is what the
-    driver receives). ``labels``: doc_id, quality 0/1; several labels of an id count by their mean, null ones not at all."""
+    driver receives). ``labels``: doc_id, quality 0/1; several labels of an id count by their mean, null ones not at all; of
+    several texts of an id the one of the smallest features counts."""
     lean_batches(docs.sparkSession)
     wanted = (
         labels.where("doc_id is not null and quality is not null")
@@ -151,7 +152,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, training_rows: int = 20_00
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.int32()), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "quality", "x"])
         release()
 
-    rows = found.mapInArrow(measure, "doc_id long, quality int, x binary").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    measured = found.mapInArrow(measure, "doc_id long, quality int, x binary").groupBy("doc_id").agg(F.min(F.struct("x", "quality")).alias("r"))
+    rows = measured.select("doc_id", "r.quality", "r.x").toArrow().sort_by("doc_id")
     x = np.frombuffer(b"".join(rows.column("x").to_pylist()), "<f4").reshape(-1, len(FEATURES))
     return fit(x, rows.column("quality").to_numpy().astype(float), **options)
 

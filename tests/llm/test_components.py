@@ -104,11 +104,10 @@ def test_blocks_by_lists(spark):
 
     sets_ = {i: s | {-1} for i, s in own.items()}
     want = plain([(i, j) for i in own for j in own if i > j and 10 * len(sets_[i] & sets_[j]) >= 8 * len(sets_[i] | sets_[j])])
-    for most in (10**6, 700, 200):
+    for most, few in ((10**6, 16), (700, 16), (700, 1), (200, 1)):
         for occurrence in (True, False):
-            found = links(items, parts, 8, 10, most, occurrence).collect()
-            got = plain([(x.a, x.b) for x in found if x.a != x.b])
-            assert {k: v for k, v in got.items()} == want, (most, occurrence)
+            found = links(items, parts, 8, 10, most, occurrence, few).collect()
+            assert plain([(x.a, x.b) for x in found if x.a != x.b]) == want, (most, few, occurrence)
 
 
 def test_known_labels_are_not_compared_again():

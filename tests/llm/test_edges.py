@@ -21,7 +21,7 @@ from docweave.llm.quality import score_quality, train_quality
 from docweave.llm.substring_dedup import Sketch, remove_repeats
 from docweave.llm.token_output import FrameReader, FrameWriter, output_directory, read_token_files, write_token_files
 from docweave.llm.tokenise import PieceEncoder, public_path
-from docweave.llm.topk import top_k, whole_vectors
+from docweave.llm.topk import MTree, fit_pivots, pivots_to_search, top_k, whole_vectors
 from docweave.llm.url_filter import filter_urls
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, batch long, shard string, payload binary, rows string, item long, score double, n_words long, n_removed string, component string, sequence_id int"
@@ -98,7 +98,7 @@ def test_decontamination_at_the_ends_of_texts(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     bench = spark.createDataFrame([(i, x.decode()) for i, x in items], "item_id long, text string")
     got = {(x.doc_id, x.item_id): x.distance for x in find_leaks(docs, bench).collect()}
-    limit = {i: budget(len(x), 0.08, 12) for i, x in items}
+    limit = {i: budget(len(x), 0.08, 8) for i, x in items}
     want = {(3 * d + 1, i): k for d in range(75) for i, x in items[d // 3 : d // 3 + 1] if (k := plain(x, normalised(pa.array(texts[3 * d + 1 : 3 * d + 2]))[0].tobytes())) <= limit[i]}
     assert len(want) > 30 and got == want
 
@@ -189,6 +189,69 @@ def test_top_k_random(spark):
         assert got == [(i, s) for s, i in want]
 
 
+def _clustered(n, clusters, size=16, spread=4, seed=3):
+    r = np.random.default_rng(seed)
+    centres = r.normal(0, 400, (clusters, size))
+    return np.floor(centres[r.integers(0, clusters, n)] + r.normal(0, spread, (n, size))).astype(np.int64)
+
+
+def _plain_top(vectors, queries, k):
+    score = vectors @ vectors.T
+    return {q: [(int(i), int(score[q, i])) for i in np.lexsort((np.arange(len(vectors)), -score[q])) if i != q][:k] for q in queries}
+
+
+def test_tree_avoids_computations():
+    """On clustered vectors the bounds leave a small part of all products, for blocks and for single queries."""
+    x = _clustered(4000, 40)
+    queries = np.arange(0, 4000, 20)
+    want = _plain_top(x, queries.tolist(), 10)
+    for step in (1, len(queries)):
+        tree = MTree(np.arange(4000), x, page=32)
+        for at in range(0, len(queries), step):
+            own = queries[at : at + step]
+            place, ids, score = tree.search(own, x[own], 10)
+            for p, q in enumerate(own.tolist()):
+                got = sorted(zip(ids[place == p].tolist(), score[place == p].tolist()), key=lambda r: (-r[1], r[0]))
+                assert got == want[q]
+        assert tree.computed < 0.25 * len(queries) * 4000
+
+
+def test_pivots_exclude_shards():
+    x = _clustered(3000, 30)
+    pivots = fit_pivots(np.full(3000, 16), list(x), 30)[16]
+    near = ((x[:, None] - pivots) ** 2).sum(2).argmin(1)
+    far = np.array([np.sqrt(((x[near == k] - pivots[k]) ** 2).sum(1)).max(initial=-1) for k in range(len(pivots))])
+    norm = np.array([np.sqrt((x[near == k] ** 2).sum(1)).max(initial=-1) for k in range(len(pivots))])
+    opened = 0
+    for q in range(0, 3000, 100):
+        floor = np.sort(x @ x[q])[-11]
+        to = pivots_to_search(x[q : q + 1], np.array([floor]), pivots, far, norm)
+        assert set(near[x @ x[q] >= floor].tolist()) <= set(to.tolist())
+        opened += len(to)
+    assert opened < 0.3 * 30 * len(pivots)
+
+
+def test_top_k_clustered(spark):
+    x = _clustered(900, 12, 8)
+    df = spark.createDataFrame([(i, v.tolist(), 8) for i, v in enumerate(x)], "vec_id long, v array<long>, size int").repartition(3)
+    out = top_k(df, df.where("vec_id % 25 = 0"), 7, shard_rows=60, block_rows=5, page=8).collect()
+    want = _plain_top(x, range(0, 900, 25), 7)
+    assert {q: [(r.vec_id, r.score) for r in sorted(rs, key=lambda r: r["rank"])] for q, rs in _grouped(out)} == want
+
+
+def test_top_k_of_large_numbers(spark):
+    """Beyond 53 bits products are still exact, ties and signs included; beyond 64 bits they are refused."""
+    for top in (2**27, 2**30):
+        rows = [(i, [top + i % 3, -top + i, i], 3) for i in range(40)]
+        df = spark.createDataFrame(rows, "vec_id long, v array<long>, size int")
+        got = {q: [(r.vec_id, r.score) for r in sorted(rs, key=lambda r: r["rank"])] for q, rs in _grouped(top_k(df, df.where("vec_id < 3"), 4, shard_rows=16).collect())}
+        dot = lambda a, b: sum(x * y for x, y in zip(rows[a][1], rows[b][1]))
+        assert got == {q: sorted(((i, dot(q, i)) for i in range(40) if i != q), key=lambda r: (-r[1], r[0]))[:4] for q in range(3)}
+    huge = spark.createDataFrame([(i, [2**40, i], 2) for i in range(3)], "vec_id long, v array<long>, size int")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        top_k(huge, huge, 1).collect()
+
+
 def _grouped(rows):
     out: dict = {}
     for r in rows:
