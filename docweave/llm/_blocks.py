@@ -106,6 +106,7 @@ def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndar
         lists = lists.where("low < high").groupBy("n", "h", "total").agg(F.min("key").alias("block")).select("block", _parts(F.col("total"), most).alias("chunks"))
         listed = stored(entries.join(lists, F.col("key") == F.col("block")).drop("key"), "lists")
         rest = rest.unionByName(_apart(listed, most))
+    rest = stored(rest, "tasks")  # few rows, as a rule: then the items needn't be shuffled for them
     return near.unionByName(_compared(rows.join(rest, "item"), sets, num, den, occurrence))
 
 

@@ -117,7 +117,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     live = every.where("shared is not null and doc_id is not null")
     classes = live.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("rep"))
     chosen = live.join(classes.select(F.col("rep").alias("doc_id"), "one", "two", "n_shingles"), ["doc_id", "one", "two", "n_shingles"], "left_semi")
-    found = links(chosen.select(F.xxhash64("one", "two", "n_shingles").alias("item"), "n_shingles", "shared", "keys", F.col("n_shingles").alias("weight")), _shared, num, den, most, occurrence=True)
+    items = stored(chosen.select(F.xxhash64("one", "two", "n_shingles").alias("item"), "n_shingles", "shared", "keys", F.col("n_shingles").alias("weight")), "items")
+    found = links(items, _shared, num, den, most, occurrence=True)
     groups = components(found)
     named = stored(classes.withColumn("node", F.xxhash64("one", "two", "n_shingles")).join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component"), "classes")
     smallest = named.groupBy("group").agg(F.min("rep").alias("component_id"))
