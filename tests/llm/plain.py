@@ -25,7 +25,7 @@ class Sets:
         self.root[max(x, y)] = min(x, y)
 
 
-def dedup_lines(texts: dict[int, str | None], size: int = 5, num: int = 80, den: int = 100) -> dict[int, str | None]:
+def dedup_lines(texts: dict[int, str | None], size: int = 8, num: int = 80, den: int = 100) -> dict[int, str | None]:
     """Each text without its equal and similar lines but the first of their component."""
     first: dict[str, int] = {}
     for i in sorted(texts):
