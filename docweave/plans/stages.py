@@ -54,6 +54,12 @@ def registrations(files: DataFrame, document_type: str, created: datetime) -> Da
     return rows.where("subject_id is not null")
 
 
+def placeholders(inputs: DataFrame) -> DataFrame:
+    """A metadata row for each input (id, subject_id), its dates still to be found."""
+    nothing = {"year_in_study": "int", "visit_date": "timestamp_ntz", "extracted_date": "timestamp_ntz"}
+    return inputs.select(F.col("id").alias("input_id"), "subject_id", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()])
+
+
 def register(catalog: Catalog, root: str, document_type: str = "document", created: datetime | None = None, again: bool = False) -> int:
     """Register the files below ``root``; known ones (path and type) are passed over unless ``again``. Returns how many."""
     found = registrations(list_files(catalog.spark, root), document_type, created or datetime.now())
@@ -61,8 +67,7 @@ def register(catalog: Catalog, root: str, document_type: str = "document", creat
     if not again:
         found = match.pairs_not_in(found, inputs, ["input_file", "document_type"])
     fresh = materialised(numbered(found, inputs))
-    holders = fresh.select(F.col("id").alias("input_id"), "subject_id", F.lit(None).cast("int").alias("year_in_study"), *[F.lit(None).cast("timestamp_ntz").alias(c) for c in ("visit_date", "extracted_date")])
-    added = {"transcription_input": fresh, "transcription_metadata": numbered(holders, metadata)}
+    added = {"transcription_input": fresh, "transcription_metadata": numbered(placeholders(fresh), metadata)}
     catalog.commit({table: catalog.appended(table, rows) for table, rows in added.items()})
     return fresh.count()
 

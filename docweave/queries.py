@@ -12,14 +12,17 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .catalog import Catalog
 from .functions import dates as D
 from .functions import paths as P
 from .functions import pii
 from .functions.replace import replace_strings
 from .operators import match, ner, ocr, queues
 from .operators.upsert import upsert_pairs
-from .plans.stages import registrations, rewritten, transcript_path
-from .sources.lists import keyed_values
+from .plans.stages import placeholders, registrations, rewritten, transcript_path
+from .sources.files import list_files, read_each, write_texts
+from .sources.lists import keyed_values, read_list
+from .sources.store import fresh_folder
 
 AS_OF = datetime(2002, 1, 1)
 DAYS = 3
@@ -615,3 +618,52 @@ def model_spans(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = ner.classify(docs, WordClassifier, ner.NerSettings(window=40, stride=6)).select("doc_id", F.explode("model_spans").alias("s"))
     return found.groupBy("doc_id", F.col("s.entity").alias("entity"), F.col("s.score").alias("score")).agg(F.count("*").alias("n"))
+
+
+@query("register_placeholders", f"with {INPUTS} select id as input_id, nullif(regexp_extract(input_file, '094-[0-9]{{6}}'), '') as subject_id, null::int as year_in_study, null::timestamp as visit_date, null::timestamp as extracted_date from inputs")
+def register_placeholders(spark, sf_dir):
+    """The metadata rows that registration adds."""
+    return placeholders(inputs(spark, sf_dir).select("id", P.subject_id(P.dirname(F.col("input_file"))).alias("subject_id")))
+
+
+@query("catalog_round_trip", f"with {INPUTS} select 1::bigint as version, id, document_type, input_file from inputs union all select 2, id, document_type, input_file from inputs where id % 2 = 0")
+def catalog_round_trip(spark, sf_dir):
+    """Tables installed, written twice and read: a reader keeps the version that it began with."""
+    catalog = Catalog(spark, fresh_folder(spark, "catalog"))
+    catalog.install()
+    rows = inputs(spark, sf_dir).withColumn("created", F.lit(AS_OF).cast("timestamp_ntz"))
+    catalog.append("transcription_input", rows)
+    first = catalog.read("transcription_input").withColumn("version", F.lit(1).cast("long"))
+    catalog.write("transcription_input", catalog.read("transcription_input").where("id % 2 = 0"))
+    second = catalog.read("transcription_input").withColumn("version", F.lit(2).cast("long"))
+    return first.unionByName(second).select("version", "id", "document_type", "input_file")
+
+
+@query("lists_read", "select c_custkey::varchar as id, c_name as first, nullif(replace(c_mktsegment, 'A', 'x\n\"y'), '') as second from customer")
+def lists_read(spark, sf_dir):
+    """Rows of a delimited file, every value a string, with quotes and new-lines in cells."""
+    path = fresh_folder(spark, "list") + ".tsv"
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("first"), F.replace("c_mktsegment", F.lit("A"), F.lit('x\n"y')).alias("second"))
+    rows.write.options(header=True, sep="\t", quote='"', escape='"').csv(path)
+    return read_list(spark, path)
+
+
+@query(
+    "files_written",
+    f"with {INPUTS} select nullif(regexp_extract(input_file, '094-[0-9]{{6}}'), '') as subject_id, 't' || id as stem, md5(text) as digest, false as failed from inputs join documents on doc_id = id where text <> ''",
+)
+def files_written(spark, sf_dir):
+    """Each text written to a file, the folder walked, and each file read again."""
+    root = fresh_folder(spark, "texts").removeprefix("file://")
+    docs = inputs(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "text"), F.col("doc_id") == F.col("id"))
+    name = F.concat_ws("/", F.lit(root), P.basename(P.dirname(F.col("input_file"))), F.concat(F.lit("t"), F.col("id"), F.lit(".txt")))
+    write_texts(docs.select(name.alias("path"), "text"))
+    read = read_each(list_files(spark, root))
+    return read.select(P.subject_id(F.col("directory")).alias("subject_id"), P.stem(F.col("path")).alias("stem"), F.md5(F.col("text").cast("binary")).alias("digest"), F.col("error").isNotNull().alias("failed"))
+
+
+@query("files_failed", f"with {OUTPUTS} select id, ocr_output_file is not null as named, true as failed from outputs")
+def files_failed(spark, sf_dir):
+    """Files that aren't there, and rows without a path: an error for each."""
+    read = read_each(outputs(spark, sf_dir).select("id", "ocr_output_file"), "ocr_output_file")
+    return read.select("id", F.col("ocr_output_file").isNotNull().alias("named"), (F.col("error").isNotNull() & F.col("text").isNull()).alias("failed"))
