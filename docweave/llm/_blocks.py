@@ -81,7 +81,8 @@ def links(items: DataFrame, sets: Callable[[pa.Table], tuple[np.ndarray, np.ndar
 
     ``items``: item, keys, weight (elements, about) and whatever ``sets(rows)`` needs to give (values, bounds, sizes): item i has the distinct uint64
     values[bounds[i]:bounds[i + 1]], ascending, in common with others at most, and ``sizes[i]`` elements in all. Two items that link must
-    share a key. ``occurrence``: every block is searched by T-occurrence; otherwise small ones by comparing pairs.
+    share a key. ``occurrence``: every block is searched by T-occurrence; otherwise small ones by comparing pairs, larger ones
+    by counting.
     """
     in_block = stored(blocks(items).join(items.select("item", "weight"), "item"), "blocks")
     sizes = in_block.groupBy("block").agg(F.sum("weight").alias("n")).select(F.col("block").alias("of"), _parts(F.col("n"), most).alias("chunks"))
@@ -178,7 +179,7 @@ def _compared(rows: DataFrame, sets: Callable, num: int, den: int, occurrence: b
         one[1:] |= (item[1:] != item[:-1]) | (side[1:] != side[:-1])  # repeated items stand for themselves once
         table, item, side, group = table.filter(pa.array(one)), item[one], side[one], (np.cumsum(new) - 1)[one]
         known = table.column("label").fill_null(0).to_numpy() if side.any() else None
-        pairs = link_groups(*sets(table), group, side, num, den, known, 1 if occurrence else _SMALL)
+        pairs = link_groups(*sets(table), group, side, num, den, known, *((1, divide_skip) if occurrence else (_SMALL, count_common)))
         return edge_batch(item[pairs[:, 0]], item[pairs[:, 1]])
 
     return spread.mapInArrow(work, "a long, b long")
@@ -192,10 +193,10 @@ def _task_keys(part, names: list[str]) -> np.ndarray:
     return np.stack([c.to_numpy().astype(np.int64) if isinstance(c, pa.ChunkedArray) else c.to_numpy(zero_copy_only=False).astype(np.int64) for c in columns], 1)
 
 
-def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group: np.ndarray, side: np.ndarray, num: int, den: int, known: np.ndarray | None = None, small: int = _SMALL) -> np.ndarray:
+def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group: np.ndarray, side: np.ndarray, num: int, den: int, known: np.ndarray | None = None, small: int = _SMALL, search: Callable | None = None) -> np.ndarray:
     """Links (pairs of places) within each group of items, enough to connect all that are linked; ``group`` ascends, and a
     group with sides wants only pairs across them. Groups of up to ``small`` items are compared together, in rounds; larger
-    ones by DivideSkip. ``known``: labels of items that are connected already (groups with sides)."""
+    ones by ``search`` (DivideSkip). ``known``: labels of items that are connected already (groups with sides)."""
     first = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
     out = [np.empty((0, 2), np.int64)]
     n = np.diff(first)
@@ -204,7 +205,7 @@ def link_groups(values: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, group
     for g in np.flatnonzero(large).tolist():
         a, b = int(first[g]), int(first[g + 1])
         own = [values[bounds[i] : bounds[i + 1]] for i in range(a, b)]
-        found = divide_skip(own, sizes[a:b], side[a:b], num, den, known[a:b] if known is not None and split[g] else None)
+        found = (search or divide_skip)(own, sizes[a:b], side[a:b], num, den, known[a:b] if known is not None and split[g] else None)
         out.append(np.array(found, np.int64).reshape(-1, 2) + a)
     label, pivot_done = np.arange(len(group)), np.repeat(large | (n < 2), n)
     while True:
@@ -282,6 +283,7 @@ def needed(size: int, num: int, den: int) -> int:
     return -(-num * size // den)
 
 
+_BITS = 2  # bits of a sketch for each value of a set, on average
 MU = 0.0085  # cost of a probe against that of merging, as in DivideSkip's published rule
 
 
@@ -360,3 +362,61 @@ def divide_skip(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, num
             else:
                 break
     return out
+
+
+def sketches(owner: np.ndarray, index: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """(word, set) parities of how many values of each set fall on each bit: two sets differ in as many values as their
+    sketches in bits, or in more. ``owner`` ascends."""
+    out, step = np.empty((n, bits // 64), np.uint64), max(1, (1 << 20) // bits)
+    cut = np.searchsorted(owner, np.arange(0, n + step, step))
+    for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())):
+        own = out[k * step : (k + 1) * step]
+        count = np.bincount((owner[a:b] - k * step) * bits + index[a:b] % bits, minlength=len(own) * bits)
+        own[:] = np.packbits((count & 1).astype(bool)).view(np.uint64).reshape(own.shape)
+    return np.ascontiguousarray(out.T)
+
+
+def count_common(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, num: int, den: int, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that connect all similar sets, as ``divide_skip`` finds them, by counting what a set has in common with others.
+
+    Among near copies most lists of sets by value are as long as the group, so sets are compared all at once with one of them:
+    first sketches, which rule out only pairs that differ too much; what they leave and isn't connected yet is counted exactly.
+    Sets of the component that is the largest wait, as those outside it look for them.
+    """
+    n, across, held = len(sets), bool(side.any()), np.array([len(s) for s in sets])
+    values, index, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, bounds = np.repeat(np.arange(n), held), np.concatenate([[0], np.cumsum(held)])
+    alone = np.bincount(owner, weights=count[index] == 1, minlength=n).astype(np.int64)
+    able = (held > 0) & (den * (held - alone) >= num * sizes)
+    bits = min(1 << 13, max(64, 1 << int(_BITS * len(index) / n).bit_length()))
+    sketch = sketches(owner, index, n, bits)
+    # a pair needs (den + num) * common >= num * (sizes + sizes), and held + held - 2 * common is what it differs in
+    spare, has = (den + num) * held - 2 * num * sizes, np.zeros(len(values), bool)
+    reach = np.where(able & (side == 0), spare, np.iinfo(np.int64).min // 2)
+    groups, out, main = Union(n, known), [], -1
+    todo = np.flatnonzero(able & (side > 0) if across else able).tolist()
+    while todo:
+        waiting = []
+        for d in todo:
+            if not across and groups.label[d] == main:
+                waiting.append(d)
+                continue
+            differ = np.bitwise_count(sketch ^ sketch[:, d : d + 1]).sum(0, dtype=np.uint16)
+            near = np.flatnonzero(reach + spare[d] >= (den + num) * differ.astype(np.int64))
+            near = near[groups.label[near] != groups.label[d]]
+            if not len(near):
+                continue
+            has[terms := index[bounds[d] : bounds[d + 1]]] = True
+            first = np.cumsum(held[near]) - held[near]
+            place = np.arange(int(held[near].sum())) - np.repeat(first - bounds[near], held[near])
+            common = np.add.reduceat(has[index[place]], first, dtype=np.int64)
+            has[terms] = False
+            near = near[(den + num) * common >= num * (sizes[d] + sizes[near])]
+            for c in near[np.unique(groups.label[near], return_index=True)[1]].tolist():
+                out.append((d, c))
+                groups.join(d, c)
+            label = int(groups.label[d])
+            if len(groups.members.get(label, ())) > len(groups.members.get(main, ())):
+                main = label
+        todo = [d for d in waiting if groups.label[d] != main]
+    return out

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from docweave.llm._blocks import divide_skip, link_groups, links, merge_skip
+from docweave.llm._blocks import count_common, divide_skip, link_groups, links, merge_skip, sketches
 from docweave.llm._components import components, local_components
 
 
@@ -121,3 +122,50 @@ def test_sides_are_compared_across():
     own = [np.arange(0, 20, dtype=np.uint64) << np.uint64(40)] * 4
     found = divide_skip(own, np.full(4, 20), np.array([0, 0, 1, 1]), 4, 5)
     assert {frozenset(p) for p in found} == {frozenset((2, 0)), frozenset((2, 1)), frozenset((3, 0))}
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 90, 300])
+@pytest.mark.parametrize("threshold", [(80, 100), (85, 100), (1, 2)])
+def test_counting_connects_what_pairs_connect(n, threshold):
+    """Within a group, across its sides, with labels of what is connected, and with sets that have values of their own."""
+    num, den = threshold
+    for seed in range(4 if n < 300 else 1):
+        own = sets(seed, n)
+        sizes, own = np.array([len(s) for s in own]), [s & set(range(180)) for s in own]  # the other values count for the size only
+        arrays = [np.array(sorted(x << 40 for x in s), np.uint64) for s in own]
+        linked = [(i, j) for i in range(n) for j in range(i) if (den + num) * len(own[i] & own[j]) >= num * (sizes[i] + sizes[j])]
+        alone = [(i, i) for i in range(n)]
+        found = count_common(arrays, sizes, np.zeros(n, int), num, den)
+        assert plain([*found, *alone]) == plain([*linked, *alone]) and {(max(p), min(p)) for p in found} <= set(linked)
+        side = np.arange(n) % 2
+        over = [p for p in linked if side[p[0]] != side[p[1]]]
+        assert plain([*count_common(arrays, sizes, side, num, den), *alone]) == plain([*over, *alone])
+        known = np.arange(n) // 4 * 4
+        joined = [(i, int(known[i])) for i in range(n)]
+        assert plain([*count_common(arrays, sizes, side, num, den, known), *joined]) == plain([*over, *joined])
+
+
+def test_sketches_never_differ_in_more_than_the_sets():
+    own = [np.array(sorted(s), np.uint64) for s in sets(1, 60)]
+    values, index = np.unique(np.concatenate(own), return_inverse=True)
+    for bits in (64, 256):
+        sketch = sketches(np.repeat(np.arange(60), [len(s) for s in own]), index, 60, bits)
+        for d in range(60):
+            differ = np.bitwise_count(sketch ^ sketch[:, d : d + 1]).sum(0)
+            assert all(differ[c] <= len(np.setxor1d(own[c], own[d])) for c in range(60)) and differ[d] == 0
+
+
+def test_large_groups_of_near_copies_take_little_time():
+    """Two families of edited copies, near the threshold, that one block holds: verified in a fraction of DivideSkip's time."""
+    r = np.random.default_rng(6)
+    base = [np.arange(400) + 1000 * k for k in range(2)]
+    own = [np.unique(np.concatenate([b[r.random(400) > r.uniform(0.03, 0.12)], r.integers(5000, 9000, 25)])).astype(np.uint64) << np.uint64(40) for b in base for _ in range(250)]
+    sizes, none = np.array([len(s) for s in own]), np.zeros(len(own), int)
+    began = time.process_time()
+    slow = divide_skip(own, sizes, none, 80, 100)
+    middle = time.process_time()
+    fast = count_common(own, sizes, none, 80, 100)
+    took = time.process_time() - middle
+    alone = [(i, i) for i in range(len(own))]
+    assert plain([*fast, *alone]) == plain([*slow, *alone]) and 100 < len(slow) < len(own) - 20
+    assert took < (middle - began) / 5
