@@ -5,8 +5,10 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from docweave.llm import _blocks
 from docweave.llm._blocks import count_common, divide_skip, link_groups, links, merge_skip, sketches
 from docweave.llm._components import components, local_components
 
@@ -169,3 +171,26 @@ def test_large_groups_of_near_copies_take_little_time():
     alone = [(i, i) for i in range(len(own))]
     assert plain([*fast, *alone]) == plain([*slow, *alone]) and 100 < len(slow) < len(own) - 20
     assert took < (middle - began) / 5
+
+
+def test_large_blocks_of_op9_are_counted(monkeypatch):
+    """The task over blocks uses DivideSkip only where T-occurrence is asked for."""
+
+    class Rows:
+        columns = ["item", "block", "i", "j", "side", "label", "content"]
+        repartition = sortWithinPartitions = lambda self, *_: self
+
+        def mapInArrow(self, fn, _):
+            table = pa.table([range(60), [1] * 60, [0] * 60, [0] * 60, [0] * 60, pa.nulls(60, pa.int64()), [np.arange(k % 2 * 50, k % 2 * 50 + 40, dtype="<u8").tobytes() for k in range(60)]], names=self.columns)
+            return [p for out in fn(table.to_batches()) for p in zip(*(c.to_pylist() for c in out.columns))]
+
+    def parts(rows):
+        values = [np.frombuffer(x, "<u8") for x in rows.column("content").to_pylist()]
+        return np.concatenate(values), np.cumsum([0] + [len(v) for v in values]), np.array([len(v) for v in values])
+
+    asked = []
+    monkeypatch.setattr(_blocks, "divide_skip", lambda *x: asked.append(1) or divide_skip(*x))
+    for occurrence in (False, True):
+        assert not asked
+        assert plain(_blocks._compared(Rows(), parts, 80, 100, occurrence)) == {i: i % 2 for i in range(60)}
+    assert asked
