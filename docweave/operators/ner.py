@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from ..functions.pii import IGNORED_LABELS, LABELS, LOW_SCORE
 
 _TOKEN = re.compile(r"\S+")
+#: Texts whose spans a worker holds at a time, and windows in one call of the classifier.
+_TEXTS, _WINDOWS = 64, 256
 Span = tuple[str, int, int, float]
 
 
@@ -96,22 +98,47 @@ def merged(spans: Sequence[Span], text: str, settings: NerSettings) -> list[Span
     return sorted(((e, a, b, s * settings.low_score.get(e, 1.0)) for e, a, b, s in out), key=lambda x: (x[1], x[2], x[0]))
 
 
+def _spans(model: TokenClassifier, texts: Sequence[str], settings: NerSettings) -> list[list[Span]]:
+    """Merged spans of each text; the model gets ``_WINDOWS`` windows at a time, and only labels that count are kept."""
+    raw: list[list[Span]] = [[] for _ in texts]
+    waiting: list[tuple[int, int, str]] = []
+
+    def classify_waiting() -> None:
+        for (k, place, _), own in zip(waiting, model.classify([part for _, _, part in waiting])):
+            raw[k].extend((x, a + place, b + place, s) for x, a, b, s in own if x not in settings.ignored)
+        waiting.clear()
+
+    for k, text in enumerate(texts):
+        for place, part in windows(text, settings.window, settings.stride, model.tokens(text)):
+            waiting.append((k, place, part))
+            if len(waiting) == _WINDOWS:
+                classify_waiting()
+    if waiting:
+        classify_waiting()
+    return [merged(spans, text, settings) for spans, text in zip(raw, texts)]
+
+
 def classify(texts: DataFrame, classifier: Callable[[], TokenClassifier], settings: NerSettings | None = None, column: str = "text") -> DataFrame:
-    """``texts`` with ``model_spans``, as ``functions.pii.detect`` takes them; null texts have none."""
+    """``texts`` with ``model_spans``, as ``functions.pii.detect`` takes them; null texts have none.
+
+    A worker holds the spans of ``_TEXTS`` texts and the classifier's answers for ``_WINDOWS`` windows, however large a batch is.
+    """
     chosen = settings or NerSettings()
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields if f.name != "model_spans")
+    rows = texts.drop("model_spans")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     schema = f"{fields}, model_spans array<struct<entity:string,start:int,end:int,score:double>>"
+    at = rows.columns.index(column)
 
     def run(batches):
+        import pyarrow as pa
+
+        kind = pa.list_(pa.struct([("entity", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         model = classifier()
         for batch in batches:
-            parts = [windows(t or "", chosen.window, chosen.stride, model.tokens(t or "")) for t in batch[column]]
-            flat = model.classify([p for w in parts for _, p in w])
-            at, found = 0, []
-            for text, w in zip(batch[column], parts):
-                spans = [(x, a + place, b + place, s) for (place, _), own in zip(w, flat[at : at + len(w)]) for x, a, b, s in own]
-                at += len(w)
-                found.append([{"entity": e, "start": a, "end": b, "score": s} for e, a, b, s in merged(spans, text or "", chosen)])
-            yield batch.assign(model_spans=found)
-
-    return texts.drop("model_spans").mapInPandas(run, schema)
+            for i in range(0, batch.num_rows, _TEXTS):
+                part = batch.slice(i, _TEXTS)
+                found = _spans(model, [t or "" for t in part.column(at).to_pylist()], chosen)
+                spans = pa.array([[{"entity": e, "start": a, "end": b, "score": s} for e, a, b, s in own] for own in found], kind)
+                yield pa.RecordBatch.from_arrays([*part.columns, spans], names=[*part.schema.names, "model_spans"])
+
+    return rows.mapInArrow(run, schema)
