@@ -25,6 +25,9 @@ RECOGNISERS: tuple[tuple[str, str, float, str | None], ...] = (
 )
 #: Text that each match of a recogniser holds: without it the pattern needn't be tried.
 HINTS = {"EMAIL_ADDRESS": "@", "ID": "094-", "URL": "://"}
+#: A piece of text that holds each match of ``RECOGNISERS`` that it touches as a whole: the characters that they are made of, with a
+#: digit, @ or : before the first space, and only spaces between digits or parentheses, as in phone and card numbers.
+RUN = r"(?<![A-Za-z0-9._%+@/?#=&:()-])[A-Za-z._%+/?#=&()-]*+[0-9@:](?:[A-Za-z0-9._%+@/?#=&:()-]++|(?<=[0-9)]) (?=[0-9(]))*+"
 #: Labels of token classifiers, and the entities that they stand for (fixed values).
 LABELS = {
     "PER": "PERSON", "PATIENT": "PERSON", "STAFF": "PERSON", "HCW": "PERSON", "PERSON": "PERSON",
@@ -66,6 +69,7 @@ def _iban(match: Column) -> Column:
     return F.aggregate(value, F.lit(0), lambda a, v: (a * F.when(v > 9, 100).otherwise(10) + v) % 97) == 1
 
 
+_SPANS = "array<struct<entity:string,start:int,end:int,score:double>>"
 CHECKS = {"luhn": _luhn, "octets": _octets, "ssn": _ssn, "iban": _iban}
 
 
@@ -74,34 +78,52 @@ def _let(value: Column, fn: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), fn), 1)
 
 
-def pattern_spans(text: Column, entity: str, pattern: str, score: float, check: str | None = None, hint: str | None = None) -> Column:
-    """Spans of a pattern's matches: places come from the lengths of what lies between them and of the matches."""
+def _located(text: Column, pattern: str) -> Column:
+    """(start, match) of a pattern's matches: places come from the lengths of what lies between them and of the matches."""
     inner = f"(?:{pattern})"
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<entity:string,start:int,end:int,score:double,match:string>>").alias("out"))
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,match:string>>").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
         start = s["at"] + x["gap"]
-        end = start + F.length(x["m"])
-        span = F.struct(F.lit(entity).alias("entity"), start.alias("start"), end.alias("end"), F.lit(score).alias("score"), x["m"].alias("match"))
-        return F.struct(end.alias("at"), F.array_append(s["out"], span).alias("out"))
+        return F.struct((start + F.length(x["m"])).alias("at"), F.array_append(s["out"], F.struct(start.alias("start"), x["m"].alias("match"))).alias("out"))
 
     def placed(found: Column) -> Column:
         between = F.slice(F.split(text, inner, -1), 1, F.size(found))
         return F.aggregate(F.zip_with(found, between, lambda m, b: F.struct(F.length(b).alias("gap"), m.alias("m"))), state, step)["out"]
 
-    spans = _let(F.regexp_extract_all(text, F.lit(inner), F.lit(0)), placed)
+    return _let(F.regexp_extract_all(text, F.lit(inner), F.lit(0)), placed)
+
+
+def pattern_spans(text: Column, entity: str, pattern: str, score: float, check: str | None = None, hint: str | None = None) -> Column:
+    """Spans of a pattern's matches."""
+    found = _located(text, pattern)
     if check:
-        spans = F.filter(spans, lambda x: CHECKS[check](x["match"]))
-    spans = F.transform(spans, lambda x: F.struct(x["entity"].alias("entity"), x["start"].alias("start"), x["end"].alias("end"), x["score"].alias("score")))
+        found = F.filter(found, lambda x: CHECKS[check](x["match"]))
+    spans = F.transform(found, lambda x: F.struct(F.lit(entity).alias("entity"), x["start"].alias("start"), (x["start"] + F.length(x["match"])).alias("end"), F.lit(score).alias("score")))
     # most texts hold no match: a search for fixed text or one scan by the pattern decides that before any array is made
+    inner = f"(?:{pattern})"
     holds = text.rlike(inner) if hint is None else text.contains(hint) & text.rlike(inner)
-    return F.when(holds, spans).otherwise(F.array().cast("array<struct<entity:string,start:int,end:int,score:double>>"))
+    return F.when(holds, spans).otherwise(F.array().cast(_SPANS))
+
+
+def _own_spans(text: Column, recognisers: Sequence[tuple[str, str, float, str | None]]) -> Column:
+    """Spans of some of ``RECOGNISERS``: the text is scanned for ``RUN`` alone, which holds every match of theirs whole, and
+    the patterns are tried in what that finds."""
+
+    def within(run: Column) -> Column:
+        spans = F.concat(*[pattern_spans(run["match"], *r, HINTS.get(r[0])) for r in recognisers])
+        return F.transform(spans, lambda s: F.struct(s["entity"].alias("entity"), (s["start"] + run["start"]).alias("start"), (s["end"] + run["start"]).alias("end"), s["score"].alias("score")))
+
+    return F.when(text.rlike("[0-9@:]"), F.flatten(F.transform(_located(text, RUN), within))).otherwise(F.array().cast(_SPANS))
 
 
 def detect(text: Column, recognisers: Sequence[tuple[str, str, float, str | None]] = RECOGNISERS, model_spans: Column | None = None) -> Column:
     """All spans, sorted by (start, end, entity); a null text has none."""
-    own = {r[:2] for r in RECOGNISERS}
-    parts = [pattern_spans(F.coalesce(text, F.lit("")), *r, HINTS.get(r[0]) if r[:2] in own else None) for r in recognisers]
+    given = F.coalesce(text, F.lit(""))
+    own = [r for r in recognisers if r[:2] in {x[:2] for x in RECOGNISERS}]
+    parts = [pattern_spans(given, *r) for r in recognisers if r not in own]
+    if own:
+        parts.append(_own_spans(given, own))
     if model_spans is not None:
         parts.append(model_spans)
     by_place = F.transform(F.concat(*parts), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["entity"].alias("entity"), s["score"].alias("score")))
@@ -129,7 +151,7 @@ def keep_spans(spans: Column, threshold: float = DEFAULT_THRESHOLD, excluded: Se
 
 def resolve(spans: Column) -> Column:
     """Spans without overlaps: from left to right, of two that overlap the higher score stays, then the longer, then the first."""
-    none = F.array().cast("array<struct<entity:string,start:int,end:int,score:double>>")
+    none = F.array().cast(_SPANS)
 
     def step(kept: Column, s: Column) -> Column:
         last = F.element_at(kept, -1)

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import re
+import time
 from datetime import datetime
 
 import pytest
@@ -228,3 +230,22 @@ def test_bounds(spark):
 def test_first_position(spark):
     rows = spark.createDataFrame([(1, "x", 5), (1, "x", 2), (1, "y", 3)], "k int, date string, pos int")
     assert sorted(tuple(r) for r in D.distinct_dates(rows, ["k"]).collect()) == [(1, "x", 2), (1, "y", 3)]
+
+
+def test_detection_tries_patterns_only_where_they_can_match(spark):
+    """Long runs of letters cost nothing, though the text holds a mail address: the mail pattern needs their square."""
+    text = "x" * 150_000 + " me@mail.org " + "y" * 150_000
+    began = time.monotonic()
+    assert one(spark, text, F.to_json(pii.detect(F.col("x")))) == '[{"entity":"EMAIL_ADDRESS","start":150001,"end":150012,"score":1.0}]'
+    assert time.monotonic() - began < 8
+
+
+def test_detection_equals_patterns_over_the_whole_text(spark):
+    rng = random.Random(5)
+    bits = ["555", "1234", "4111", "1111", "094-123456", "2001-02-03", "10.0.0.1", "a@b.org", "_d@e.fr", "http", "s://", "?c=", "GB82WEST12345698765432", "536-90-4399", "+1", "(555)", "word", "é", "😀", " ", " ", " ", "-", ".", ":", "\n", "  ", ")", "(", "@", "Ab"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(1, 30))) for _ in range(1500)]
+    rows = spark.createDataFrame([(t,) for t in texts], "x string")
+    whole = F.array_sort(F.transform(F.concat(*[pii.pattern_spans(F.col("x"), *r) for r in pii.RECOGNISERS]), lambda s: F.struct(s["start"], s["end"], s["entity"], s["score"])))
+    found = F.transform(pii.detect(F.col("x")), lambda s: F.struct(s["start"], s["end"], s["entity"], s["score"]))
+    out = rows.select("x", F.size(found).alias("n"), (F.to_json(found) == F.to_json(whole)).alias("same")).collect()
+    assert [r.x for r in out if not r.same] == [] and sum(r.n for r in out) > 2000
