@@ -20,25 +20,25 @@ def _micros(t: Column) -> Column:
 def band_join(extracted: DataFrame, visits: DataFrame, days: int, key: Sequence[str] = ("key",), visit: str = "visit", date: str = "extracted") -> DataFrame:
     """Every visit with every extracted date of its key at most ``days`` days away (exact time, inclusive).
 
-    Equi-join on the key and a time bucket as wide as the band; each visit looks into three buckets. A key with very many
-    dates so spreads over its buckets instead of pairing all with all.
+    Equi-join on the key and a time bucket of four bands, so that each visit looks into one or two buckets. A key with very
+    many dates so spreads over its buckets instead of pairing all with all. Only the bucket travels besides the given columns.
     """
     if days < 0:
         raise ValueError("days can't be negative")
-    width = max(days, 1) * _DAY
+    band, width = days * _DAY, 4 * max(days, 1) * _DAY
     keys = list(key)
-    e = extracted.withColumn("_e", _micros(F.col(date))).withColumn("_bucket", F.floor(F.col("_e") / width))
-    v = visits.withColumn("_v", _micros(F.col(visit)))
-    v = v.withColumn("_bucket", F.explode(F.sequence(F.floor((F.col("_v") - width) / width), F.floor((F.col("_v") + width) / width))))
+    e = extracted.withColumn("_bucket", F.floor(_micros(F.col(date)) / width))
+    at = _micros(F.col(visit))
+    v = visits.withColumn("_bucket", F.explode(F.sequence(F.floor((at - band) / width), F.floor((at + band) / width))))
     joined = v.join(e, [*keys, "_bucket"])
-    return joined.where(F.abs(F.col("_e") - F.col("_v")) <= F.lit(days * _DAY)).drop("_e", "_v", "_bucket")
+    return joined.where(F.abs(_micros(F.col(date)) - _micros(F.col(visit))) <= F.lit(band)).drop("_bucket")
 
 
 def first_match(extracted: DataFrame, visits: DataFrame, days: int, position: Sequence[str], key: Sequence[str] = ("key",), visit: str = "visit", date: str = "extracted") -> DataFrame:
     """For each visit the first extracted date (smallest ``position``, not the nearest) within ``days`` days: unique pairs."""
     keys = list(key)
     once = visits.select(*keys, visit).distinct()
-    pairs = band_join(extracted.select(*keys, date, *position), once, days, keys, visit, date)
+    pairs = band_join(extracted.select(*keys, date, *[c for c in position if c != date]), once, days, keys, visit, date)
     return pairs.groupBy(*keys, visit).agg(F.min_by(date, F.struct(*position)).alias(date))
 
 
@@ -53,10 +53,10 @@ def pairs_in(pairs: DataFrame, known: DataFrame, columns: Sequence[str]) -> Data
 
 
 def pairs_not_in(pairs: DataFrame, known: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairs whose columns don't stand in ``known`` (null equal to null)."""
-    other = known.select(*[F.col(c).alias(f"_{c}") for c in columns]).distinct()
-    same = None
-    for c in columns:
-        one = F.col(c).eqNullSafe(F.col(f"_{c}"))
-        same = one if same is None else same & one
-    return pairs.join(other, same, "left_anti")
+    """Pairs whose columns don't stand in ``known`` (null equal to null).
+
+    The columns are compared as one struct, in which nulls are equal: what made ``known`` distinct is dealt for the join, too.
+    """
+    whole = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    other = known.select(whole.alias("_known")).distinct()
+    return pairs.join(other, whole == F.col("_known"), "left_anti")
